@@ -1,0 +1 @@
+"""Left empty on purpose: every job this library covers is a batch job (see README)."""
