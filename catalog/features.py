@@ -96,12 +96,12 @@ def z_tail_sql(z: str) -> str:
 
 
 def _m_tail(t: Tables) -> DataFrame:
-    return S.m_series(t).withColumn("adv_ut_list", lists.fill_zero(lists.tail("adv_ut_list")))
+    return S.m_series(t).withColumn("adv_ut_list", F.expr(lists.fill_zero(lists.tail("adv_ut_list"))))
 
 
 @query("zscore_window", "SELECT k, idx, round(z, 6) + 0.0 AS z FROM m_z")
 def zscore_window(t: Tables) -> DataFrame:
-    z = _m_tail(t).select("k", F.posexplode(stats.zscores("adv_ut_list")).alias("idx", "z"))
+    z = _m_tail(t).select("k", F.posexplode(F.expr(stats.zscores("adv_ut_list"))).alias("idx", "z"))
     return z.withColumn("z", rounded("z"))
 
 
@@ -161,7 +161,7 @@ def feat_zscore_v1(t: Tables) -> DataFrame:
 
 
 def _e_filled(t: Tables) -> DataFrame:
-    return S.e_series(t).withColumn("adv_ut_list", lists.fill_zero("adv_ut_list"))
+    return S.e_series(t).withColumn("adv_ut_list", F.expr(lists.fill_zero("adv_ut_list")))
 
 
 cte(
@@ -206,13 +206,13 @@ RULE_LIST = ", ".join(f"{flag_sql(text)} AS {name}" for name, text in RULE_SQL.i
 cte("e_rules", f"SELECT k, {RULE_LIST} FROM e_facts")
 
 
-def _register_rule(name: str, rule, condition: str) -> None:
+def _register_rule(name: str, rule: str, condition: str) -> None:
     @query(f"rule_{name}", f"SELECT k, ELC, {flag_sql(condition)} AS hit FROM e_facts")
     def run(t: Tables) -> DataFrame:
-        return _e_filled(t).select("k", "ELC", rule().alias("hit"))
+        return _e_filled(t).selectExpr("k", "ELC", f"{rules.fires(rule)} AS hit")
 
 
-for _name, _rule in {**rules.LIVE_RULES, "t_2_c_4": rules.rule_t_2_c_4}.items():
+for _name, _rule in rules.RULES.items():
     _register_rule(_name.replace("NR", "nr"), _rule, {**RAW_RULE_SQL, **RULE_SQL}[_name])
 
 
@@ -252,7 +252,7 @@ SCORE_SQL = " + ".join(f"{weight} * ({flag_sql(RAW_RULE_SQL[name])})" for name,
 
 @query("computed_score", f"SELECT k, CAST({SCORE_SQL} AS INTEGER) AS computed_score FROM e_facts")
 def computed_score(t: Tables) -> DataFrame:
-    return S.e_series(t).select("k", rules.computed_score().alias("computed_score"))
+    return S.e_series(t).select("k", F.expr(rules.computed_score()).alias("computed_score"))
 
 
 def fitted_sql(columns: list[str], source: str) -> str:

@@ -71,7 +71,7 @@ def encode_categoricals(t: Tables) -> DataFrame:
 FROM (SELECT doc_id, (doc_id % 101) / 100.0::DOUBLE AS s FROM documents)""",
 )
 def score_bin(t: Tables) -> DataFrame:
-    return t.documents.select("doc_id", rules.score_bin((F.col("doc_id") % 101) / 100.0).alias("category"))
+    return t.documents.select("doc_id", F.expr(rules.score_bin("(doc_id % 101 / 100D)")).alias("category"))
 
 
 # ---- evaluation tables ----

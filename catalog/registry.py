@@ -69,6 +69,6 @@ def oracles() -> dict[str, str]:
     return {name: expand(sql) for name, sql in ORACLES.items()}
 
 
-def rounded(value: Column | str, digits: int = 6) -> Column:
+def rounded(value: str, digits: int = 6) -> Column:
     """Rounded, without a negative zero. The SQL texts write ``round(x, 6) + 0.0``."""
-    return F.round(value, digits) + F.lit(0.0)
+    return F.expr(f"round({value}, {digits}) + 0D")

@@ -33,7 +33,7 @@ def project(t: Tables) -> DataFrame:
   CAST(CASE WHEN XCHG = 'Y' OR ADV = 'Y' THEN 1 ELSE 0 END AS INTEGER) AS LABEL FROM master""",
 )
 def label_from_flags(t: Tables) -> DataFrame:
-    return S.master(t).select("CONS_ID", "XCHG", "ADV", labels.label_from_flags("XCHG", "ADV").alias("LABEL"))
+    return S.master(t).select("CONS_ID", "XCHG", "ADV", F.expr(labels.label_from_flags("XCHG", "ADV")).alias("LABEL"))
 
 
 @query(
@@ -43,7 +43,7 @@ def label_from_flags(t: Tables) -> DataFrame:
 )
 def label_from_current_meter(t: Tables) -> DataFrame:
     return S.life(t).select(
-        "CONS_ID", "MNO", labels.label_from_current_meter("is_current_meter").alias("LABEL")
+        "CONS_ID", "MNO", F.expr(labels.label_from_current_meter("is_current_meter")).alias("LABEL")
     )
 
 
@@ -64,12 +64,12 @@ def relabel_from_remark(t: Tables) -> DataFrame:
 
 @query("composite_key", "SELECT MCD, MFG || '|' || AMP || '|' || VLT AS make_key FROM models")
 def composite_key(t: Tables) -> DataFrame:
-    return S.models(t).select("MCD", labels.composite_key("MFG", "AMP", "VLT").alias("make_key"))
+    return S.models(t).select("MCD", F.expr(labels.composite_key("MFG", "AMP", "VLT")).alias("make_key"))
 
 
 @query("mno_to_int", "SELECT CONS_ID, MNO, TRY_CAST(MNO AS BIGINT) AS serial FROM master")
 def mno_to_int(t: Tables) -> DataFrame:
-    return S.master(t).select("CONS_ID", "MNO", labels.serial_number("MNO").alias("serial"))
+    return S.master(t).select("CONS_ID", "MNO", F.expr(labels.serial_number("MNO")).alias("serial"))
 
 
 @query("log1p_scale", "SELECT o_orderkey, round(ln(1 + o_totalprice), 6) + 0.0 AS scaled FROM orders")
@@ -150,7 +150,7 @@ SUPPORTED = ", ".join(map(str, C.SUPPORTED_MCD))
 WHERE NOT coalesce(MCD IN ({SUPPORTED}), false)""",
 )
 def screen_unsupported_mcd(t: Tables) -> DataFrame:
-    unsupported = S.master(t).where(~labels.is_supported_model("MCD"))
+    unsupported = S.master(t).where(f"NOT {labels.is_supported_model('MCD')}")
     return screens.rejected(unsupported, C.UNSUPPORTED_MCD).select(*C.REJECT_COLUMNS)
 
 
@@ -165,11 +165,11 @@ GROUP BY k HAVING max(units) > 1""",
 def drop_low_max(t: Tables) -> DataFrame:
     discounts = t.lineitem.select(
         F.col("l_orderkey").alias("k"),
-        dates.month_position("l_shipdate").alias("pos"),
+        F.expr(dates.month_position("l_shipdate")).alias("pos"),
         (F.col("l_discount") * 10).cast("decimal(18,2)").alias("v"),
     )
     lists_of = series.build_series(series.agg_month_sum(discounts, "v", S.K), S.K)
-    return lists_of.where(~screens.is_low_max("adv_ut_list")).select(
+    return lists_of.where(f"NOT ({screens.is_low_max('adv_ut_list')})").select(
         "k", F.size("adv_ut_list").alias("n"), F.array_max("adv_ut_list").alias("max_value")
     )
 
@@ -180,7 +180,7 @@ def drop_low_max(t: Tables) -> DataFrame:
 HAVING NOT count(*) FILTER (v IS NULL) / count(*) > 0.6""",
 )
 def drop_sparse(t: Tables) -> DataFrame:
-    kept = S.c_series(t).where(~screens.is_sparse("adv_ut_list"))
+    kept = S.c_series(t).where(f"NOT {screens.is_sparse('adv_ut_list')}")
     return kept.select("k", F.size("adv_ut_list").alias("n"))
 
 
@@ -416,14 +416,9 @@ def agg_class_weight(t: Tables) -> DataFrame:
   max(v) - coalesce(min(v) FILTER (v > 0), 0) AS span FROM m_tail GROUP BY k""",
 )
 def agg_series_stats(t: Tables) -> DataFrame:
-    filled = S.m_series(t).withColumn("a", lists.fill_zero(lists.tail("adv_ut_list")))
+    filled = S.m_series(t).withColumn("a", F.expr(lists.fill_zero(lists.tail("adv_ut_list"))))
     found = features.range_features("a", stats.positive_min("a"))
-    return filled.select(
-        "k",
-        found["max_consumption"].alias("high"),
-        found["min_consumption"].alias("low"),
-        found["consumption_range"].alias("span"),
-    )
+    return filled.selectExpr("k", *found.values()).toDF("k", "high", "low", "span")
 
 
 # ---- latest rows and ties ----
@@ -559,7 +554,7 @@ def distinct_rows(t: Tables) -> DataFrame:
 UNION ALL BY NAME {MISSING_FDT}""",
 )
 def union_pred_rejects(t: Tables) -> DataFrame:
-    score = rounded(F.lit(1.0) / (F.lit(1.0) + F.exp(-F.col("MCD") / 1000.0)))
+    score = rounded("1D / (1D + exp(-MCD / 1000D))")
     scored = _latest_master(t).select(*C.REJECT_COLUMNS[:4], score.alias("PREDICTION_SCORE"))
     return combine.union_pred_rejects(scored, screen_missing_fdt(t))
 

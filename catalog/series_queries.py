@@ -26,7 +26,7 @@ V2 = "round(v, 2) + 0.0 AS v"
 
 @query(
     "series_start",
-    """SELECT m.CONS_ID, m.CSQ, greatest(s.first_pos, year(m.FDT) * 12 + month(m.FDT) - 1) AS start_pos
+    """SELECT m.CONS_ID, m.CSQ, CAST(greatest(s.first_pos, year(m.FDT) * 12 + month(m.FDT) - 1) AS INTEGER) AS start_pos
 FROM master_latest m LEFT JOIN (
   SELECT CONS_ID, CSQ, min(pos) AS first_pos FROM readings GROUP BY CONS_ID, CSQ) s USING (CONS_ID, CSQ)""",
 )
@@ -34,7 +34,7 @@ def series_start(t: Tables) -> DataFrame:
     from catalog.relational import _latest_master
 
     span = series.agg_month_span(raw.read_months(S.consumption(t)), "pos")
-    start = dates.series_start("min_month", dates.month_position("FDT"))
+    start = F.expr(dates.series_start("min_month", dates.month_position("FDT")))
     return _latest_master(t).join(span, C.KEYS, "left").select(*C.KEYS, start.alias("start_pos"))
 
 
@@ -78,7 +78,7 @@ def explode_series(t: Tables) -> DataFrame:
 
 @query("series_length", "SELECT k, CAST(count(*) AS INTEGER) AS n FROM c_rows GROUP BY k")
 def series_length(t: Tables) -> DataFrame:
-    return S.c_series(t).select("k", lists.series_length("adv_ut_list").alias("n"))
+    return S.c_series(t).select("k", F.expr(lists.series_length("adv_ut_list")).alias("n"))
 
 
 @query(
@@ -86,7 +86,7 @@ def series_length(t: Tables) -> DataFrame:
     "SELECT k, CAST(count(*) FILTER (v IS NULL) AS INTEGER) AS n_missing FROM c_rows GROUP BY k",
 )
 def count_missing(t: Tables) -> DataFrame:
-    return S.c_series(t).select("k", lists.count_missing("adv_ut_list").alias("n_missing"))
+    return S.c_series(t).select("k", F.expr(lists.count_missing("adv_ut_list")).alias("n_missing"))
 
 
 @query(
@@ -99,7 +99,7 @@ def missing_ratio(t: Tables) -> DataFrame:
 
 @query("fill_zero", "SELECT k, idx, round(coalesce(v, 0), 2) + 0.0 AS v FROM c_rows")
 def fill_zero(t: Tables) -> DataFrame:
-    return _long(S.c_series(t).withColumn("adv_ut_list", lists.fill_zero("adv_ut_list")))
+    return _long(S.c_series(t).withColumn("adv_ut_list", F.expr(lists.fill_zero("adv_ut_list"))))
 
 
 @query(
@@ -108,9 +108,8 @@ def fill_zero(t: Tables) -> DataFrame:
 )
 def nan_to_none(t: Tables) -> DataFrame:
     """Readings up to 100,000 are NaN on the way in."""
-    nan = F.lit(float("nan"))
-    marked = F.transform("adv_ut_list", lambda x: F.when(x.isNull() | (x > 100000), x).otherwise(nan))
-    return _long(S.c_series(t).withColumn("adv_ut_list", lists.nan_to_null(marked)))
+    marked = "transform(adv_ut_list, x -> if(x IS NULL OR x > 100000, x, double('NaN')))"
+    return _long(S.c_series(t).withColumn("adv_ut_list", F.expr(lists.nan_to_null(marked))))
 
 
 @query(
@@ -121,11 +120,15 @@ FROM e_rows r""",
 )
 def parse_list_text(t: Tables) -> DataFrame:
     """Lists written as text, with None, nan and a code that is called None, and read back."""
-    number = lambda x: F.when(x.isNull(), "None").when(x < 20, "nan").otherwise(x.cast("string"))
-    code = lambda x: F.when(x.isNull(), "None").when(x == "LW", "'None'").otherwise(F.concat(F.lit("'"), x, F.lit("'")))
-    text = lambda items, show: F.concat(F.lit("["), F.array_join(F.transform(items, show), ", "), F.lit("]"))
-    written = S.e_series(t).select("k", text("adv_ut_list", number).alias("r"), text("ent_cd_list", code).alias("c"))
-    read = written.select("k", lists.parse_reading_list("r").alias("r"), lists.parse_code_list("c").alias("c"))
+    number = "CASE WHEN x IS NULL THEN 'None' WHEN x < 20 THEN 'nan' ELSE string(x) END"
+    code = """CASE WHEN x IS NULL THEN 'None' WHEN x = 'LW' THEN "'None'" ELSE "'" || x || "'" END"""
+    text = "'[' || array_join(transform({0}, x -> {1}), ', ') || ']'"
+    written = S.e_series(t).selectExpr(
+        "k", f"{text.format('adv_ut_list', number)} AS r", f"{text.format('ent_cd_list', code)} AS c"
+    )
+    read = written.selectExpr(
+        "k", f"{lists.parse_reading_list('r')} AS r", f"{lists.parse_code_list('c')} AS c"
+    )
     pairs = F.arrays_zip("r", "c")
     return read.select("k", F.posexplode(pairs).alias("idx", "p")).select(
         "k", "idx", rounded("p.r", 2).alias("v"), F.col("p.c").alias("code")
@@ -137,7 +140,7 @@ def parse_list_text(t: Tables) -> DataFrame:
 
 @query("tail_36", "SELECT k, idx, v + 0.0 AS v FROM m_tail")
 def tail_36(t: Tables) -> DataFrame:
-    return _long(S.m_series(t).withColumn("adv_ut_list", lists.fill_zero(lists.tail("adv_ut_list"))))
+    return _long(S.m_series(t).withColumn("adv_ut_list", F.expr(lists.fill_zero(lists.tail("adv_ut_list")))))
 
 
 @query(
@@ -167,12 +170,12 @@ cte("c_tri", TRI.format("c_rows"))
 
 @query("bimonthly_split", f"SELECT k, {RENUMBER}, v + 0.0 AS v FROM c_bi WHERE v IS NOT NULL")
 def bimonthly_split(t: Tables) -> DataFrame:
-    return _long(S.c_series(t).withColumn("adv_ut_list", lists.bimonthly_split("adv_ut_list")))
+    return _long(S.c_series(t).withColumn("adv_ut_list", F.expr(lists.bimonthly_split("adv_ut_list"))))
 
 
 @query("trimonthly_split", "SELECT k, idx, v + 0.0 AS v FROM c_tri WHERE idx <= last_idx")
 def trimonthly_split(t: Tables) -> DataFrame:
-    return _long(S.c_series(t).withColumn("adv_ut_list", lists.trimonthly_split("adv_ut_list")))
+    return _long(S.c_series(t).withColumn("adv_ut_list", F.expr(lists.trimonthly_split("adv_ut_list"))))
 
 
 CNO = """CASE k % 3 WHEN 0 THEN '011' WHEN 1 THEN '88' ELSE '77' END || k"""
@@ -188,9 +191,8 @@ CNO = """CASE k % 3 WHEN 0 THEN '011' WHEN 1 THEN '88' ELSE '77' END || k"""
   SELECT k, {CNO} AS CNO, idx, {V2} FROM c_rows WHERE NOT ({CNO} LIKE '011%' OR {CNO} LIKE '88%'))""",
 )
 def cycle_dispatch(t: Tables) -> DataFrame:
-    prefix = S.choose(F.col("k") % 3, {0: "011", 1: "88", 2: "77"})
-    numbered = S.c_series(t).withColumn("CNO", F.concat(prefix, F.col("k").cast("string")))
-    split = numbered.withColumn("adv_ut_list", lists.cycle_dispatch("CNO", "adv_ut_list"))
+    numbered = S.c_series(t).withColumn("CNO", F.expr(CNO))
+    split = numbered.withColumn("adv_ut_list", F.expr(lists.cycle_dispatch("CNO", "adv_ut_list")))
     return _long(split, keep=("k", "CNO"))
 
 
@@ -205,7 +207,7 @@ LAST3 = "max(CASE WHEN code = '{0}' AND idx >= n - 3 THEN 1 ELSE 0 END)"
   SELECT k, code, lag(code) OVER (PARTITION BY k ORDER BY idx) AS prev FROM e_rows) GROUP BY k""",
 )
 def consecutive_code(t: Tables) -> DataFrame:
-    return S.e_series(t).select("k", rules.consecutive_code("ent_cd_list").cast("int").alias("hit"))
+    return S.e_series(t).select("k", F.expr(rules.fires(rules.consecutive_code("ent_cd_list"))).alias("hit"))
 
 
 @query(
@@ -215,8 +217,8 @@ def consecutive_code(t: Tables) -> DataFrame:
     + " FROM e_rows GROUP BY k",
 )
 def last_k_codes(t: Tables) -> DataFrame:
-    found = {c: rules.code_in_last("ent_cd_list", c) for c in ("SP", "LW", "NR")}
-    return S.e_series(t).select("k", *(v.cast("int").alias(f"has_{c}") for c, v in found.items()))
+    found = {c: rules.fires(rules.code_in_last("ent_cd_list", c)) for c in ("SP", "LW", "NR")}
+    return S.e_series(t).selectExpr("k", *(f"{text} AS has_{c}" for c, text in found.items()))
 
 
 @query(
@@ -230,13 +232,13 @@ UNION ALL
 SELECT k, round(max(v) FILTER (idx = n - 1), 2) + 0.0, NULL, NULL FROM e_rows GROUP BY k HAVING max(n) < 7""",
 )
 def trailing_mean_ratio(t: Tables) -> DataFrame:
-    filled = S.e_series(t).withColumn("a", lists.fill_zero("adv_ut_list"))
+    filled = S.e_series(t).withColumn("a", F.expr(lists.fill_zero("adv_ut_list")))
     before, last = rules.prior_mean("a"), lists.last_item("a")
     return filled.select(
         "k",
         rounded(last, 2).alias("last_v"),
         rounded(before).alias("prior_mean"),
-        rounded(F.try_divide(last, before), 4).alias("ratio"),
+        rounded(f"try_divide({last}, {before})", 4).alias("ratio"),
     )
 
 
@@ -257,5 +259,5 @@ FROM m_rows WINDOW w AS (PARTITION BY k ORDER BY idx ROWS BETWEEN 6 PRECEDING AN
 )
 def moving_average_2x12(t: Tables) -> DataFrame:
     trend = stats.centred_trend(lists.fill_zero("adv_ut_list"))
-    smooth = S.m_series(t).select("k", F.posexplode(trend).alias("j", "v"))
+    smooth = S.m_series(t).select("k", F.posexplode(F.expr(trend)).alias("j", "v"))
     return smooth.select("k", (F.col("j") + stats.HALF).alias("idx"), rounded("v").alias("v"))

@@ -32,12 +32,8 @@ REPORT_REMARKS = {
 }
 
 
-def choose(column: str | Column, mapping: dict) -> Column:
-    c = F.col(column) if isinstance(column, str) else column
-    chosen = None
-    for key, value in mapping.items():
-        chosen = F.when(c == key, value) if chosen is None else chosen.when(c == key, value)
-    return chosen
+def choose(column: str, mapping: dict) -> Column:
+    return F.expr(choose_sql(column, mapping))
 
 
 def choose_sql(column: str, mapping: dict) -> str:
@@ -301,16 +297,16 @@ def life_names(t: Tables) -> DataFrame:
 def life(t: Tables) -> DataFrame:
     """Per user and event type: daily readings and codes; a code only on days of high value."""
     kind = F.col("event_type")
-    index = choose(kind, {name: i for i, name in enumerate(EVENT_TYPES)})
+    index = choose("event_type", {name: i for i, name in enumerate(EVENT_TYPES)})
     rows = t.events.select(
         text_id("user_id").alias("CONS_ID"),
         F.lit("1").alias("CSQ"),
         (F.col("user_id") * 523 + index * 300 + 2900000).cast("string").alias("MNO"),
         (F.pmod(F.col("user_id"), F.lit(25)) + 560).cast("int").alias("MCD"),
         F.when(kind != "click", kind != "error").alias("is_current_meter"),
-        dates.day_position("ts").alias("pos"),
+        F.expr(dates.day_position("ts")).alias("pos"),
         F.floor("value").alias("value"),
-        F.when(F.col("value") > 30, choose(kind, LIFE_CODES)).alias("code_in"),
+        F.when(F.col("value") > 30, choose("event_type", LIFE_CODES)).alias("code_in"),
         "event_id",
     )
     keys = ["CONS_ID", "CSQ", "MNO", "MCD", "is_current_meter"]
@@ -359,7 +355,7 @@ FROM (SELECT DISTINCT user_id, event_type FROM events)""",
 def m_rows(t: Tables) -> DataFrame:
     return t.lineitem.select(
         F.col("l_suppkey").alias("k"),
-        dates.month_position("l_shipdate").alias("pos"),
+        F.expr(dates.month_position("l_shipdate")).alias("pos"),
         money("l_quantity").alias("v"),
     )
 
@@ -367,7 +363,7 @@ def m_rows(t: Tables) -> DataFrame:
 def c_rows(t: Tables) -> DataFrame:
     return t.orders.select(
         F.col("o_custkey").alias("k"),
-        dates.month_position("o_orderdate").alias("pos"),
+        F.expr(dates.month_position("o_orderdate")).alias("pos"),
         money("o_totalprice").alias("v"),
     )
 
@@ -375,7 +371,7 @@ def c_rows(t: Tables) -> DataFrame:
 def e_rows(t: Tables) -> DataFrame:
     return t.events.select(
         F.col("user_id").alias("k"),
-        dates.day_position("ts").alias("pos"),
+        F.expr(dates.day_position("ts")).alias("pos"),
         money("value").alias("v"),
         choose("event_type", EVENT_CODES).alias("code_in"),
         "event_id",

@@ -1,45 +1,39 @@
-"""Day texts, bill months, and the integer positions that series are indexed by."""
+"""Day texts, bill months, and the integer positions that series are indexed by (SQL text)."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
 
-from wattline.functions.lists import ColumnLike, col
-
-
-def parse_fix_date(text: ColumnLike) -> Column:
+def parse_fix_date(text: str) -> str:
     """``dd/MM/yyyy`` text to a date, NULL when it is none."""
-    return F.try_to_timestamp(col(text), F.lit("d/M/yyyy")).cast("date")
+    return f"CAST(try_to_timestamp({text}, 'd/M/yyyy') AS date)"
 
 
-def parse_bill_month(text: ColumnLike) -> Column:
+def parse_bill_month(text: str) -> str:
     """``yyyyMM`` text to the first of that month, NULL when it is none."""
-    return F.try_to_timestamp(col(text), F.lit("yyyyMM")).cast("date")
+    return f"CAST(try_to_timestamp({text}, 'yyyyMM') AS date)"
 
 
-def month_start(date: ColumnLike) -> Column:
-    return F.trunc(col(date), "MM")
+def month_start(date: str) -> str:
+    return f"trunc({date}, 'MM')"
 
 
-def month_position(date: ColumnLike) -> Column:
+def month_position(date: str) -> str:
     """Months since year 0, so that neighbours differ by one."""
-    return F.year(col(date)) * 12 + F.month(col(date)) - 1
+    return f"(year({date}) * 12 + month({date}) - 1)"
 
 
-def position_month(position: ColumnLike) -> Column:
-    p = col(position)
-    return F.make_date(F.floor(p / 12).cast("int"), (p % 12 + 1).cast("int"), F.lit(1))
+def position_month(position: str) -> str:
+    return f"make_date(int({position} div 12), int({position} % 12 + 1), 1)"
 
 
-def day_position(date: ColumnLike) -> Column:
-    return F.unix_date(col(date).cast("date"))
+def day_position(date: str) -> str:
+    return f"unix_date(CAST({date} AS date))"
 
 
-def position_day(position: ColumnLike) -> Column:
-    return F.date_from_unix_date(col(position))
+def position_day(position: str) -> str:
+    return f"date_from_unix_date({position})"
 
 
-def series_start(first_reading: ColumnLike, fixed: ColumnLike) -> Column:
+def series_start(first_reading: str, fixed: str) -> str:
     """The later of the first reading and the fixing of the meter; a missing one is skipped."""
-    return F.greatest(col(first_reading), col(fixed))
+    return f"greatest({first_reading}, {fixed})"

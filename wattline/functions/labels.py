@@ -1,48 +1,42 @@
-"""Labels, serials and keys derived from single rows."""
+"""Labels, serials and keys derived from single rows (SQL text)."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+from collections.abc import Sequence
 
 from wattline import constants as C
-from wattline.functions.lists import ColumnLike, col
 
 
-def label_from_flags(xchg: ColumnLike, adv: ColumnLike) -> Column:
+def label_from_flags(xchg: str, adv: str) -> str:
     """1 when the meter was exchanged or the exchange was advised; a missing flag counts as no."""
-    return F.when(col(xchg).eqNullSafe("Y") | col(adv).eqNullSafe("Y"), 1).otherwise(0)
+    return f"int({xchg} <=> 'Y' OR {adv} <=> 'Y')"
 
 
-def label_from_current_meter(is_current: ColumnLike) -> Column:
+def label_from_current_meter(is_current: str) -> str:
     """0 for the meter in use, 1 for one taken down, NULL when unknown."""
-    return F.when(col(is_current), 0).when(~col(is_current), 1)
+    return f"int(NOT {is_current})"
 
 
-def relabel_from_remark(label: ColumnLike, remark: ColumnLike) -> Column:
+def relabel_from_remark(label: str, remark: str) -> str:
     """The field inspector's finding overrides the label."""
-    label, remark = col(label), col(remark)
-    return (
-        F.when((label == 1) & (remark == C.REMARK_OK), 0)
-        .when((label == 0) & (remark == C.REMARK_DEFECTIVE), 1)
-        .otherwise(label)
-    )
+    return f"""CASE WHEN {label} = 1 AND {remark} = '{C.REMARK_OK}' THEN 0
+        WHEN {label} = 0 AND {remark} = '{C.REMARK_DEFECTIVE}' THEN 1 ELSE {label} END"""
 
 
-def is_other_meter(remark: ColumnLike) -> Column:
+def is_other_meter(remark: str) -> str:
     """The inspector saw another meter; a missing remark is not such a finding."""
-    return col(remark).eqNullSafe(C.REMARK_OTHER_METER_OK)
+    return f"{remark} <=> '{C.REMARK_OTHER_METER_OK}'"
 
 
-def composite_key(mfg: ColumnLike, amp: ColumnLike, vlt: ColumnLike) -> Column:
+def composite_key(mfg: str, amp: str, vlt: str) -> str:
     """``MFG|AMP|VLT`` for display; joins use the three columns. NULL if one is missing."""
-    return F.concat(col(mfg), F.lit("|"), col(amp), F.lit("|"), col(vlt))
+    return f"{mfg} || '|' || {amp} || '|' || {vlt}"
 
 
-def serial_number(mno: ColumnLike) -> Column:
+def serial_number(mno: str) -> str:
     """The meter number as an integer, NULL when it is not one."""
-    return col(mno).try_cast("bigint")
+    return f"try_cast({mno} AS bigint)"
 
 
-def is_supported_model(mcd: ColumnLike, supported: list | None = None) -> Column:
-    return F.coalesce(col(mcd).isin(C.SUPPORTED_MCD if supported is None else supported), F.lit(False))
+def is_supported_model(mcd: str, supported: Sequence[int] = C.SUPPORTED_MCD) -> str:
+    return f"coalesce({mcd} IN ({', '.join(map(str, supported))}), false)"

@@ -1,120 +1,105 @@
-"""Columns over list cells: readings (array<double>) and codes (array<string>)."""
+"""Expressions over list cells: readings (array<double>) and codes (array<string>).
+
+They are SQL text, to be used with ``F.expr`` or ``selectExpr``: a nest of lambdas is then one
+call to the JVM instead of hundreds. Arguments are column names or other such texts.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 from wattline import constants as C
 
-ColumnLike = Column | str
-
 # An unquoted None or nan between list separators.
 _MISSING_ITEM = r"(?<=[\[,]\s{0,8})(?:None|nan)(?=\s*[,\]])"
 
 
-def col(c: ColumnLike) -> Column:
-    return F.col(c) if isinstance(c, str) else c
-
-
-def let(value: ColumnLike, body: Callable[[Column], Column]) -> Column:
-    """``body`` of ``value``, with ``value`` computed once per row.
+def let(value: str, name: str, body: str) -> str:
+    """``body``, in which ``name`` stands for ``value``; the value is computed once per row.
 
     Inside a lambda a plain sub-expression would be computed again for every element.
     """
-    return F.transform(F.array(col(value)), body)[0]
+    return f"transform(array({value}), {name} -> {body})[0]"
+
+
+def once(value: str, name: str, body: Callable[[str], str]) -> str:
+    """``body`` of ``value``; a plain column needs no ``let``."""
+    return body(value) if value.isidentifier() else let(value, name, body(name))
 
 
-def fill_zero(readings: ColumnLike) -> Column:
-    return F.transform(readings, lambda x: F.coalesce(x, F.lit(0.0)))
+def fill_zero(readings: str) -> str:
+    return f"transform({readings}, x -> coalesce(x, 0D))"
 
 
-def nan_to_null(readings: ColumnLike) -> Column:
-    return F.transform(readings, lambda x: F.when(~F.isnan(x), x))
+def nan_to_null(readings: str) -> str:
+    return f"transform({readings}, x -> if(isnan(x), null, x))"
 
 
-def series_length(items: ColumnLike) -> Column:
-    return F.size(items)
+def series_length(items: str) -> str:
+    return f"size({items})"
 
 
-def count_missing(items: ColumnLike) -> Column:
-    return F.size(F.filter(items, lambda x: x.isNull()))
+def count_missing(items: str) -> str:
+    return f"size(filter({items}, x -> x IS NULL))"
 
 
-def missing_ratio(items: ColumnLike) -> Column:
+def missing_ratio(items: str) -> str:
     """Share of missing items; NULL for an empty list."""
-    return F.try_divide(count_missing(items), F.size(items))
+    return once(items, "whole", lambda a: f"try_divide({count_missing(a)}, size({a}))")
 
 
-def tail(items: ColumnLike, n: int = C.SERIES_TAIL) -> Column:
+def tail(items: str, n: int = C.SERIES_TAIL) -> str:
     """The last ``n`` items, or all of a shorter list."""
-    return let(items, lambda a: F.slice(a, F.greatest(F.lit(1), F.size(a) - (n - 1)), n))
+    return once(items, "whole", lambda a: f"slice({a}, greatest(1, size({a}) - {n - 1}), {n})")
 
 
-def last_item(items: ColumnLike) -> Column:
-    return F.try_element_at(col(items), F.lit(-1))
+def last_item(items: str) -> str:
+    return f"try_element_at({items}, -1)"
 
 
-def tail_desc(items: ColumnLike, n: int) -> list[Column]:
+def tail_desc(items: str, n: int) -> list[str]:
     """The last ``n`` numbers, newest first, 0 where the list is too short."""
-    return [F.coalesce(F.try_element_at(col(items), F.lit(-i)), F.lit(0.0)) for i in range(1, n + 1)]
+    return [f"coalesce(try_element_at({items}, -{i}), 0D)" for i in range(1, n + 1)]
 
 
-def parse_reading_list(text: ColumnLike) -> Column:
-    """``[None, 1.0, nan]`` -> array<double>. Text that is no list fails the job."""
-    return nan_to_null(_parse(text, "array<double>"))
+def _parse(text: str, kind: str) -> str:
+    json = f"regexp_replace({text}, r'{_MISSING_ITEM}', 'null')"
+    return f"from_json({json}, 'array<{kind}>', map('mode', 'FAILFAST'))"
 
 
-def parse_code_list(text: ColumnLike) -> Column:
-    """``['NR', None]`` -> array<string>. A quoted 'None' stays a code."""
-    return _parse(text, "array<string>")
+def parse_reading_list(text: str) -> str:
+    """``[None, 1.0, nan]`` -> array<double>. Text that is no list fails the job."""
+    return nan_to_null(_parse(text, "double"))
 
 
-def _parse(text: ColumnLike, schema: str) -> Column:
-    return F.from_json(
-        F.regexp_replace(col(text), _MISSING_ITEM, "null"), schema, {"mode": "FAILFAST"}
-    )
+def parse_code_list(text: str) -> str:
+    """``['NR', None]`` -> array<string>. A quoted 'None' stays a code."""
+    return _parse(text, "string")
 
 
-def _share(x: Column, months: int) -> Column:
+def _shares(readings: str, months: int) -> str:
     # The cast drops the fraction toward zero.
-    return (x / months).cast("bigint").cast("double")
+    return f"transform({readings}, x -> double(bigint(x / {months})))"
 
 
-def bimonthly_split(readings: ColumnLike) -> Column:
+def bimonthly_split(readings: str) -> str:
     """Halve each reading; a gap takes half of the reading after it, or leaves the list."""
-    return let(
-        F.transform(readings, lambda x: _share(x, 2)),
-        lambda h: F.filter(
-            F.transform(h, lambda x, i: F.coalesce(x, F.get(h, i + 1))), lambda x: x.isNotNull()
-        ),
-    )
+    filled = "transform(halves, (x, i) -> coalesce(x, get(halves, i + 1)))"
+    return let(_shares(readings, 2), "halves", f"filter({filled}, x -> x IS NOT NULL)")
 
 
-def trimonthly_split(readings: ColumnLike) -> Column:
+def trimonthly_split(readings: str) -> str:
     """Spread a third of each reading over its month and the two before; a later reading wins.
 
     Missing items after the last reading leave the list.
     """
-    return let(
-        F.transform(readings, lambda x: _share(x, 3)),
-        lambda t: F.slice(
-            F.transform(t, lambda x, i: F.coalesce(F.get(t, i + 2), F.get(t, i + 1), x)),
-            1,
-            F.coalesce(
-                F.array_max(F.transform(t, lambda x, i: F.when(x.isNotNull(), i + 1))), F.lit(0)
-            ),
-        ),
-    )
-
-
-def cycle_dispatch(cno: ColumnLike, readings: ColumnLike) -> Column:
+    spread = "transform(thirds, (x, i) -> coalesce(get(thirds, i + 2), get(thirds, i + 1), x))"
+    last = "coalesce(array_max(transform(thirds, (x, i) -> if(x IS NULL, null, i + 1))), 0)"
+    return let(_shares(readings, 3), "thirds", f"slice({spread}, 1, {last})")
+
+
+def cycle_dispatch(cno: str, readings: str) -> str:
     """Split the readings by the billing cycle that the consumer number's prefix tells."""
-    cno = col(cno)
-    return (
-        F.when(cno.startswith(C.BIMONTHLY_PREFIX), bimonthly_split(readings))
-        .when(cno.startswith(C.TRIMONTHLY_PREFIX), trimonthly_split(readings))
-        .otherwise(col(readings))
-    )
+    return f"""CASE WHEN startswith({cno}, '{C.BIMONTHLY_PREFIX}') THEN {bimonthly_split(readings)}
+        WHEN startswith({cno}, '{C.TRIMONTHLY_PREFIX}') THEN {trimonthly_split(readings)}
+        ELSE {readings} END"""

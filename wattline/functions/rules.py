@@ -1,148 +1,105 @@
-"""Rules over one consumer's meter type, readings and exception codes; each gives 0 or 1."""
+"""Rules over one consumer's meter type, readings and exception codes (SQL conditions).
+
+A rule is a condition over the columns ELC, adv_ut_list, ent_cd_list and MNO. One that is NULL
+does not fire. Extend a rule table with conditions of your own to add rules.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
-from functools import reduce
+from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from wattline import constants as C
 from wattline.functions.labels import serial_number
-from wattline.functions.lists import ColumnLike, col, last_item, tail
+from wattline.functions.lists import last_item, once, tail
 from wattline.functions.stats import total
 
-Rule = Callable[[], Column]
-
-ELC, READINGS, CODES, MNO = "ELC", "adv_ut_list", "ent_cd_list", "MNO"
+READINGS, CODES = "adv_ut_list", "ent_cd_list"
+ELECTROMECHANICAL, ELECTRONIC = "ELC <=> 'N'", "ELC <=> 'Y'"
 
 
-def _flag(condition: Column) -> Column:
-    return F.when(condition, 1).otherwise(0)
+def fires(condition: str) -> str:
+    """1 if the condition holds, 0 if not or unknown."""
+    return f"if({condition}, 1, 0)"
 
 
-def code_in_last(codes: ColumnLike, code: str, n: int = 3) -> Column:
-    return F.exists(tail(codes, n), lambda x: x.eqNullSafe(code))
+def code_in_last(codes: str, code: str, n: int = 3) -> str:
+    return f"exists({tail(codes, n)}, x -> x <=> '{code}')"
 
 
-def consecutive_code(codes: ColumnLike, code: str = "NR") -> Column:
+def consecutive_code(codes: str, code: str = "NR") -> str:
     """The code in two neighbouring months."""
-    c = col(codes)
-    return F.exists(
-        F.transform(c, lambda x, i: x.eqNullSafe(code) & F.get(c, i + 1).eqNullSafe(code)),
-        lambda hit: hit,
-    )
-
-
-def prior_mean(readings: ColumnLike, n: int = 6) -> Column:
-    """Mean of the ``n`` readings before the last; NULL for fewer or if one is missing."""
-    a = col(readings)
-    return F.when(F.size(a) > n, total(F.slice(a, F.size(a) - n, n)) / n)
-
-
-def spike(readings: ColumnLike, factor: float, floor: float = 50.0) -> Column:
-    """The last reading exceeds ``factor`` times the mean before it, and that mean the floor."""
-    average = prior_mean(readings)
-    return (average > floor) & (last_item(readings) > average * factor)
-
-
-def electromechanical(condition: Column) -> Column:
-    return _flag(F.col(ELC).eqNullSafe("N") & condition)
-
-
-def electronic(condition: Column) -> Column:
-    return _flag(F.col(ELC).eqNullSafe("Y") & condition)
-
-
-def rule_t_1_c_1() -> Column:
-    return electromechanical(code_in_last(CODES, "SP"))
-
-
-def rule_t_1_c_2() -> Column:
-    return electromechanical(last_item(READINGS) < 10)
 
+    def body(a: str) -> str:
+        pairs = f"transform({a}, (x, i) -> x <=> '{code}' AND get({a}, i + 1) <=> '{code}')"
+        return f"exists({pairs}, hit -> hit)"
 
-def rule_t_1_c_3() -> Column:
-    return electromechanical(code_in_last(CODES, "LW"))
+    return once(codes, "codes", body)
 
 
-def rule_t_2_c_1() -> Column:
-    return electronic(spike(READINGS, 4))
-
-
-def rule_t_2_c_2() -> Column:
-    return electronic(spike(READINGS, 8))
-
-
-def rule_t_2_c_3() -> Column:
-    return electronic(code_in_last(CODES, "NR"))
-
-
-def rule_t_2_c_4() -> Column:
-    return electronic(serial_number(MNO).between(*C.SUSPECT_SERIALS))
-
-
-def rule_t_a_c_1() -> Column:
-    return _flag(last_item(CODES).isin(C.BAD_LAST_CODES))
+def prior_mean(readings: str, n: int = 6) -> str:
+    """Mean of the ``n`` readings before the last; NULL for fewer or if one is missing."""
 
+    def body(a: str) -> str:
+        return f"if(size({a}) > {n}, {total(f'slice({a}, size({a}) - {n}, {n})')} / {n}, null)"
 
-def rule_consecutive_nr() -> Column:
-    return _flag(consecutive_code(CODES))
+    return once(readings, "series", body)
 
 
-# The live rules expect zero-filled readings; the scored ones take them as they are.
-LIVE_RULES: dict[str, Rule] = {
-    "t_1_c_1": rule_t_1_c_1,
-    "t_1_c_2": rule_t_1_c_2,
-    "t_1_c_3": rule_t_1_c_3,
-    "t_2_c_1": rule_t_2_c_1,
-    "t_2_c_2": rule_t_2_c_2,
-    "t_2_c_3": rule_t_2_c_3,
-    "t_a_c_1": rule_t_a_c_1,
-    "consecutive_NR": rule_consecutive_nr,
-}
-SCORED_RULES: dict[str, Rule] = {
-    **{name: rule for name, rule in LIVE_RULES.items() if name != "consecutive_NR"},
-    "t_2_c_4": rule_t_2_c_4,
+def spike(readings: str, factor: int, floor: int = 50) -> str:
+    """The last reading exceeds ``factor`` times the mean before it, and that mean the floor."""
+    average = prior_mean(readings)
+    return f"{average} > {floor} AND {last_item(readings)} > {factor} * {average}"
+
+
+RULES: dict[str, str] = {
+    "t_1_c_1": f"{ELECTROMECHANICAL} AND {code_in_last(CODES, 'SP')}",
+    "t_1_c_2": f"{ELECTROMECHANICAL} AND {last_item(READINGS)} < 10",
+    "t_1_c_3": f"{ELECTROMECHANICAL} AND {code_in_last(CODES, 'LW')}",
+    "t_2_c_1": f"{ELECTRONIC} AND {spike(READINGS, 4)}",
+    "t_2_c_2": f"{ELECTRONIC} AND {spike(READINGS, 8)}",
+    "t_2_c_3": f"{ELECTRONIC} AND {code_in_last(CODES, 'NR')}",
+    "t_2_c_4": f"{ELECTRONIC} AND {serial_number('MNO')} BETWEEN {C.SUSPECT_SERIALS[0]} AND {C.SUSPECT_SERIALS[1]}",
+    "t_a_c_1": f"{last_item(CODES)} IN ({', '.join(map(repr, C.BAD_LAST_CODES))})",
+    "consecutive_NR": consecutive_code(CODES),
 }
+# The live rules expect zero-filled readings; the scored ones take them as they are.
+LIVE_RULES = {name: rule for name, rule in RULES.items() if name != "t_2_c_4"}
+SCORED_RULES = {name: RULES[name] for name in C.SCORE_WEIGHTS}
 
 
-def apply_rules(df: DataFrame, rules: dict[str, Rule] | None = None) -> DataFrame:
-    """Add a 0/1 column per rule. Pass your own mapping to extend or replace the rules."""
-    return df.withColumns({name: rule() for name, rule in (rules or LIVE_RULES).items()})
+def apply_rules(df: DataFrame, rules: Mapping[str, str] | None = None) -> DataFrame:
+    """Add a 0/1 column per rule."""
+    rules = LIVE_RULES if rules is None else rules
+    return df.selectExpr("*", *(f"{fires(rule)} AS {name}" for name, rule in rules.items()))
 
 
-def weighted_sum(weights: dict[str, float]) -> Column:
-    return _sum(F.col(name) * F.lit(weight) for name, weight in weights.items())
+def weighted_sum(weights: Mapping[str, float], rules: Mapping[str, str] | None = None) -> str:
+    """Sum of the weights of the rules that fire, from their columns or from ``rules``."""
+    if rules is None:
+        return " + ".join(f"{name} * {weight}D" for name, weight in weights.items())
+    return " + ".join(f"{fires(rules[name])} * {weight}" for name, weight in weights.items())
 
 
-def electronic_weight() -> Column:
+def electronic_weight() -> str:
     return weighted_sum(C.ELECTRONIC_WEIGHTS)
 
 
-def electromechanical_weight() -> Column:
+def electromechanical_weight() -> str:
     return weighted_sum(C.ELECTROMECHANICAL_WEIGHTS)
 
 
-def common_weight() -> Column:
+def common_weight() -> str:
     return weighted_sum(C.COMMON_WEIGHTS)
 
 
-def computed_score(rules: dict[str, Rule] | None = None) -> Column:
+def computed_score(rules: Mapping[str, str] | None = None) -> str:
     """Integer score of the rules that fire on unfilled readings."""
-    rules = rules or SCORED_RULES
-    return _sum(rules[name]() * F.lit(weight) for name, weight in C.SCORE_WEIGHTS.items())
+    return weighted_sum(C.SCORE_WEIGHTS, rules or SCORED_RULES)
 
 
-def score_bin(score: ColumnLike) -> Column:
+def score_bin(score: str) -> str:
     """Name of the left-closed bin; a score of exactly 1 has none."""
-    p = col(score)
-    bins = F.when(p < 0, None)
-    for edge, name in C.SCORE_BINS:
-        bins = bins.when(p < edge, name)
-    return bins
-
-
-def _sum(columns: Iterable[Column]) -> Column:
-    return reduce(lambda a, b: a + b, columns)
+    bins = " ".join(f"WHEN {score} < {edge}D THEN '{name}'" for edge, name in C.SCORE_BINS)
+    return f"CASE WHEN {score} < 0 THEN null {bins} END"

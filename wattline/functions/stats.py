@@ -1,4 +1,4 @@
-"""Statistics of one series, computed inside its row.
+"""Statistics of one series, computed inside its row (SQL text).
 
 A series is at most one value per calendar position, so each of these is a short loop in the JVM
 without a shuffle.
@@ -6,11 +6,8 @@ without a shuffle.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 from wattline import constants as C
-from wattline.functions.lists import ColumnLike, let
+from wattline.functions.lists import let, once
 
 PERIOD = 12
 HALF = PERIOD // 2
@@ -19,181 +16,138 @@ MIN_SEASONAL = 2 * PERIOD
 NOISE = 1e-9
 
 
-def total(items: ColumnLike) -> Column:
-    return F.aggregate(items, F.lit(0.0), lambda acc, x: acc + x)
-
-
-def mean(items: ColumnLike) -> Column:
-    return F.try_divide(total(items), F.size(items))
+def total(items: str) -> str:
+    return f"aggregate({items}, 0D, (acc, x) -> acc + x)"
 
 
-def _with_moments(items: ColumnLike, body) -> Column:
-    """``body(items, mean, population deviation)``."""
+def mean(items: str) -> str:
+    return once(items, "xs", lambda a: f"try_divide({total(a)}, size({a}))")
 
-    def deviation(a: Column, m: Column) -> Column:
-        squares = F.aggregate(a, F.lit(0.0), lambda acc, x: acc + (x - m) * (x - m))
-        return F.sqrt(F.try_divide(squares, F.size(a)))
 
-    return let(
-        items, lambda a: let(mean(a), lambda m: let(deviation(a, m), lambda s: body(a, m, s)))
-    )
+def _with_moments(items: str, body: str) -> str:
+    """``body`` over the items ``xs``, their mean ``mu`` and population deviation ``sd``."""
+    squares = "aggregate(xs, 0D, (acc, x) -> acc + (x - mu) * (x - mu))"
+    deviation = f"sqrt(try_divide({squares}, size(xs)))"
+    return let(items, "xs", let(mean("xs"), "mu", let(deviation, "sd", body)))
 
 
-def zscores(readings: ColumnLike) -> Column:
+def zscores(readings: str) -> str:
     """Population z-scores; all 0 for a flat series."""
     return _with_moments(
-        readings,
-        lambda a, m, s: F.transform(
-            a, lambda x: F.when(s < C.FLAT_STD, F.lit(0.0)).otherwise((x - m) / s)
-        ),
+        readings, f"transform(xs, x -> if(sd < {C.FLAT_STD}D, 0D, (x - mu) / sd))"
     )
 
 
-def zscores_or_null(readings: ColumnLike) -> Column:
+def zscores_or_null(readings: str) -> str:
     """Population z-scores; all NULL for a constant series."""
-    return _with_moments(
-        readings,
-        lambda a, m, s: F.transform(
-            a, lambda x: F.when(F.array_max(a) != F.array_min(a), (x - m) / s)
-        ),
-    )
+    varied = let("array_max(xs) != array_min(xs)", "varied", "transform(xs, x -> if(varied, (x - mu) / sd, null))")
+    return _with_moments(readings, varied)
 
 
-def max_abs(items: ColumnLike) -> Column:
-    return F.array_max(F.transform(items, lambda x: F.abs(x)))
+def max_abs(items: str) -> str:
+    return f"array_max(transform({items}, x -> abs(x)))"
 
 
-def max_abs_zscore(items: ColumnLike, scale: Column) -> Column:
+def max_abs_zscore(items: str, scale: str) -> str:
     """Largest |z|; NULL when the spread is noise against ``scale``."""
-    return _with_moments(
-        items,
-        lambda a, m, s: F.when(
-            s > scale * NOISE, max_abs(F.transform(a, lambda x: F.try_divide(x - m, s)))
-        ),
-    )
+    largest = max_abs("transform(xs, x -> try_divide(x - mu, sd))")
+    return _with_moments(items, f"if(sd > {scale} * {NOISE}D, {largest}, null)")
 
 
-def positive_min(readings: ColumnLike) -> Column:
-    return F.coalesce(F.array_min(F.filter(readings, lambda x: x > 0)), F.lit(0.0))
+def positive_min(readings: str) -> str:
+    return f"coalesce(array_min(filter({readings}, x -> x > 0)), 0D)"
 
 
-def nonzero_min(readings: ColumnLike) -> Column:
-    return F.coalesce(F.array_min(F.filter(readings, lambda x: x != 0)), F.lit(0.0))
+def nonzero_min(readings: str) -> str:
+    return f"coalesce(array_min(filter({readings}, x -> x != 0)), 0D)"
 
 
-def log1p_scale(value: ColumnLike) -> Column:
-    return F.log1p(value)
+def log1p_scale(value: str) -> str:
+    return f"log1p({value})"
 
 
-def count_zero(readings: ColumnLike) -> Column:
-    return F.size(F.filter(readings, lambda x: x == 0))
+def count_zero(readings: str) -> str:
+    return f"size(filter({readings}, x -> x = 0))"
 
 
-def centred_trend(readings: ColumnLike) -> Column:
+def centred_trend(readings: str) -> str:
     """2x12 moving average: item j belongs to position j + 6; empty below 13 readings."""
 
-    def body(a: Column) -> Column:
-        n = F.size(a)
-        at = lambda p: (F.get(a, p - HALF) + F.get(a, p + HALF)) / 2
-        inner = lambda p: total(F.slice(a, p - HALF + 2, PERIOD - 1))
-        return F.when(
-            n > PERIOD,
-            F.transform(F.sequence(F.lit(HALF), n - HALF - 1), lambda p: (at(p) + inner(p)) / PERIOD),
-        ).otherwise(F.array().cast("array<double>"))
+    def body(a: str) -> str:
+        ends = f"(get({a}, p - {HALF}) + get({a}, p + {HALF})) / 2"
+        inner = total(f"slice({a}, p - {HALF - 2}, {PERIOD - 1})")
+        positions = f"sequence({HALF}, size({a}) - {HALF + 1})"
+        trend = f"transform({positions}, p -> ({ends} + {inner}) / {PERIOD})"
+        return f"if(size({a}) > {PERIOD}, {trend}, CAST(array() AS array<double>))"
 
-    return let(readings, body)
+    return once(readings, "series", body)
 
 
-def _line(points: Column, at: Column) -> Column:
+def _line(points: str, at: str) -> str:
     """Values at ``at`` of the least-squares line through points 0, 1, ... of a list."""
+    centre = "(size(ys) - 1) / 2"
+    moment = total(f"transform(ys, (y, u) -> (u - {centre}) * y)")
+    spread = "(size(ys) * (size(ys) * size(ys) - 1) / 12)"
+    line = f"named_struct('level', {mean('ys')}, 'slope', {moment} / {spread}, 'centre', {centre})"
+    values = f"transform({at}, u -> fit.level + fit.slope * (u - fit.centre))"
+    return let(points, "ys", let(line, "fit", values))
+
 
-    def body(t: Column) -> Column:
-        m = F.size(t)
-        centre = (m - 1) / 2
-        moment = F.aggregate(
-            F.transform(t, lambda y, u: (u - centre) * y), F.lit(0.0), lambda acc, v: acc + v
-        )
-        line = F.struct(
-            mean(t).alias("level"),
-            (moment / (m * (m * m - 1) / 12)).alias("slope"),
-            centre.alias("centre"),
-        )
-        return let(
-            line,
-            lambda s: F.transform(at, lambda u: s["level"] + s["slope"] * (u - s["centre"])),
-        )
-
-    return let(points, body)
-
-
-def extended_trend(readings: ColumnLike) -> Column:
+def extended_trend(readings: str) -> str:
     """The centred trend with both ends filled from lines fitted near them.
 
     Each line uses up to 12 trend points. The line at the back leaves out the last trend point.
     """
-
-    def body(t: Column) -> Column:
-        fitted = F.least(F.lit(PERIOD), F.size(t) - 1)
-        front = _line(F.slice(t, F.lit(1), fitted), F.sequence(F.lit(-HALF), F.lit(-1)))
-        back = _line(
-            F.slice(t, F.size(t) - fitted, fitted),
-            F.sequence(fitted + 1, fitted + HALF),
-        )
-        return F.concat(front, t, back)
-
-    return let(centred_trend(readings), body)
+    fitted = f"least({PERIOD}, size(trend) - 1)"
+    front = _line(f"slice(trend, 1, {fitted})", f"sequence(-{HALF}, -1)")
+    back = _line(
+        f"slice(trend, size(trend) - {fitted}, {fitted})",
+        f"sequence({fitted} + 1, {fitted} + {HALF})",
+    )
+    return let(centred_trend(readings), "trend", f"concat({front}, trend, {back})")
 
 
-def _remove_season(detrended: ColumnLike) -> Column:
+def _remove_season(detrended: str) -> str:
     """Take off each phase's mean, itself centred over the phases."""
+    phase = let(f"filter(rest, (x, i) -> i % {PERIOD} = k)", "phase", mean("phase"))
+    phases = f"transform(sequence(0, {PERIOD - 1}), k -> {phase})"
+    adjusted = f"transform(rest, (x, i) -> x - (get(phases, i % {PERIOD}) - centre))"
+    return let(detrended, "rest", let(phases, "phases", let(mean("phases"), "centre", adjusted)))
 
-    def body(d: Column) -> Column:
-        phase = lambda k: F.filter(d, lambda _, i: i % PERIOD == k)
-        phases = F.transform(F.sequence(F.lit(0), F.lit(PERIOD - 1)), lambda k: mean(phase(k)))
-        return let(
-            phases,
-            lambda s: let(
-                mean(s),
-                lambda m: F.transform(d, lambda x, i: x - (F.get(s, i % PERIOD) - m)),
-            ),
-        )
 
-    return let(detrended, body)
-
-
-def seasonal_residual(readings: ColumnLike, extend: bool = True) -> Column:
+def seasonal_residual(readings: str, extend: bool = True) -> str:
     """What an additive 12-step decomposition leaves over; without ``extend`` only the middle."""
 
-    def body(a: Column) -> Column:
+    def body(a: str) -> str:
         trend = extended_trend(a) if extend else centred_trend(a)
-        values = a if extend else F.slice(a, F.lit(HALF + 1), F.size(a) - PERIOD)
-        return _remove_season(F.zip_with(values, trend, lambda x, t: x - t))
+        values = a if extend else f"slice({a}, {HALF + 1}, size({a}) - {PERIOD})"
+        return _remove_season(f"zip_with({values}, {trend}, (x, y) -> x - y)")
+
+    return once(readings, "series", body)
 
-    return let(readings, body)
 
+def _gated(readings: str, zeros: str, residual: str) -> str:
+    long_enough = f"size({readings}) >= {MIN_SEASONAL} AND {count_zero(readings)} {zeros}"
+    return f"if({long_enough}, {residual}, {C.NO_RESIDUAL}D)"
 
-def residual_z(readings: ColumnLike) -> Column:
+
+def residual_z(readings: str) -> str:
     """Largest |z| of the residual, -99 for a short series or one with more than 3 zeros.
 
     NULL where the residual is constant but for rounding.
     """
-    return let(
+    return once(
         readings,
-        lambda a: F.when(
-            (F.size(a) >= MIN_SEASONAL) & (count_zero(a) <= 3),
-            max_abs_zscore(seasonal_residual(a), max_abs(a)),
-        ).otherwise(F.lit(C.NO_RESIDUAL)),
+        "series",
+        lambda a: _gated(a, "<= 3", let(max_abs(a), "scale", max_abs_zscore(seasonal_residual(a), "scale"))),
     )
 
 
-def residual_z_v1(readings: ColumnLike) -> Column:
+def residual_z_v1(readings: str) -> str:
     """Older variant: trend not extended, fewer than 3 zeros, 0 for a constant residual."""
-    return let(
-        readings,
-        lambda a: F.when(
-            (F.size(a) >= MIN_SEASONAL) & (count_zero(a) < 3),
-            F.coalesce(
-                max_abs_zscore(seasonal_residual(a, extend=False), max_abs(a)), F.lit(0.0)
-            ),
-        ).otherwise(F.lit(C.NO_RESIDUAL)),
-    )
+
+    def body(a: str) -> str:
+        largest = let(max_abs(a), "scale", max_abs_zscore(seasonal_residual(a, extend=False), "scale"))
+        return _gated(a, "< 3", f"coalesce({largest}, 0D)")
+
+    return once(readings, "series", body)

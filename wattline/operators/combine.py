@@ -27,14 +27,12 @@ def union_sources(datasets: Mapping[str, DataFrame]) -> DataFrame:
 
 def source_rank(names: Sequence[str], priority: Mapping[str, int]) -> list[Column]:
     """Highest priority first, sources without one last, then in the order given."""
-    chosen = F.lit(None).cast("int")
-    position = F.lit(len(names))
-    for i, name in enumerate(names):
-        tagged = F.col("SOURCE") == name
-        if name in priority:
-            chosen = F.when(tagged, priority[name]).otherwise(chosen)
-        position = F.when(tagged, i).otherwise(position)
-    return [F.desc_nulls_last(chosen), F.asc(position)]
+    chosen = " ".join(f"WHEN {n!r} THEN {priority[n]}" for n in names if n in priority)
+    place = " ".join(f"WHEN {n!r} THEN {i}" for i, n in enumerate(names))
+    return [
+        F.expr(f"CASE SOURCE {chosen or 'WHEN null THEN 0'} END").desc_nulls_last(),
+        F.expr(f"CASE SOURCE {place} END").asc_nulls_last(),
+    ]
 
 
 def dedup_priority(
@@ -58,16 +56,14 @@ def join_report(df: DataFrame, report: DataFrame, keys: Sequence[str] = ("CONS_I
 
 
 def drop_other_meter_remark(df: DataFrame, remark: str = "TD REMARKS") -> DataFrame:
-    return df.where(~is_other_meter(F.col(f"`{remark}`")))
+    return df.where(f"NOT ({is_other_meter(f'`{remark}`')})")
 
 
 def relabel_on_report(df: DataFrame, report: DataFrame) -> DataFrame:
     """Labels corrected by the inspectors' findings."""
     remark = "TD REMARKS"
     joined = drop_other_meter_remark(join_report(df, report), remark)
-    return joined.withColumn(
-        "LABEL", relabel_from_remark("LABEL", F.col(f"`{remark}`"))
-    ).drop(remark)
+    return joined.withColumn("LABEL", F.expr(relabel_from_remark("LABEL", f"`{remark}`"))).drop(remark)
 
 
 def join_history(life: DataFrame, names: DataFrame, keys: Sequence[str] = tuple(C.KEYS)) -> DataFrame:

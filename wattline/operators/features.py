@@ -12,64 +12,72 @@ from wattline.functions.lists import fill_zero, tail_desc
 READINGS = "adv_ut_list"
 
 
-def zscore_features(z: str) -> dict[str, Column]:
+def _add(df: DataFrame, columns: dict[str, str]) -> DataFrame:
+    return df.withColumns({name: F.expr(text) for name, text in columns.items()})
+
+
+def zscore_features(z: str) -> dict[str, str]:
     """The six latest z-scores, newest first, and the largest |z|."""
-    return {
-        **dict(zip(C.Z_COLUMNS, tail_desc(z, 6))),
-        "max_abs_zscore": F.coalesce(stats.max_abs(z), F.lit(0.0)),
-    }
+    latest = dict(zip(C.Z_COLUMNS, tail_desc(z, 6)))
+    return {**latest, "max_abs_zscore": f"coalesce({stats.max_abs(z)}, 0D)"}
 
 
-def zscore_features_v1(z: str) -> dict[str, Column]:
+def zscore_features_v1(z: str) -> dict[str, str]:
     """Older variant: the tail is 0 unless there are more than five readings."""
-    latest = [F.when(F.size(z) > 5, F.try_element_at(F.col(z), F.lit(-i))).otherwise(F.lit(0.0)) for i in range(1, 7)]
-    return {**dict(zip(C.Z_COLUMNS, latest)), "max_abs_zscore": stats.max_abs(z)}
+    latest = {
+        name: f"if(size({z}) > 5, try_element_at({z}, -{i}), 0D)"
+        for i, name in enumerate(C.Z_COLUMNS, 1)
+    }
+    return {**latest, "max_abs_zscore": stats.max_abs(z)}
 
 
-def range_features(readings: str, low: Column) -> dict[str, Column]:
-    high = F.array_max(readings)
-    return {"max_consumption": high, "min_consumption": low, "consumption_range": high - low}
+def range_features(readings: str, low: str) -> dict[str, str]:
+    high = f"array_max({readings})"
+    return {
+        "max_consumption": high,
+        "min_consumption": low,
+        "consumption_range": f"{high} - {low}",
+    }
 
 
 def add_log_scale(df: DataFrame) -> DataFrame:
     columns = ["min_consumption", "max_consumption", "consumption_range"]
-    return df.withColumns({c: stats.log1p_scale(c) for c in columns})
+    return _add(df, {c: stats.log1p_scale(c) for c in columns})
 
 
 def add_statistics(df: DataFrame) -> DataFrame:
     """The 11 statistics of zero-filled readings; all 0 for an empty list."""
-    filled = df.withColumn(READINGS, fill_zero(READINGS)).withColumn("_z", stats.zscores(READINGS))
+    filled = _add(df, {READINGS: fill_zero(READINGS)})
+    scored = _add(filled, {"z": stats.zscores(READINGS)})
     features = {
-        **zscore_features("_z"),
+        **zscore_features("z"),
         "max_residual_zscore": stats.residual_z(READINGS),
         **range_features(READINGS, stats.positive_min(READINGS)),
     }
-    empty = F.size(READINGS) == 0
-    return add_log_scale(
-        filled.withColumns(
-            {name: F.when(empty, F.lit(0.0)).otherwise(c) for name, c in features.items()}
-        ).drop("_z")
-    )
+    guarded = {name: f"if(size({READINGS}) = 0, 0D, {text})" for name, text in features.items()}
+    return add_log_scale(_add(scored, guarded).drop("z"))
 
 
 def add_statistics_v1(df: DataFrame) -> DataFrame:
     """Older variant of the statistics. The readings column itself stays as it is."""
-    filled = df.withColumn("_filled", fill_zero(READINGS)).withColumn("_z", stats.zscores_or_null("_filled"))
+    filled = _add(df, {"filled": fill_zero(READINGS)})
+    scored = _add(filled, {"z": stats.zscores_or_null("filled")})
     features = {
-        **zscore_features_v1("_z"),
-        "max_residual_zscore": stats.residual_z_v1("_filled"),
-        **range_features("_filled", stats.nonzero_min("_filled")),
+        **zscore_features_v1("z"),
+        "max_residual_zscore": stats.residual_z_v1("filled"),
+        **range_features("filled", stats.nonzero_min("filled")),
     }
-    return add_log_scale(filled.withColumns(features).drop("_filled", "_z"))
+    return add_log_scale(_add(scored, features).drop("filled", "z"))
 
 
 def add_weights(df: DataFrame) -> DataFrame:
-    return df.withColumns(
+    return _add(
+        df,
         {
             "electronic_weight": rules.electronic_weight(),
             "electromechanical_weight": rules.electromechanical_weight(),
             "common_weight": rules.common_weight(),
-        }
+        },
     )
 
 

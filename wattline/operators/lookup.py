@@ -11,96 +11,98 @@ from wattline import constants as C
 from wattline.functions.labels import serial_number
 
 MAKE = ("MFG", "AMP", "VLT")
-# A dimension up to this many rows is broadcast; a larger one is joined by shuffle.
-BROADCAST_ROWS = 200_000
+# A range table of up to this many pieces is broadcast; a larger one is joined by shuffle.
+BROADCAST_PIECES = 200_000
 # Width of the serial blocks that spread one make's serials over many join keys.
 BLOCK = 65_536
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Hint a broadcast only after counting; the count stops past the limit."""
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
-
-
 def join_mcd_properties(
     df: DataFrame,
     models: DataFrame,
     on: str = "MCD",
     properties: Sequence[str] = C.MODEL_PROPERTIES,
-    max_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
-    """Attach model properties; an unknown model gets NULLs. ``models`` has one row per model."""
-    return df.join(broadcast_if_small(models.select(on, *properties), max_rows), on, "left")
+    """Attach model properties; an unknown model gets NULLs. ``models`` has one row per model.
+
+    No hint: Spark broadcasts the table if its size is below the session's threshold. Otherwise it
+    joins by shuffle, where AQE splits a model that holds many meters.
+    """
+    return df.join(models.select(on, *properties), on, "left")
 
 
-def join_mcd_key(df: DataFrame, models: DataFrame, on: str = "MCD", max_rows: int = BROADCAST_ROWS) -> DataFrame:
+def join_mcd_key(df: DataFrame, models: DataFrame, on: str = "MCD") -> DataFrame:
     """Attach make, current and voltage only."""
-    return join_mcd_properties(df, models, on, MAKE, max_rows)
+    return join_mcd_properties(df, models, on, MAKE)
+
+
+def blocks_of(ranges: DataFrame, block: int = BLOCK) -> DataFrame:
+    """Ranges with their first and last serial block; a reversed range holds no serial."""
+    return ranges.where("start_serial <= end_serial").selectExpr(
+        "*",
+        f"floor(start_serial / {block}) AS first_block",
+        f"floor(end_serial / {block}) AS last_block",
+    )
 
 
 def disjoint_blocks(ranges: DataFrame, make: Sequence[str] = MAKE, block: int = BLOCK) -> DataFrame:
     """Ranges cut at block borders, overlaps merged: each serial lies in at most one piece.
 
-    ``ranges`` has the make columns and inclusive ``start_serial`` / ``end_serial``.
+    ``ranges`` has the make columns and inclusive ``start_serial`` / ``end_serial``. A window holds
+    one make and block, hence at most one row per serial of the block.
     """
     cut = (
-        ranges.where(F.col("start_serial") <= F.col("end_serial"))
-        .withColumn(
-            "block",
-            F.explode(
-                F.sequence(
-                    F.floor(F.col("start_serial") / block), F.floor(F.col("end_serial") / block)
-                )
-            ),
-        )
-        .select(
+        blocks_of(ranges, block)
+        .withColumn("block", F.expr("explode(sequence(first_block, last_block))"))
+        .selectExpr(
             *make,
             "block",
-            F.greatest("start_serial", F.col("block") * block).alias("lo"),
-            F.least("end_serial", F.col("block") * block + block - 1).alias("hi"),
+            f"greatest(start_serial, block * {block}) AS lo",
+            f"least(end_serial, block * {block} + {block - 1}) AS hi",
         )
         .groupBy(*make, "block", "lo")
         .agg(F.max("hi").alias("hi"))
     )
     within = Window.partitionBy(*make, "block").orderBy("lo")
     reach = F.max("hi").over(within.rowsBetween(Window.unboundedPreceding, -1))
-    opens = F.when(F.col("lo") <= reach, 0).otherwise(1)
-    island = F.sum("_opens").over(within.rowsBetween(Window.unboundedPreceding, 0))
+    island = F.sum("opens").over(within.rowsBetween(Window.unboundedPreceding, 0))
     return (
-        cut.withColumn("_opens", opens)
-        .withColumn("_island", island)
-        .groupBy(*make, "block", "_island")
+        cut.withColumn("opens", F.when(F.col("lo") <= reach, 0).otherwise(1))
+        .withColumn("island", island)
+        .groupBy(*make, "block", "island")
         .agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
-        .drop("_island")
+        .drop("island")
     )
 
 
+def piece_count(ranges: DataFrame, block: int = BLOCK) -> int:
+    """An upper bound of the pieces, from one pass over the range table."""
+    total = blocks_of(ranges, block).agg(F.expr("sum(last_block - first_block + 1)"))
+    return int(total.first()[0] or 0)
+
+
 def range_defect_lookup(
     df: DataFrame,
     ranges: DataFrame,
     serial: str = "MNO",
     make: Sequence[str] = MAKE,
-    max_rows: int = BROADCAST_ROWS,
+    max_pieces: int = BROADCAST_PIECES,
     block: int = BLOCK,
 ) -> DataFrame:
     """Add ``defect_range``: 1 if the serial lies in a range of its make, else 0.
 
     Equi-join on make and serial block, with the range as residual condition. The pieces are
-    disjoint, so no row is doubled. Small range tables are broadcast. Larger ones are shuffled by
-    make and block: a make that holds a third of the meters still spreads over its blocks.
+    disjoint, so no row is doubled. They are broadcast only if their counted number is small.
+    More are shuffled by make and block: a make that holds a third of the meters still spreads
+    over its blocks.
     """
-    pieces = broadcast_if_small(disjoint_blocks(ranges, make, block), max_rows)
-    serials = df.withColumn("_serial", serial_number(serial)).withColumn(
-        "_block", F.floor(F.col("_serial") / block)
-    )
-    on = (
-        [F.col(f"m.{c}") == F.col(f"r.{c}") for c in make]
-        + [F.col("m._block") == F.col("r.block")]
-        + [F.col("m._serial").between(F.col("r.lo"), F.col("r.hi"))]
-    )
-    found = F.when(F.col("r.lo").isNotNull(), 1).otherwise(0).alias("defect_range")
-    return (
-        serials.alias("m")
-        .join(pieces.alias("r"), on, "left")
-        .select(*(F.col(f"m.{c}") for c in df.columns), found)
+    pieces = disjoint_blocks(ranges, make, block)
+    if piece_count(ranges, block) <= max_pieces:
+        pieces = F.broadcast(pieces)
+    serials = df.selectExpr("*", f"{serial_number(serial)} AS serial_no")
+    same_make = " AND ".join(f"m.{c} = r.{c}" for c in make)
+    inside = f"floor(m.serial_no / {block}) = r.block AND m.serial_no BETWEEN r.lo AND r.hi"
+    joined = serials.alias("m").join(
+        pieces.alias("r"), F.expr(f"{same_make} AND {inside}"), "left"
     )
+    return joined.selectExpr(*(f"m.`{c}`" for c in df.columns), "int(r.lo IS NOT NULL) AS defect_range")

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from wattline import constants as C
 from wattline.functions.labels import is_supported_model
-from wattline.functions.lists import ColumnLike, missing_ratio
+from wattline.functions.lists import missing_ratio
 from wattline.operators.rows import (
     DEFAULT_KEYS,
     compare_latest,
@@ -51,28 +51,34 @@ def exclude_keys(df: DataFrame, turned_away: DataFrame, keys: Sequence[str] = DE
     return with_missing_keys(df, turned_away, keys)
 
 
-def is_short_series(readings: ColumnLike) -> Column:
-    return F.size(readings) <= C.SHORT_SERIES
+def is_short_series(readings: str) -> str:
+    return f"size({readings}) <= {C.SHORT_SERIES}"
 
 
-def is_low_max(readings: ColumnLike) -> Column:
+def is_low_max(readings: str) -> str:
     """No reading above 1, or none at all."""
-    return ~F.coalesce(F.array_max(readings) > C.LOW_MAX, F.lit(False))
+    return f"NOT coalesce(array_max({readings}) > {C.LOW_MAX}D, false)"
 
 
-def is_sparse(readings: ColumnLike) -> Column:
-    return F.coalesce(missing_ratio(readings) > C.MISSING_RATIO_LIMIT, F.lit(False))
+def is_sparse(readings: str) -> str:
+    return f"coalesce({missing_ratio(readings)} > {C.MISSING_RATIO_LIMIT}D, false)"
+
+
+def first_reason(*screens: tuple[str, str]) -> Column:
+    """The reason of the first condition that holds, NULL if none does."""
+    cases = " ".join(f"WHEN {condition} THEN '{reason}'" for condition, reason in screens)
+    return F.expr(f"CASE {cases} END")
 
 
 def master_path_reason(
     readings: str = "adv_ut_list", mcd: str = "MCD", defect: str = "defect_range"
 ) -> Column:
     """The first screen of the master path that turns a consumer away, NULL if none."""
-    return (
-        F.when(is_short_series(readings), C.LESS_CONSUMPTION)
-        .when(F.col(defect) == 1, C.DEFECT_RANGE)
-        .when(is_low_max(readings), C.SILENT_LOW_MAX)
-        .when(~is_supported_model(mcd), C.UNSUPPORTED_MCD)
+    return first_reason(
+        (is_short_series(readings), C.LESS_CONSUMPTION),
+        (f"{defect} = 1", C.DEFECT_RANGE),
+        (is_low_max(readings), C.SILENT_LOW_MAX),
+        (f"NOT {is_supported_model(mcd)}", C.UNSUPPORTED_MCD),
     )
 
 
@@ -80,12 +86,12 @@ def history_path_reason(
     readings: str = "adv_ut_list", mcd: str = "MCD", defect: str = "defect_range"
 ) -> Column:
     """The same for the history path, whose screens come in another order."""
-    return (
-        F.when(is_short_series(readings), C.LESS_CONSUMPTION)
-        .when(is_low_max(readings), C.SILENT_LOW_MAX)
-        .when(is_sparse(readings), C.SILENT_SPARSE)
-        .when(F.col(defect) == 1, C.DEFECT_RANGE)
-        .when(~is_supported_model(mcd), C.UNSUPPORTED_MCD)
+    return first_reason(
+        (is_short_series(readings), C.LESS_CONSUMPTION),
+        (is_low_max(readings), C.SILENT_LOW_MAX),
+        (is_sparse(readings), C.SILENT_SPARSE),
+        (f"{defect} = 1", C.DEFECT_RANGE),
+        (f"NOT {is_supported_model(mcd)}", C.UNSUPPORTED_MCD),
     )
 
 

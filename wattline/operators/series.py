@@ -12,20 +12,20 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wattline.functions.lists import ColumnLike, col, let
+from wattline.functions.lists import let
 from wattline.operators.rows import DEFAULT_KEYS
 
 POSITION, VALUE, CODE = "pos", "units", "code"
 
 
-def sum_or_zero(value: ColumnLike) -> Column:
+def sum_or_zero(value: str) -> Column:
     """Sum that skips missing values; 0 where all are missing."""
-    return F.coalesce(F.sum(col(value)), F.lit(0)).cast("double")
+    return F.expr(f"double(coalesce(sum({value}), 0))")
 
 
-def first_code(code: ColumnLike, order: ColumnLike) -> Column:
+def first_code(code: str, order: str) -> Column:
     """The first code that is not missing, in row order."""
-    return F.min_by(col(code), F.when(col(code).isNotNull(), col(order)))
+    return F.expr(f"min_by({code}, {order}) FILTER (WHERE {code} IS NOT NULL)")
 
 
 def agg_month_span(df: DataFrame, month: str, keys: Sequence[str] = DEFAULT_KEYS) -> DataFrame:
@@ -89,48 +89,39 @@ def collect_entries(
 
     ``monthly`` must hold one row per key and position. Rows without a position give no entry.
     """
-    entry = F.struct(F.col(position).alias(POSITION), *fields)
+    entry = f"struct({position} AS {POSITION}, {', '.join(fields)})"
+    entries = f"sort_array(collect_list({entry}) FILTER (WHERE {position} IS NOT NULL))"
     return monthly.groupBy(*keys).agg(
-        F.sort_array(F.collect_list(F.when(F.col(position).isNotNull(), entry))).alias("entries"),
+        F.expr(entries).alias("entries"),
         F.min(position).alias("first_pos"),
         F.max(position).alias("last_pos"),
         *extra,
     )
 
 
-def dense_list(entries: ColumnLike, field: str, start: ColumnLike, kind: str = "double") -> Column:
+def dense_list(entries: str, field: str, start: str, kind: str = "double") -> Column:
     """One item per position from ``start`` to the last entry, NULL in the gaps.
 
     Empty when ``start`` is missing or after the last entry. Each entry brings the gap before it,
     so the list is laid out in one walk without a look-up per position.
     """
-    missing = F.lit(None).cast(kind)
-    start = col(start)
-
-    def lay_out(kept: Column) -> Column:
-        def step(e: Column, i: Column) -> Column:
-            before = F.coalesce(F.get(kept, i - 1)[POSITION], start - 1)
-            return F.concat(F.array_repeat(missing, e[POSITION] - before - 1), F.array(e[field]))
-
-        return F.flatten(F.transform(kept, step))
-
-    return F.coalesce(
-        let(F.filter(entries, lambda e: e[POSITION] >= start), lay_out),
-        F.array().cast(f"array<{kind}>"),
-    )
+    before = f"coalesce(get(kept, i - 1).{POSITION}, {start} - 1)"
+    gap = f"array_repeat(CAST(null AS {kind}), e.{POSITION} - {before} - 1)"
+    laid_out = f"flatten(transform(kept, (e, i) -> concat({gap}, array(e.{field}))))"
+    kept = f"filter({entries}, e -> e.{POSITION} >= {start})"
+    return F.expr(f"coalesce({let(kept, 'kept', laid_out)}, CAST(array() AS array<{kind}>))")
 
 
 def build_series(
     monthly: DataFrame,
     keys: Sequence[str] = DEFAULT_KEYS,
     with_codes: bool = False,
-    start: Column | None = None,
+    start: str = "first_pos",
     position: str = POSITION,
 ) -> DataFrame:
     """Per key the list of readings, and of codes if asked; from its first reading by default."""
     fields = [VALUE, CODE] if with_codes else [VALUE]
     grouped = collect_entries(monthly, fields, keys, position)
-    start = F.col("first_pos") if start is None else start
     lists = [dense_list("entries", VALUE, start).alias("adv_ut_list")]
     if with_codes:
         lists.append(dense_list("entries", CODE, start, "string").alias("ent_cd_list"))
@@ -152,4 +143,4 @@ def pivot_months(
     """
     named = df.withColumn("year", F.year(date)).withColumn("month", F.month(date))
     wide = named.groupBy(*keys, "year").pivot("month", list(range(1, 13))).agg(F.sum(value))
-    return wide.select(*keys, "year", *(F.col(str(m)).alias(f"m{m:02d}") for m in range(1, 13)))
+    return wide.toDF(*keys, "year", *(f"m{m:02d}" for m in range(1, 13)))

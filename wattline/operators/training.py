@@ -133,9 +133,11 @@ def score(model: PipelineModel, df: DataFrame, features: Features = Features())
     """Add the probability of class 1 and its bin; the identifiers stay on the row."""
     scored = model.transform(fill_numeric(df, features))
     added = {"rawPrediction", "probability", "features", *map(_index, features.categorical)}
-    return scored.withColumn(SCORE, vector_to_array("probability")[1]).withColumn(
-        "CATEGORY", score_bin(SCORE)
-    ).drop(*added)
+    return (
+        scored.withColumn(SCORE, vector_to_array("probability")[1])
+        .withColumn("CATEGORY", F.expr(score_bin(SCORE)))
+        .drop(*added)
+    )
 
 
 def evaluate(

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from wattline import constants as C
 from wattline.functions import rules
@@ -34,8 +35,8 @@ def model_input_v1(combined: DataFrame) -> DataFrame:
     """Older variant: integer score on unfilled readings, no weights."""
     scored = combined.select(*C.RAW_COLUMNS).withColumns(
         {
-            "has_consecutive_NR_in_ENT_CD": rules.rule_consecutive_nr(),
-            "computed_score": rules.computed_score(),
+            "has_consecutive_NR_in_ENT_CD": F.expr(rules.fires(rules.RULES["consecutive_NR"])),
+            "computed_score": F.expr(rules.computed_score()),
         }
     )
     return features.add_statistics_v1(scored).select(

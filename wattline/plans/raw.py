@@ -46,8 +46,8 @@ class Screened:
 
 def read_months(consumption: DataFrame) -> DataFrame:
     """Distinct readings with the position of their bill month."""
-    month = dates.month_position(dates.parse_bill_month("BC_CD"))
-    return distinct_rows(consumption).withColumn(series.POSITION, month)
+    rows = distinct_rows(consumption).withColumn("month", F.expr(dates.parse_bill_month("BC_CD")))
+    return rows.withColumn(series.POSITION, F.expr(dates.month_position("month"))).drop("month")
 
 
 def summarise_consumption(consumption: DataFrame) -> DataFrame:
@@ -73,17 +73,21 @@ def summarise_consumption(consumption: DataFrame) -> DataFrame:
 
 def prepare_master(master: DataFrame) -> DataFrame:
     """Distinct master rows with parsed fix date, and a label if the flags are there."""
-    rows = distinct_rows(master).withColumn("FDT", dates.parse_fix_date("FDT"))
+    rows = distinct_rows(master).withColumn("FDT", F.expr(dates.parse_fix_date("FDT")))
     if {"XCHG", "ADV"} <= set(master.columns):
-        rows = rows.withColumn("LABEL", label_from_flags("XCHG", "ADV"))
+        rows = rows.withColumn("LABEL", F.expr(label_from_flags("XCHG", "ADV")))
     return rows
 
 
 def with_lists(summary: DataFrame) -> DataFrame:
     start = dates.series_start("first_pos", dates.month_position("FDT"))
-    readings = series.dense_list("entries", series.VALUE, start)
-    codes = series.dense_list("entries", series.CODE, start, "string")
-    return summary.withColumns({"adv_ut_list": readings, "ent_cd_list": codes}).drop("entries")
+    readings = series.dense_list("entries", series.VALUE, "start_pos")
+    codes = series.dense_list("entries", series.CODE, "start_pos", "string")
+    return (
+        summary.withColumn("start_pos", F.expr(start))
+        .withColumns({"adv_ut_list": readings, "ent_cd_list": codes})
+        .drop("entries")
+    )
 
 
 def recent_lists(df: DataFrame) -> DataFrame:
@@ -93,8 +97,8 @@ def recent_lists(df: DataFrame) -> DataFrame:
     """
     return df.withColumns(
         {
-            "adv_ut_list": tail(cycle_dispatch("CNO", "adv_ut_list")),
-            "ent_cd_list": tail("ent_cd_list"),
+            "adv_ut_list": F.expr(tail(cycle_dispatch("CNO", "adv_ut_list"))),
+            "ent_cd_list": F.expr(tail("ent_cd_list")),
         }
     )
 
@@ -128,10 +132,11 @@ def screen_history_path(
 ) -> Screened:
     """Meter-life lists to one screened row per meter."""
     meters = recent_lists(
-        join_history(life, names).withColumn("adv_ut_list", nan_to_null("adv_ut_list"))
+        join_history(life, names).withColumn("adv_ut_list", F.expr(nan_to_null("adv_ut_list")))
     )
     screened = _look_up(meters, models, ranges, screens.history_path_reason())
-    return Screened(screened.withColumn("LABEL", label_from_current_meter("is_current_meter")))
+    label = F.expr(label_from_current_meter("is_current_meter"))
+    return Screened(screened.withColumn("LABEL", label))
 
 
 def apply_report(kept: DataFrame, report: DataFrame | None) -> DataFrame:

@@ -14,14 +14,15 @@ from wattline.operators.rows import distinct_rows
 from wattline.sources import schemas
 
 
-def _known(name: str) -> Column:
-    text = F.trim(F.col(f"`{name}`"))
-    return F.when(~text.isin(C.MISSING_TEXTS), F.col(f"`{name}`")).alias(name)
+_MISSING = ", ".join(f"'{text}'" for text in C.MISSING_TEXTS)
+
+
+def _known(name: str) -> str:
+    return f"if(trim(`{name}`) IN ({_MISSING}), null, `{name}`) AS `{name}`"
 
 
 def _number(name: str) -> Column:
-    value = F.col(f"`{name}`").try_cast("double")
-    return F.when(~F.isnan(value), value)
+    return F.expr(f"nullif(try_cast({name} AS double), double('NaN'))")
 
 
 def _whole(name: str) -> Column:
@@ -39,7 +40,7 @@ def read_text_table(
     """
     table = (
         spark.read.option("sep", sep).option("header", True).option("escape", '"').csv(path)
-    ).select(*map(_known, columns))
+    ).selectExpr(*map(_known, columns))
     return table.withColumn(C.ROW_ORDER, F.monotonically_increasing_id()) if ordered else table
 
 
@@ -50,10 +51,8 @@ def drop_missing_keys(df: DataFrame, keys: Sequence[str] = C.KEYS) -> DataFrame:
 
 def missing_key_count(df: DataFrame, keys: Sequence[str] = C.KEYS) -> DataFrame:
     """One row that says how many rows ``drop_missing_keys`` leaves out."""
-    complete = F.lit(True)
-    for k in keys:
-        complete = complete & F.col(k).isNotNull()
-    return df.agg(F.count_if(~complete).alias("rows_without_key"))
+    missing = " OR ".join(f"{k} IS NULL" for k in keys)
+    return df.agg(F.expr(f"count_if({missing})").alias("rows_without_key"))
 
 
 def read_consumer(spark: SparkSession, path: str) -> DataFrame:
@@ -86,9 +85,9 @@ def read_meter_life(spark: SparkSession, path: str) -> DataFrame:
         table.withColumns(
             {
                 "MCD": _whole("MCD"),
-                "adv_ut_list": parse_reading_list("adv_ut_list"),
-                "bl_cd_list": parse_code_list("bl_cd_list"),
-                "ent_cd_list": parse_code_list("ent_cd_list"),
+                "adv_ut_list": F.expr(parse_reading_list("adv_ut_list")),
+                "bl_cd_list": F.expr(parse_code_list("bl_cd_list")),
+                "ent_cd_list": F.expr(parse_code_list("ent_cd_list")),
                 "is_current_meter": F.col("is_current_meter").try_cast("boolean"),
             }
         )
@@ -114,8 +113,8 @@ def read_defect_range(spark: SparkSession, path: str) -> DataFrame:
     return table.withColumns(
         {
             "VLT": _whole("VLT").cast("string"),
-            "start_serial": serial_number("start_serial"),
-            "end_serial": serial_number("end_serial"),
+            "start_serial": F.expr(serial_number("start_serial")),
+            "end_serial": F.expr(serial_number("end_serial")),
         }
     )
 
