@@ -131,7 +131,7 @@ def metric_report(t: Tables) -> DataFrame:
 @lru_cache(maxsize=4)
 def _training(application: str, sf_dir: str) -> tuple[DataFrame, model_run.ModelRun]:
     t = Tables(SparkSession.getActiveSession(), sf_dir)
-    table = model_input.model_input(stages.combined(t)).checkpoint()
+    table = model_input.model_input(stages.stored_combined(t)).checkpoint()
     return table, model_run.train_and_select(table, params=DEMO)
 
 

@@ -13,6 +13,22 @@ ORACLES: dict[str, str] = {}
 CTES: dict[str, str] = {}
 
 
+# Declared, so that opening a table starts no job to look at its file.
+SCHEMAS = {
+    "customer": "c_custkey long, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey long, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey long, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, "
+    "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
+    "l_shipdate timestamp_ntz",
+    "events": "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string",
+    "documents": "doc_id long, text string, lang string, source string, n_chars long",
+    "labels": "doc_id long, quality int, toxic int",
+}
+
+
 class Tables:
     """``t.orders`` reads orders.parquet."""
 
@@ -20,9 +36,10 @@ class Tables:
         self.spark, self.sf_dir = spark, sf_dir
 
     def __getattr__(self, name: str) -> DataFrame:
-        if name.startswith("_"):
+        if name not in SCHEMAS:
             raise AttributeError(name)
-        return self.spark.read.parquet(f"{self.sf_dir.rstrip('/')}/{name}.parquet")
+        path = f"{self.sf_dir.rstrip('/')}/{name}.parquet"
+        return self.spark.read.schema(SCHEMAS[name]).parquet(path)
 
 
 def query(name: str, sql: str | None = None):

@@ -22,6 +22,8 @@ from wattline.functions import rules
 from wattline.operators.rows import distinct_rows
 from wattline.plans import model_input as model
 from wattline.plans import raw
+from wattline.session import fresh_dir
+from wattline.sources import readers, sinks
 
 KEYS = "CONS_ID, CSQ, MNO"
 PROPERTIES = ", ".join(C.MODEL_PROPERTIES)
@@ -214,6 +216,15 @@ def combine(t: Tables) -> DataFrame:
     return _flat(combined(t))
 
 
+def combined_path(t: Tables) -> str:
+    return sinks.write_combined(combined(t), fresh_dir(t.spark, "combined"), ["D_1", "D_2"])
+
+
+def stored_combined(t: Tables) -> DataFrame:
+    """The combined dataset as the next stage finds it: the fit of the weights reads it again."""
+    return readers.read_combined(t.spark, combined_path(t))
+
+
 for _kind in ("tail", "codes"):
     _value = {"tail": "v", "codes": "code"}[_kind]
     cte(
@@ -263,7 +274,7 @@ SELECT CNO, MNO, max(code) FILTER (idx = n - 1) AS last_code,
   coalesce(bool_or(code = 'NR' AND prev = 'NR'), false) AS nr_twice
 FROM (SELECT *, lag(code) OVER (PARTITION BY CNO, MNO ORDER BY idx) AS prev FROM x_codes) GROUP BY CNO, MNO""",
 )
-BASE = ", ".join(C.BASE_COLUMNS)
+BASE = ", ".join(C.BASE_COLUMNS).replace("MCD", "CAST(MCD AS VARCHAR) AS MCD")
 cte(
     "x_rules",
     f"""
@@ -302,7 +313,7 @@ def _rounded(df: DataFrame) -> DataFrame:
   {fitted_sql(C.WEIGHT_COLUMNS, 'x_weights')} FROM x_weights""",
 )
 def model_input(t: Tables) -> DataFrame:
-    return _rounded(model.model_input(combined(t)))
+    return _rounded(model.model_input(stored_combined(t)))
 
 
 V1_Z = ", ".join([*(r6(f"z1_{i}", f"z_score_{i}") for i in range(6)), r6("max_abs_z1", "max_abs_zscore")])
@@ -323,4 +334,4 @@ FROM combined JOIN x_facts USING (CNO, MNO) JOIN x_scores USING (CNO, MNO)
 LEFT JOIN x_code_facts USING (CNO, MNO) LEFT JOIN x1_resid_stats USING (CNO, MNO)""",
 )
 def model_input_v1(t: Tables) -> DataFrame:
-    return _rounded(model.model_input_v1(combined(t)))
+    return _rounded(model.model_input_v1(stored_combined(t)))

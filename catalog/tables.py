@@ -107,18 +107,14 @@ def src_dataset(t: Tables) -> DataFrame:
     return stages._flat(readers.read_dataset(t.spark, _raw_path(t), "D_1"))
 
 
-def _combined_path(t: Tables) -> str:
-    return sinks.write_combined(stages.combined(t), fresh_dir(t.spark, "combined"), ["D_1", "D_2"])
-
-
 @query("sink_combined", f"{RAW_SQL}, SOURCE FROM combined")
 def sink_combined(t: Tables) -> DataFrame:
-    return stages._flat(t.spark.read.parquet(_combined_path(t)))
+    return stages._flat(t.spark.read.parquet(stages.combined_path(t)))
 
 
 @query("src_combined", f"{RAW_SQL} FROM combined")
 def src_combined(t: Tables) -> DataFrame:
-    return stages._flat(readers.read_combined(t.spark, _combined_path(t)))
+    return stages._flat(stages.stored_combined(t))
 
 
 def _model_input_path(t: Tables) -> str:

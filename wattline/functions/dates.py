@@ -8,9 +8,24 @@ def parse_fix_date(text: str) -> str:
     return f"CAST(try_to_timestamp({text}, 'd/M/yyyy') AS date)"
 
 
+# The months whose first day a nanosecond timestamp can hold. A month outside is
+# taken for a typing error, which also bounds a series at 7,015 months.
+FIRST_MONTH, LAST_MONTH = "167710", "226204"
+
+
+def bill_month_position(text: str) -> str:
+    """Position of a ``yyyyMM`` text, NULL when it is no month.
+
+    A pattern and integer arithmetic: far cheaper per reading than parsing a timestamp.
+    """
+    is_month = f"{text} RLIKE '^[0-9]{{4}}(0[1-9]|1[0-2])$'"
+    known = f"{is_month} AND {text} BETWEEN '{FIRST_MONTH}' AND '{LAST_MONTH}'"
+    return f"if({known}, int({text}) div 100 * 12 + int({text}) % 100 - 1, null)"
+
+
 def parse_bill_month(text: str) -> str:
     """``yyyyMM`` text to the first of that month, NULL when it is none."""
-    return f"CAST(try_to_timestamp({text}, 'yyyyMM') AS date)"
+    return position_month(bill_month_position(text))
 
 
 def month_start(date: str) -> str:
@@ -23,7 +38,7 @@ def month_position(date: str) -> str:
 
 
 def position_month(position: str) -> str:
-    return f"make_date(int({position} div 12), int({position} % 12 + 1), 1)"
+    return f"make_date(int(({position}) div 12), int(({position}) % 12 + 1), 1)"
 
 
 def day_position(date: str) -> str:

@@ -46,8 +46,8 @@ class Screened:
 
 def read_months(consumption: DataFrame) -> DataFrame:
     """Distinct readings with the position of their bill month."""
-    rows = distinct_rows(consumption).withColumn("month", F.expr(dates.parse_bill_month("BC_CD")))
-    return rows.withColumn(series.POSITION, F.expr(dates.month_position("month"))).drop("month")
+    month = F.expr(f"int({dates.bill_month_position('BC_CD')})")
+    return distinct_rows(consumption).withColumn(series.POSITION, month)
 
 
 def summarise_consumption(consumption: DataFrame) -> DataFrame:
