@@ -368,7 +368,7 @@ def agg_global_range(t: Tables) -> DataFrame:
 
 
 _MONTHS = ", ".join(
-    f"CAST(sum(CAST(l_quantity AS DECIMAL(18, 2))) FILTER (month(l_shipdate) = {m}) AS DOUBLE) AS m{m:02d}"
+    f"sum(l_quantity) FILTER (month(l_shipdate) = {m}) AS m{m:02d}"
     for m in range(1, 13)
 )
 
@@ -379,9 +379,8 @@ _MONTHS = ", ".join(
 FROM lineitem GROUP BY l_suppkey, year(l_shipdate)""",
 )
 def pivot_months(t: Tables) -> DataFrame:
-    lines = t.lineitem.select("l_suppkey", "l_shipdate", S.money("l_quantity").alias("v"))
-    wide = series.pivot_months(lines, "v", "l_shipdate", ["l_suppkey"])
-    return wide.select(*(F.col(c).cast("double").alias(c) if c.startswith("m") else c for c in wide.columns))
+    lines = t.lineitem.select("l_suppkey", "l_shipdate", F.col("l_quantity").alias("v"))
+    return series.pivot_months(lines, "v", "l_shipdate", ["l_suppkey"])
 
 
 @query(
@@ -459,7 +458,7 @@ def datasets(t: Tables) -> dict[str, DataFrame]:
         ),
         "D_5": t.lineitem.select(
             F.col("l_orderkey").cast("string").alias("CONS_ID"),
-            F.concat(F.col("l_linenumber").cast("string"), F.lit("-"), F.col("l_partkey").cast("string"), F.lit("-"), F.col("l_extendedprice").cast("decimal(18,2)").cast("string")).alias("CSQ"),
+            F.expr("l_linenumber || '-' || l_partkey AS CSQ"),
             F.col("l_suppkey").cast("string").alias("CNO"),
             F.month("l_shipdate").cast("string").alias("MNO"),
         ),
@@ -485,7 +484,7 @@ SELECT CAST(o_orderkey AS VARCHAR) AS CONS_ID, '1' AS CSQ, CAST(o_custkey AS VAR
   CAST(month(o_orderdate) AS VARCHAR) AS MNO, o_totalprice, 'D_1' AS SOURCE, 0 AS pri, 0 AS place FROM orders
 UNION ALL BY NAME
 SELECT CAST(l_orderkey AS VARCHAR) AS CONS_ID,
-  l_linenumber || '-' || l_partkey || '-' || CAST(l_extendedprice AS DECIMAL(18, 2)) AS CSQ,
+  l_linenumber || '-' || l_partkey AS CSQ,
   CAST(l_suppkey AS VARCHAR) AS CNO, CAST(month(l_shipdate) AS VARCHAR) AS MNO, 'D_5' AS SOURCE, 1 AS pri, 1 AS place FROM lineitem
 UNION ALL BY NAME
 SELECT s_name AS CONS_ID, '1' AS CSQ, CAST(s_suppkey AS VARCHAR) AS CNO, CAST(s_nationkey AS VARCHAR) AS MNO,

@@ -104,11 +104,11 @@ def fill_zero(t: Tables) -> DataFrame:
 
 @query(
     "nan_to_none",
-    """SELECT k, idx, CASE WHEN v > 100000 THEN round(v, 2) + 0.0 END AS v FROM c_rows""",
+    """SELECT k, idx, CASE WHEN v > 10000000 THEN round(v, 2) + 0.0 END AS v FROM c_rows""",
 )
 def nan_to_none(t: Tables) -> DataFrame:
-    """Readings up to 100,000 are NaN on the way in."""
-    marked = "transform(adv_ut_list, x -> if(x IS NULL OR x > 100000, x, double('NaN')))"
+    """Readings up to 100,000.00 are NaN on the way in."""
+    marked = "transform(adv_ut_list, x -> if(x IS NULL OR x > 10000000, x, double('NaN')))"
     return _long(S.c_series(t).withColumn("adv_ut_list", F.expr(lists.nan_to_null(marked))))
 
 

@@ -42,8 +42,9 @@ def choose_sql(column: str, mapping: dict) -> str:
     return f"CASE {column} {arms} END"
 
 
-def money(column: str) -> Column:
-    return F.col(column).cast("decimal(18,2)")
+def cents(column: str) -> Column:
+    """Whole cents, so that sums do not depend on their order."""
+    return F.expr(f"bigint({column} * 100 + 0.5D)")
 
 
 def text_id(column: str, width: int = 8) -> Column:
@@ -153,7 +154,7 @@ def consumption(t: Tables) -> DataFrame:
         text_id("o_custkey").alias("CONS_ID"),
         F.lit("1").alias("CSQ"),
         F.when(other, "5").otherwise((F.col("o_custkey") * 11 + 3000000).cast("string")).alias("MNO"),
-        F.when(no_month, "199913").otherwise(F.date_format("o_orderdate", "yyyyMM")).alias("BC_CD"),
+        F.when(no_month, "199913").otherwise(F.expr("string(year(o_orderdate) * 100 + month(o_orderdate))")).alias("BC_CD"),
         status.alias("BL_CD"),
         choose("o_orderpriority", PRIORITY_CODES).alias("ENT_CD"),
         F.when(~((status == "F") & (priority == "5-LOW")), F.floor(F.col("o_totalprice") / 1000).cast("double")).alias("ADV_UT"),
@@ -163,7 +164,7 @@ def consumption(t: Tables) -> DataFrame:
         F.concat(F.lit("U"), text_id("user_id", 7)).alias("CONS_ID"),
         F.lit("1").alias("CSQ"),
         F.col("user_id").cast("string").alias("MNO"),
-        F.date_format("ts", "yyyyMM").alias("BC_CD"),
+        F.expr("string(year(ts) * 100 + month(ts)) AS BC_CD"),
         F.lit(None).cast("string").alias("BL_CD"),
         choose("event_type", EVENT_CODES).alias("ENT_CD"),
         F.floor("value").cast("double").alias("ADV_UT"),
@@ -356,7 +357,7 @@ def m_rows(t: Tables) -> DataFrame:
     return t.lineitem.select(
         F.col("l_suppkey").alias("k"),
         F.expr(dates.month_position("l_shipdate")).alias("pos"),
-        money("l_quantity").alias("v"),
+        F.col("l_quantity").alias("v"),
     )
 
 
@@ -364,7 +365,7 @@ def c_rows(t: Tables) -> DataFrame:
     return t.orders.select(
         F.col("o_custkey").alias("k"),
         F.expr(dates.month_position("o_orderdate")).alias("pos"),
-        money("o_totalprice").alias("v"),
+        cents("o_totalprice").alias("v"),
     )
 
 
@@ -372,7 +373,7 @@ def e_rows(t: Tables) -> DataFrame:
     return t.events.select(
         F.col("user_id").alias("k"),
         F.expr(dates.day_position("ts")).alias("pos"),
-        money("value").alias("v"),
+        F.col("value").cast("decimal(18,2)").alias("v"),
         choose("event_type", EVENT_CODES).alias("code_in"),
         "event_id",
     )
@@ -416,14 +417,14 @@ _series_ctes(
     "m",
     """
 SELECT l_suppkey AS k, CAST(year(l_shipdate) * 12 + month(l_shipdate) - 1 AS INTEGER) AS pos,
-  CAST(sum(CAST(l_quantity AS DECIMAL(18, 2))) AS DOUBLE) AS units
+  sum(l_quantity) AS units
 FROM lineitem GROUP BY ALL""",
 )
 _series_ctes(
     "c",
     """
 SELECT o_custkey AS k, CAST(year(o_orderdate) * 12 + month(o_orderdate) - 1 AS INTEGER) AS pos,
-  CAST(sum(CAST(o_totalprice AS DECIMAL(18, 2))) AS DOUBLE) AS units
+  CAST(sum(CAST(floor(o_totalprice * 100 + 0.5) AS BIGINT)) AS DOUBLE) AS units
 FROM orders GROUP BY ALL""",
 )
 _series_ctes(
