@@ -13,8 +13,8 @@ CHECKPOINT_KEY = "spark.checkpoint.dir"
 def build_session(master: str = "local[*]", app: str = "wattline", **conf: str) -> SparkSession:
     """A session with the settings the operators are written for.
 
-    ``spark.sql.shuffle.partitions`` is only the upper bound: AQE coalesces small partitions and
-    splits skewed ones, so a cluster can set it generously.
+    A cluster sets ``spark.sql.shuffle.partitions`` itself, and generously: AQE coalesces small
+    partitions and splits skewed ones. Only a local master gets a small number here.
     """
     builder = (
         SparkSession.builder.master(master)
@@ -25,28 +25,29 @@ def build_session(master: str = "local[*]", app: str = "wattline", **conf: str)
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
-        .config("spark.sql.shuffle.partitions", "8")
     )
+    if master.startswith("local"):
+        builder = builder.config("spark.sql.shuffle.partitions", "8")
     for key, value in conf.items():
         builder = builder.config(key.replace("__", "."), value)
     return builder.getOrCreate()
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder the cluster names in ``spark.checkpoint.dir``; it is set here only if unset.
+    """The folder the cluster names in ``spark.checkpoint.dir``; one is made here only if unset.
 
-    A machine-local folder is used only by a local master: executors on other hosts could not
+    A machine-local folder is made only for a local master: executors on other hosts could not
     read it.
     """
-    configured = spark.conf.get(CHECKPOINT_KEY, None)
-    if configured:
-        return configured
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError(f"set {CHECKPOINT_KEY} to a folder that every executor can reach")
-    made = tempfile.mkdtemp(prefix="wattline-")
-    spark.conf.set(CHECKPOINT_KEY, made)
-    spark.sparkContext.setCheckpointDir(made)
-    return made
+    context = spark.sparkContext
+    folder = spark.conf.get(CHECKPOINT_KEY, None) or context.getCheckpointDir()
+    if not folder:
+        if not context.master.startswith("local"):
+            raise ValueError(f"set {CHECKPOINT_KEY} to a folder that every executor can reach")
+        folder = tempfile.mkdtemp(prefix="wattline-")
+    if not context.getCheckpointDir():
+        context.setCheckpointDir(folder)
+    return folder
 
 
 def fresh_dir(spark: SparkSession, label: str) -> str:
