@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-from functools import lru_cache
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from catalog import stages
@@ -12,7 +10,7 @@ from catalog.registry import Tables, query, rounded
 from wattline.functions import rules
 from wattline.operators import metrics, ranking, training
 from wattline.plans import model_input, model_run
-from wattline.session import fresh_dir
+from wattline.session import fresh_dir, shared_dir
 from wattline.sources import sinks
 
 # Fewer trees than production, so that the queries show the steps without hours of boosting.
@@ -128,16 +126,17 @@ def metric_report(t: Tables) -> DataFrame:
 # ---- model; MLlib has no SQL twin, so these are checked by their properties in the tests ----
 
 
-@lru_cache(maxsize=4)
-def _training(application: str, sf_dir: str) -> tuple[DataFrame, model_run.ModelRun]:
-    t = Tables(SparkSession.getActiveSession(), sf_dir)
-    table = model_input.model_input(stages.stored_combined(t)).checkpoint()
-    return table, model_run.train_and_select(table, params=DEMO)
+_RUNS: dict[tuple[str, str], tuple[DataFrame, model_run.ModelRun]] = {}
 
 
 def run_of(t: Tables) -> tuple[DataFrame, model_run.ModelRun]:
-    """The trained run, shared by the queries that report on it."""
-    return _training(t.spark.sparkContext.applicationId, t.sf_dir)
+    """The model input and the run trained on it, shared by the queries that report on them."""
+    key = (t.spark.sparkContext.applicationId, t.sf_dir)
+    if key not in _RUNS:
+        shared_dir(t.spark)
+        table = model_input.model_input(stages.stored_combined(t)).checkpoint()
+        _RUNS[key] = table, model_run.train_and_select(table, params=DEMO)
+    return _RUNS[key]
 
 
 def _importances(t: Tables) -> DataFrame:

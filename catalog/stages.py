@@ -316,6 +316,14 @@ def model_input(t: Tables) -> DataFrame:
     return _rounded(model.model_input(stored_combined(t)))
 
 
+@query(
+    "model_input_encoded",
+    "SELECT CNO, MNO, CAST(dense_rank() OVER (ORDER BY ELC NULLS LAST) - 1 AS INTEGER) AS ELC FROM combined",
+)
+def model_input_encoded(t: Tables) -> DataFrame:
+    return model.encode_elc(model.model_input(stored_combined(t))).select("CNO", "MNO", "ELC")
+
+
 V1_Z = ", ".join([*(r6(f"z1_{i}", f"z_score_{i}") for i in range(6)), r6("max_abs_z1", "max_abs_zscore")])
 V1_LOG = LOG_SQL.replace("low", "low_v1")
 V1_RULES = {

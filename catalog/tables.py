@@ -150,7 +150,7 @@ def sink_rejects(t: Tables) -> DataFrame:
 def sink_predictions(t: Tables) -> DataFrame:
     table, run = modelling.run_of(t)
     path = fresh_dir(t.spark, "predictions")
-    sinks.write_predictions(model_run.predict(run.full, table, run.features), path)
+    sinks.write_predictions(model_run.predict_all(run.full, table, run.features), path)
     return t.spark.read.parquet(path).where("PREDICTION_SCORE BETWEEN 0 AND 1").select("CNO", "MNO")
 
 

@@ -11,6 +11,7 @@ from wattline import constants as C
 from wattline.functions import rules
 from wattline.operators import features
 from wattline.operators.combine import dedup_priority, union_sources
+from wattline.operators.training import label_encode
 
 
 def combine(datasets: Mapping[str, DataFrame], priority: Mapping[str, int]) -> DataFrame:
@@ -31,6 +32,11 @@ def model_input(combined: DataFrame, mode: str = "fit") -> DataFrame:
     )
 
 
+def encode_elc(table: DataFrame) -> DataFrame:
+    """The table with ELC as an integer, for models that take numbers only."""
+    return label_encode(table, "ELC", "code").withColumn("ELC", F.col("code")).drop("code")
+
+
 def model_input_v1(combined: DataFrame) -> DataFrame:
     """Older variant: integer score on unfilled readings, no weights."""
     scored = combined.select(*C.RAW_COLUMNS).withColumns(

@@ -58,6 +58,11 @@ def train_and_select(
     return ModelRun(full, selected, features, chosen, metrics)
 
 
+def predict_all(model: PipelineModel, model_input: DataFrame, features: T.Features = T.Features()) -> DataFrame:
+    """The scoring input with score and bin beside it."""
+    return T.score(model, model_input, features)
+
+
 def predict(model: PipelineModel, model_input: DataFrame, features: T.Features = T.Features()) -> DataFrame:
     """Identifiers with score and bin."""
     return T.score(model, model_input, features).select(*C.REJECT_COLUMNS[:4], T.SCORE, "CATEGORY")

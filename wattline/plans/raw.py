@@ -140,7 +140,7 @@ def screen_history_path(
 
 
 def apply_report(kept: DataFrame, report: DataFrame | None) -> DataFrame:
-    """Labels corrected by a field report, if there is one with rows."""
-    if report is None:
+    """Labels corrected by a field report; without one, or with an empty one, rows stay as they are."""
+    if report is None or report.isEmpty():
         return kept
     return relabel_on_report(kept, report).select(*C.RAW_COLUMNS)

@@ -17,7 +17,9 @@ The driver only builds plans and names paths; rows stay in the tables.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -27,6 +29,11 @@ from wattline.session import fresh_dir
 from wattline.sources import readers, sinks
 
 
+def load(path: str) -> dict:
+    """The config from a JSON file."""
+    return json.loads(Path(path).read_text(encoding="utf-8"))
+
+
 def process_raw(spark: SparkSession, config: Mapping) -> dict[str, str]:
     """Screen each dataset; write its kept rows and its rejects. Returns the path per dataset."""
     models = readers.read_mcd(spark, config["lookups"]["mcd"])
@@ -61,11 +68,17 @@ def concatenate(spark: SparkSession, config: Mapping, files: Mapping[str, str] |
 
 
 def prepare_model_input(
-    spark: SparkSession, config: Mapping, path: str | None = None, mode: str = "fit"
+    spark: SparkSession,
+    config: Mapping,
+    path: str | None = None,
+    mode: str = "fit",
+    encode_elc: bool = False,
 ) -> str:
     step = config["prepare_model_input"]
     path = step.get("files") or path
     table = model_input.model_input(readers.read_combined(spark, path), mode)
+    if encode_elc:
+        table = model_input.encode_elc(table)
     return sinks.write_model_input(table, step["output_directory"], path.rstrip("/").split("/")[-1])
 
 
