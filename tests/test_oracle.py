@@ -6,6 +6,7 @@ import pytest
 
 import __spark_entry__ as entry
 from catalog.compare import compare, connect
+from catalog.registry import QUERIES, oracles
 
 SF_DIR = "/root/testdata/sf0.001"
 NO_TWIN = {
@@ -20,10 +21,10 @@ def tables():
 
 
 def test_only_model_queries_lack_sql():
-    assert set(entry.queries()) - set(entry.oracle_sql()) == NO_TWIN
+    assert set(QUERIES) - set(oracles()) == NO_TWIN
 
 
-@pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(oracles()))
 def test_query_matches_sql(spark, tables, name):
     found = compare(spark, tables, name, SF_DIR)
     assert found["status"] == "same", found

@@ -6,21 +6,21 @@ import re
 
 import pytest
 
-import __spark_entry__ as entry
+from catalog.registry import QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
 # These train a model or write files while the plan is built; other tests run them.
 BUILT_BY_JOBS = {
     "train_gbt", "select_features", "eval_curves", "accuracy_score", "reduction_ratio", "log_run", "predict_proba",
 }
-NAMES = sorted(n for n in entry.queries() if n not in BUILT_BY_JOBS and not n.startswith(("src_", "sink_", "model_input_")))
+NAMES = sorted(n for n in QUERIES if n not in BUILT_BY_JOBS and not n.startswith(("src_", "sink_", "model_input_")))
 # NOT IN over a table never shows up: the library writes anti joins.
 UNWANTED = ["EvalPython", "InPandas", "InArrow", "CartesianProduct", "BroadcastNestedLoopJoin"]
 
 
 @pytest.mark.parametrize("name", NAMES)
 def test_plan(spark, name):
-    plan = entry.queries()[name](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
+    plan = QUERIES[name](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
     assert not [op for op in UNWANTED if op in plan]
     lines = plan.splitlines()
     for i, line in enumerate(lines):
@@ -29,9 +29,9 @@ def test_plan(spark, name):
 
 
 def test_scan_reads_only_what_is_asked(spark):
-    df = entry.queries()["agg_month_sum"](spark, SF_DIR)
+    df = QUERIES["agg_month_sum"](spark, SF_DIR)
     plan = df._jdf.queryExecution().executedPlan().toString()
     orders = next(line for line in plan.splitlines() if "orders.parquet" in line)
     assert "o_shippriority" not in orders and "o_custkey" in orders
-    lines = entry.queries()["feat_zscore_tail"](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
+    lines = QUERIES["feat_zscore_tail"](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<l_suppkey:bigint,l_quantity:double,l_shipdate" in lines
