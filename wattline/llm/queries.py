@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattline.llm import near_dedup
+from wattline.llm import near_dedup, packing, token_store
 from wattline.llm.tables import load
+from wattline.session import fresh_dir
 
 ORACLES: dict[str, str] = {}
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -28,3 +29,16 @@ def op5_setsketch_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "component_id",
         F.coalesce(F.col("id") == F.col("component_id"), F.lit(False)).alias("kept"),
     )
+
+
+@query
+def op7_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = fresh_dir(spark, "token-store")
+    token_store.write(load(spark, sf_dir, "documents"), out)
+    return token_store.digests(spark, out).withColumnRenamed("key", "doc_id")
+
+
+@query
+def op9_histogram_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    packed = packing.pack(packing.pieces(load(spark, sf_dir, "documents")))
+    return packed.drop("ids").withColumnRenamed("id", "doc_id")

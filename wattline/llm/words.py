@@ -58,7 +58,7 @@ def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data, np.uint8)[limits[0] : limits[-1]], limits - limits[0]
 
 
-def _cuts(data: np.ndarray, rows: np.ndarray) -> Iterator[tuple[int, int]]:
+def _cuts(data: np.ndarray, rows: np.ndarray, gap: np.ndarray) -> Iterator[tuple[int, int]]:
     """Pieces of about SEGMENT bytes that end where a word cannot go on."""
     low = 0
     while low < len(data):
@@ -68,7 +68,7 @@ def _cuts(data: np.ndarray, rows: np.ndarray) -> Iterator[tuple[int, int]]:
             if at > low:
                 high = at
                 break
-            blank = np.flatnonzero(_BLANK[data[low:high]])
+            blank = np.flatnonzero(gap[data[low:high]])
             if len(blank):
                 high = low + int(blank[-1]) + 1
                 break
@@ -77,13 +77,18 @@ def _cuts(data: np.ndarray, rows: np.ndarray) -> Iterator[tuple[int, int]]:
         low = high
 
 
-def spans(data: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Hash and first byte of every word, and the n + 1 limits of the rows among the words."""
+def spans(
+    data: np.ndarray, rows: np.ndarray, gap: np.ndarray = _BLANK, byte: np.ndarray = _BYTE
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hash and first byte of every word, and the n + 1 limits of the rows among the words.
+
+    ``gap`` tells the bytes between words, ``byte`` gives each byte's part in the hash.
+    """
     hashes, firsts = [], []
     begins = rows[:-1]
-    for low, high in _cuts(data, rows):
+    for low, high in _cuts(data, rows, gap):
         part = data[low:high]
-        solid = ~_BLANK[part]
+        solid = ~gap[part]
         fresh = np.empty(len(part), bool)
         fresh[0] = True
         fresh[1:] = ~solid[:-1]
@@ -96,7 +101,7 @@ def spans(data: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, n
         place = np.flatnonzero(solid)
         word = np.cumsum(first)[place] - 1
         depth = place - at[word]
-        value = _BYTE[part[place]] * _power(int(depth.max()) + 1)[depth]
+        value = byte[part[place]] * _power(int(depth.max()) + 1)[depth]
         hashes.append(mix(np.add.reduceat(value, np.searchsorted(place, at))))
         firsts.append(at + low)
     found = np.concatenate(hashes) if hashes else np.zeros(0, np.uint64)
