@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattline.llm import near_dedup, packing, token_store
+from wattline.llm import decontamination, near_dedup, packing, token_store
 from wattline.llm.tables import load
 from wattline.session import fresh_dir
 
@@ -42,3 +42,9 @@ def op7_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_histogram_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     packed = packing.pack(packing.pieces(load(spark, sf_dir, "documents")))
     return packed.drop("ids").withColumnRenamed("id", "doc_id")
+
+
+@query
+def op1_simhash_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontamination.contaminated(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark"))
+    return found.drop("key").withColumnRenamed("id", "doc_id")
