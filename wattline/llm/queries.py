@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattline.llm import decontamination, near_dedup, packing, token_store
-from wattline.llm.tables import load
+from wattline.llm import decontamination, language, near_dedup, packing, token_store
+from wattline.llm.tables import held_out, load
 from wattline.session import fresh_dir
 
 ORACLES: dict[str, str] = {}
@@ -48,3 +48,11 @@ def op9_histogram_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op1_simhash_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontamination.contaminated(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark"))
     return found.drop("key").withColumnRenamed("id", "doc_id")
+
+
+@query
+def op6_language_svm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load(spark, sf_dir, "documents")
+    model = language.train(docs.where(~held_out(F.col("doc_id"))))
+    found = language.identify(docs.select("doc_id", "text"), model)
+    return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
