@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattline.llm import decontamination, language, near_dedup, packing, token_store
+from wattline.llm import decontamination, embedding_dedup, language, near_dedup, packing, token_store
 from wattline.llm.tables import held_out, load
 from wattline.session import fresh_dir
 
@@ -56,3 +56,10 @@ def op6_language_svm(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = language.train(docs.where(~held_out(F.col("doc_id"))))
     found = language.identify(docs.select("doc_id", "text"), model)
     return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
+@query
+def op2_projection_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = embedding_dedup.near_duplicates(load(spark, sf_dir, "embeddings"))
+    kept = F.coalesce(F.col("id") == F.col("component_id"), F.lit(False)).alias("kept")
+    return found.select(F.col("id").alias("vec_id"), "n_links", "component_id", kept)
