@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattline.llm import decontamination, embedding_dedup, language, near_dedup, packing, token_store
+from wattline.llm import decontamination, embedding_dedup, language, near_dedup, packing, secrets, token_store
 from wattline.llm.tables import held_out, load
 from wattline.session import fresh_dir
 
@@ -63,3 +63,19 @@ def op2_projection_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = embedding_dedup.near_duplicates(load(spark, sf_dir, "embeddings"))
     kept = F.coalesce(F.col("id") == F.col("component_id"), F.lit(False)).alias("kept")
     return found.select(F.col("id").alias("vec_id"), "n_links", "component_id", kept)
+
+
+@query
+def op3_secret_ownership(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.find_secrets(load(spark, sf_dir, "documents"))
+    return found.select(
+        F.col("id").alias("doc_id"),
+        *(F.expr(f"bigint(size(filter(base, s -> s.kind = '{k}')))").alias(f"n_{k}") for k in secrets.BASE),
+        F.sha2(secrets.written(F.col("base")), 256).alias("base_sha256"),
+        secrets.written(F.col("spans")).alias("spans"),
+        F.col("live").alias("n_live"),
+        F.col("copied").alias("n_copied"),
+    )
+
+
+ORACLES["op3_secret_ownership"] = secrets.ORACLE_SQL
