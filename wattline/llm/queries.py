@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattline.llm import decontamination, embedding_dedup, language, near_dedup, packing, secrets, token_store
+from wattline.llm import decontamination, embedding_dedup, language, licenses, near_dedup, packing, secrets, token_store
 from wattline.llm.tables import held_out, load
 from wattline.session import fresh_dir
 
@@ -79,3 +79,11 @@ def op3_secret_ownership(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLES["op3_secret_ownership"] = secrets.ORACLE_SQL
+
+
+@query
+def op8_license_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.find_licenses(load(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
+ORACLES["op8_license_windows"] = licenses.ORACLE_SQL
