@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattline.llm import decontamination, embedding_dedup, language, licenses, near_dedup, packing, secrets, token_store
+from wattline.llm import decontamination, embedding_dedup, language, licenses, near_dedup, packing, pii, secrets, token_store
 from wattline.llm.tables import held_out, load
 from wattline.session import fresh_dir
 
@@ -87,3 +87,15 @@ def op8_license_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLES["op8_license_windows"] = licenses.ORACLE_SQL
+
+
+@query
+def op10_pii_boosting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load(spark, sf_dir, "documents")
+    found = pii.find(docs, pii.train(docs))
+    return found.select(
+        F.col("id").alias("doc_id"),
+        *(F.expr(f"bigint(size(filter(base, s -> s.kind = '{k}')))").alias(f"n_{k}") for k in pii.KINDS),
+        F.sha2(secrets.written(F.col("base")), 256).alias("base_sha256"),
+        secrets.written(F.col("spans")).alias("spans"),
+    )
