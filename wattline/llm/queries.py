@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattline.llm import decontamination, embedding_dedup, language, licenses, near_dedup, packing, pii, secrets, token_store
+from wattline.llm import decontamination, embedding_dedup, language, licenses, near_dedup, packing, pii, secrets, token_store, toxicity
 from wattline.llm.tables import held_out, load
 from wattline.session import fresh_dir
 
@@ -99,3 +99,16 @@ def op10_pii_boosting(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(secrets.written(F.col("base")), 256).alias("base_sha256"),
         secrets.written(F.col("spans")).alias("spans"),
     )
+
+
+@query
+def op4_toxicity_gru(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels")
+    network = toxicity.train(docs, labels.where(~held_out(F.col("doc_id"))))
+    found = toxicity.score_documents(docs, network)
+    return found.select(
+        F.col("id").alias("doc_id"),
+        held_out(F.col("id")).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
