@@ -33,13 +33,13 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from wattline.llm import words as W
 from wattline.llm.cells import Forest, cells, per_cell, small_pairs, with_blocks
 from wattline.llm.components import components
-from wattline.llm.tables import picked, stored
+from wattline.llm.tables import picked, quoted, stored
 
 NO_ID = (1 << 63) - 1
 BLOCK = 128
@@ -139,6 +139,7 @@ SKETCH = pa.schema(
     [
         ("id", pa.int64()),
         ("key", pa.int64()),
+        ("hash", pa.int64()),
         ("n", pa.int64()),
         ("c1", pa.int64()),
         ("c2", pa.int64()),
@@ -159,20 +160,20 @@ def _digest(shingles: np.ndarray) -> tuple[int, int]:
 
 
 def sketcher(setting: Setting):
-    """Arrow batches of (id, key, text) to (id, key, n, digest, registers)."""
+    """Arrow batches of (id, key, hash, text) to (id, key, hash, n, digest, registers)."""
 
     def run(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in source:
-            for low, high in W.batches(batch.column(2)):
+            for low, high in W.batches(batch.column(3)):
                 part = batch.slice(low, high - low)
                 sizes, digests, regs = [], [], []
-                for found in W.shingle_sets(part.column(2), setting.words):
+                for found in W.shingle_sets(part.column(3), setting.words):
                     sizes.append(len(found))
                     digests.append(_digest(found))
                     regs.append(registers_of(found, setting).tobytes() if len(found) else None)
                 c1, c2 = zip(*digests)
                 yield pa.record_batch(
-                    [part.column(0), part.column(1), sizes, list(c1), list(c2), pa.array(regs, pa.binary())],
+                    [*part.columns[:3], sizes, list(c1), list(c2), pa.array(regs, pa.binary())],
                     schema=SKETCH,
                 )
 
@@ -180,15 +181,15 @@ def sketcher(setting: Setting):
 
 
 def _documents(docs: DataFrame, id: str, text: str) -> DataFrame:
-    """Id, a key to find the row again by, and the text."""
+    """Id, a key to find the row again by, the text and its hash."""
     rows = picked(docs, id=id, text=text).withColumn("id", F.col("id").cast("long"))
-    key = F.coalesce(F.col("id"), F.xxhash64("text"))
-    return rows.select("id", key.alias("key"), "text")
+    code = F.xxhash64("text")
+    return rows.select("id", F.coalesce(F.col("id"), code).alias("key"), code.alias("hash"), "text")
 
 
 def sketches(docs: DataFrame, setting: Setting, id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per document with set size, digest and registers, stored."""
-    schema = "id long, key long, n long, c1 long, c2 long, regs binary"
+    schema = "id long, key long, hash long, n long, c1 long, c2 long, regs binary"
     return stored(_documents(docs, id, text).mapInArrow(sketcher(setting), schema), "sketches")
 
 
@@ -380,17 +381,42 @@ def confirmed_links(docs: DataFrame, groups: DataFrame, reps: DataFrame, setting
 def near_duplicates(
     docs: DataFrame, setting: Setting = Setting(), id: str = "doc_id", text: str = "text"
 ) -> DataFrame:
-    """``id, key, n_shingles, component_id, c1, c2`` of every row; equal (c1, c2) are equal sets."""
+    """``id, key, hash, n_shingles, component_id, c1, c2`` of every row; equal (c1, c2) are equal sets.
+
+    ``hash`` is xxhash64 of the text.
+    """
     sketched = sketches(docs, setting, id, text)
     reps = classes(sketched)
     groups = components(candidate_links(reps, setting))
-    found = components(confirmed_links(_documents(docs, id, text).drop("id"), groups, reps, setting))
+    found = components(confirmed_links(_documents(docs, id, text).drop("id", "hash"), groups, reps, setting))
     roots = reps.select("lo", "c1", "c2").join(
         found.select("node.lo", "node.c1", "node.c2", F.col("root.lo").alias("up")), ["lo", "c1", "c2"], "left"
     )
     component = F.nullif(F.coalesce("up", "lo"), F.lit(NO_ID))
     roots = roots.select("c1", "c2", component.alias("component_id"))
-    full = sketched.where("n > 0").select("id", "key", "n", "c1", "c2").join(roots, ["c1", "c2"])
-    bare = sketched.where("n = 0").select("id", "key", "n", "c1", "c2", F.col("id").alias("component_id"))
-    columns = ["id", "key", F.col("n").alias("n_shingles"), "component_id", "c1", "c2"]
+    own = ["id", "key", "hash", "n", "c1", "c2"]
+    full = sketched.where("n > 0").select(*own).join(roots, ["c1", "c2"])
+    bare = sketched.where("n = 0").select(*own, F.col("id").alias("component_id"))
+    columns = ["id", "key", "hash", F.col("n").alias("n_shingles"), "component_id", "c1", "c2"]
     return full.select(*columns).unionByName(bare.select(*columns))
+
+
+def keep_one(docs: DataFrame, setting: Setting, id: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of ``docs`` without near duplicates: of each component the row with the smallest id.
+
+    Null ids come last, and among equal ids the text with the smaller hash. Of rows repeated in id and
+    text one stays. Rows without words stay, as they are linked with nothing.
+    """
+    kept = near_duplicates(docs, setting, id, text).where("n_shingles > 0")
+    # The component is known by its smallest id; where all ids are null, by the set itself.
+    group = F.struct("component_id", *(F.when(F.col("component_id").isNull(), F.col(c)).alias(c) for c in ("c1", "c2")))
+    first = kept.groupBy(group.alias("g")).agg(F.min(F.struct(F.coalesce("id", F.lit(NO_ID)).alias("id"), "key", "hash")).alias("m"))
+    chosen = first.select(F.col("m.id").alias("__wl_id"), F.col("m.hash").alias("__wl_hash"))
+    words = F.coalesce(quoted(text).rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    keyed = docs.withColumns(
+        {"__wl_id": F.coalesce(quoted(id).cast("long"), F.lit(NO_ID)), "__wl_hash": F.xxhash64(quoted(text))}
+    )
+    once = Window.partitionBy("__wl_id", "__wl_hash").orderBy(F.lit(0))
+    rows = keyed.where(words).join(chosen, ["__wl_id", "__wl_hash"], "left_semi")
+    one = rows.withColumn("__wl_row", F.row_number().over(once)).where("__wl_row = 1")
+    return one.select(*map(quoted, docs.columns)).unionByName(docs.where(~words))
