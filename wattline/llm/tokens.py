@@ -21,8 +21,8 @@ from wattline.llm import words as W
 
 END = 0
 BYTE_BPE = "byte_bpe_50k.json"
-BATCH = 16 << 20
-PIECES_KEPT = 2_000_000
+BATCH = 6 << 20
+PIECES_KEPT = 1_000_000
 _SPACE = np.zeros(256, bool)
 _SPACE[0x20] = True
 _EXACT = W.stream(6, 256)
