@@ -42,7 +42,8 @@ from wattline.llm.components import components
 from wattline.llm.tables import picked, quoted, stored
 
 NO_ID = (1 << 63) - 1
-BLOCK = 128
+BLOCK = 128  # classes with their sets
+BUCKET_BLOCK = 512  # classes with their registers
 
 
 @dataclass(frozen=True)
@@ -340,7 +341,7 @@ def candidate_links(reps: DataFrame, setting: Setting) -> DataFrame:
         )
     )
     banded = reps.select("lo", "c1", "c2", "n", "regs", F.explode(keys).alias("bucket"))
-    met = with_blocks(banded, "bucket", BLOCK, least=2).withColumn("band", F.col("bucket.band"))
+    met = with_blocks(banded, "bucket", BUCKET_BLOCK, least=2).withColumn("band", F.col("bucket.band"))
     dealt = cells(met, F.hash("c1", "c2"))
     return _as_links(per_cell(dealt, ["bucket", "i", "j"], _bucket_linker(setting), LINK_SQL))
 
