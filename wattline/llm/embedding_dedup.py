@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wattline.llm.cells import Forest, cells, per_cell, small_pairs, with_blocks
+from wattline.llm.cells import Forest, block_counts, cells, per_cell, small_pairs
 from wattline.llm.components import components
 from wattline.llm.tables import hash32, picked, share_below, stored
 
@@ -40,8 +40,9 @@ COSINE = 0.9
 LEAF = 200
 SPILL = 0.02
 SAMPLE = 10_000
-BLOCK = 128
-MISS = 1e-5
+BLOCK = 512
+FEW_LEAVES = 10_000
+MISS = 1e-4
 NO_ID = (1 << 63) - 1
 
 
@@ -145,12 +146,17 @@ LINKED = pa.schema(
 LINKED_SQL = "lo long, h long, links long, to_lo long, to_h long"
 
 
-def _planter(trees: list[Tree], width: int):
-    """Each vector once per leaf, with all its leaves."""
+def _leaf_type(trees: list[Tree]) -> pa.DataType:
+    return pa.int32() if sum(2 << t.depth for t in trees) < 1 << 31 else pa.int64()
+
+
+def _planter(trees: list[Tree], width: int, element: pa.DataType | None):
+    """Each vector once per leaf, with all its leaves; with ``element`` None the leaves alone."""
     base = np.cumsum([0] + [(2 << t.depth) for t in trees])
+    kind = _leaf_type(trees)
     schema = pa.schema(
-        [("leaf", pa.int64()), ("lo", pa.int64()), ("h", pa.int64()), ("copies", pa.int64())]
-        + [("embedding", pa.list_(pa.float64())), ("leaves", pa.list_(pa.int64()))]
+        [("leaf", kind), ("lo", pa.int64()), ("h", pa.int64()), ("copies", pa.int64())]
+        + [("embedding", pa.list_(element or pa.null())), ("leaves", pa.list_(kind))]
     )
 
     def run(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -163,13 +169,16 @@ def _planter(trees: list[Tree], width: int):
                 leaf = np.concatenate([n + b for (_, n), b in zip(found, base)])
                 order = np.lexsort([leaf, row])
                 row, leaf = row[order], leaf[order]
+                if element is None:
+                    yield pa.record_batch([pa.array(leaf, kind)], names=["leaf"])
+                    continue
                 limits = np.searchsorted(row, np.arange(len(x) + 1))
-                own = pa.LargeListArray.from_arrays(limits, leaf).cast(pa.list_(pa.int64()))
+                own = pa.ListArray.from_arrays(pa.array(limits, pa.int32()), pa.array(leaf, kind))
                 index = pa.array(row)
                 yield pa.record_batch(
-                    [pa.array(leaf)]
+                    [pa.array(leaf, kind)]
                     + [part.column(c).take(index) for c in ("lo", "h", "copies")]
-                    + [part.column("embedding").cast(pa.list_(pa.float64())).take(index), own.take(index)],
+                    + [part.column("embedding").cast(pa.list_(element)).take(index), own.take(index)],
                     schema=schema,
                 )
 
@@ -185,7 +194,7 @@ def _linker(width: int, cosine: float):
         lists = table.column("leaves").combine_chunks()
         ends, flat = lists.offsets.to_numpy(), lists.flatten().to_numpy()
         most = int(np.diff(ends).max())
-        planted = np.full((len(x), most), -1, np.int64)
+        planted = np.full((len(x), most), -1, flat.dtype)
         planted[np.repeat(np.arange(len(x)), np.diff(ends)), np.arange(len(flat)) - np.repeat(ends[:-1] - ends[0], np.diff(ends))] = flat
         forest, count = Forest(len(x)), np.zeros(len(x), np.int64)
         edges: list[tuple[int, int]] = []
@@ -236,10 +245,18 @@ def _of_one_width(found: DataFrame, width: int, rows: int, cosine: float, trees:
     sample = _matrix(drawn.column(0), width) if drawn.num_rows else np.zeros((0, width))
     depth = depth_for(rows)
     forest = [grow(seed, sample, depth) for seed in range(trees or trees_for(rows, width))]
-    schema = "leaf long, lo long, h long, copies long, embedding array<double>, leaves array<long>"
-    planted = own.mapInArrow(_planter(forest, width), schema)
-    # Planted twice, for the counts and for the cells; a leaf's members are not stored.
-    dealt = cells(with_blocks(planted, "leaf", BLOCK, least=2), F.hash("lo", "h"))
+    single = dict(found.dtypes)["embedding"] == "array<float>"
+    kind = "int" if _leaf_type(forest) == pa.int32() else "bigint"
+    number = "float" if single else "double"
+    schema = f"leaf {kind}, lo long, h long, copies long, embedding array<{number}>, leaves array<{kind}>"
+    # Planted twice: the leaves alone to count them, then with the vectors. Only leaves of more than one
+    # block come out of the count; they go to every task if they are few, else they are joined by shuffle.
+    leaves = own.mapInArrow(_planter(forest, width, None), f"leaf {kind}")
+    large = stored(block_counts(leaves, "leaf", BLOCK, least=BLOCK + 1), "large-leaves")
+    few = F.broadcast(large) if large.count() <= FEW_LEAVES else large
+    element = pa.float32() if single else pa.float64()
+    planted = own.mapInArrow(_planter(forest, width, element), schema).join(few, "leaf", "left")
+    dealt = cells(planted.withColumn("blocks", F.coalesce("blocks", F.lit(1))), F.hash("lo", "h"))
     return per_cell(dealt, ["leaf", "i", "j"], _linker(width, cosine), LINKED_SQL)
 
 
