@@ -15,6 +15,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from wattline.llm.words import release
+
 
 def block_counts(members: DataFrame, group: str, block: int, least: int = 1) -> DataFrame:
     """``group, blocks`` for groups of at least ``least`` rows."""
@@ -72,8 +74,11 @@ def grouped(run: Callable[[pa.Table, np.ndarray], pa.Table], keys: Sequence[str]
             if len(limits) > 2:
                 yield from run(held.slice(0, limits[-2]).combine_chunks(), limits[:-1]).to_batches()
                 held = held.slice(limits[-2])
+                release()
         if held is not None and held.num_rows:
             yield from run(held.combine_chunks(), np.array([0, held.num_rows])).to_batches()
+        held = None
+        release()
 
     return go
 

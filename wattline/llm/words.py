@@ -7,6 +7,7 @@ UTF-8 only, so the bytes are hashed without decoding. Two different words or shi
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -135,7 +136,16 @@ def shingle_sets(column: pa.Array, size: int) -> Iterator[np.ndarray]:
         yield np.unique(shingles(words[low:high], size))
 
 
-def batches(column: pa.Array, most: int = 8 << 20) -> Iterator[tuple[int, int]]:
+def release() -> None:
+    """Give freed memory back: Python workers live on from task to task, beside others and the JVM."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        pass
+
+
+def batches(column: pa.Array, most: int = 4 << 20) -> Iterator[tuple[int, int]]:
     """Row ranges of at most about ``most`` bytes of text, one row at least."""
     _, limits = utf8(column)
     low = 0
@@ -143,3 +153,4 @@ def batches(column: pa.Array, most: int = 8 << 20) -> Iterator[tuple[int, int]]:
         high = max(low + 1, int(np.searchsorted(limits, limits[low] + most, "right")) - 1)
         yield low, min(high, len(column))
         low = high
+    release()
