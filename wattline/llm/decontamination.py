@@ -116,7 +116,8 @@ class HammingIndex:
             item = np.repeat(np.arange(len(prints)), len(near))
             order = np.argsort(value, kind="stable")
             count = np.bincount(value, minlength=1 << width)
-            self.blocks.append((low, width, count > 0, np.cumsum(count) - count, count, item[order]))
+            first = (np.cumsum(count) - count).astype(np.int32)
+            self.blocks.append((low, width, count > 0, first, count.astype(np.int32), item[order].astype(np.int32)))
 
     def search(self, queries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Pairs of query number and item number, each once."""
@@ -126,7 +127,7 @@ class HammingIndex:
             at = np.flatnonzero(some[value])
             times = count[value[at]]
             query = np.repeat(at, times)
-            behind = np.cumsum(times)
+            behind = np.cumsum(times, dtype=np.int64)
             place = np.repeat(first[value[at]] - (behind - times), times) + np.arange(len(query))
             items = item[place]
             close = np.bitwise_count(queries[query] ^ self.prints[items]) <= RADIUS

@@ -21,8 +21,8 @@ from wattline.llm import words as W
 
 END = 0
 BYTE_BPE = "byte_bpe_50k.json"
-BATCH = 6 << 20
-PIECES_KEPT = 1_000_000
+BATCH = 4 << 20
+PIECES_KEPT = 600_000
 _SPACE = np.zeros(256, bool)
 _SPACE[0x20] = True
 _EXACT = W.stream(6, 256)
@@ -51,7 +51,7 @@ def _unsafe(data: np.ndarray, rows: np.ndarray) -> np.ndarray:
 
 def _gather(pool: np.ndarray, start: np.ndarray, length: np.ndarray) -> np.ndarray:
     """Slices of ``pool`` end to end."""
-    behind = np.cumsum(length)
+    behind = np.cumsum(length, dtype=np.int64)
     return pool[np.repeat(start - (behind - length), length) + np.arange(behind[-1] if len(behind) else 0)]
 
 
@@ -67,7 +67,7 @@ class Encoder:
         for token, at in self.tokenizer.get_vocab().items():
             self.bytes_of[at] = len(token)  # the vocabulary writes each byte as one character
         self.known = np.zeros(0, np.uint64)
-        self.pool, self.at, self.count = np.zeros(0, self.dtype), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.pool, self.at, self.count = np.zeros(0, self.dtype), np.zeros(0, np.int32), np.zeros(0, np.int32)
 
     def whole(self, texts: list[str]) -> list[np.ndarray]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
@@ -91,7 +91,7 @@ class Encoder:
         fresh = np.ones(len(values), bool)
         inside = place < len(self.known)
         fresh[inside] = self.known[place[inside]] != values[inside]
-        at, count = np.zeros(len(values), np.int64), np.zeros(len(values), np.int64)
+        at, count = np.zeros(len(values), np.int32), np.zeros(len(values), np.int32)
         at[~fresh], count[~fresh] = self.at[place[~fresh]], self.count[place[~fresh]]
         pool = self.pool
         if fresh.any():
@@ -131,7 +131,7 @@ class Encoder:
         values, sample, which = np.unique(code[later], return_index=True, return_inverse=True)
         ids, at, count = self._slices(values, data, start[later[sample]], size[later[sample]])
         tail = _gather(ids, at[which], count[which])
-        among = np.concatenate([[0], np.cumsum(count[which])])
+        among = np.concatenate([[0], np.cumsum(count[which], dtype=np.int64)])
         rank = np.searchsorted(later, limits)
         for i, head in zip(filled.tolist(), heads):
             found[i] = np.concatenate([head, tail[among[rank[i]] : among[rank[i + 1]]], end])

@@ -145,7 +145,7 @@ def release() -> None:
         pass
 
 
-def batches(column: pa.Array, most: int = 4 << 20) -> Iterator[tuple[int, int]]:
+def batches(column: pa.Array, most: int = 2 << 20) -> Iterator[tuple[int, int]]:
     """Row ranges of at most about ``most`` bytes of text, one row at least."""
     _, limits = utf8(column)
     low = 0
