@@ -2,7 +2,8 @@
 
 1. Every window of a document that is as long as a benchmark item gets a 64-bit SimHash of its words.
    Lengths are grouped so that a window is at most one word, or 5 % of its words, longer or shorter
-   than the items it stands for, and windows start as close to each other.
+   than the items it stands for, and windows start as close to each other. Items of fewer than SHORT
+   words have windows of just their length.
 2. Fingerprints are cut into n blocks. If two differ in at most RADIUS bits, they differ in at most
    RADIUS // n bits of some block. Every value within that distance of an item's block leads to the
    item, so the look-up finds all pairs within RADIUS, and a full comparison drops the others.
@@ -36,6 +37,7 @@ SHINGLE = 5
 SIMILARITY = 0.8
 RADIUS = 11
 FEW_ITEMS = 64
+SHORT = 15
 ITEMS_PER_BLOCK = 1024
 WORDS_AT_ONCE = 1 << 14
 
@@ -79,7 +81,8 @@ def simhash(words: np.ndarray) -> int:
 
 
 def slack(length: int) -> int:
-    return max(1, length // 20)
+    """Words by which a window may be off; a short item's windows are of just its length."""
+    return max(1, length // 20) if length >= SHORT else 0
 
 
 def width_classes(lengths: list[int]) -> dict[int, int]:
@@ -87,7 +90,7 @@ def width_classes(lengths: list[int]) -> dict[int, int]:
     width_of: dict[int, int] = {}
     for length in sorted(set(lengths)):
         width = max(width_of.values(), default=0)
-        width_of[length] = width if abs(length - width) <= slack(length) and width else length + slack(length) * (length > 2)
+        width_of[length] = width if width and abs(length - width) <= slack(length) else length + slack(length)
     return width_of
 
 
@@ -170,7 +173,7 @@ class Matcher:
         self.classes = []
         for width in np.unique(widths).tolist():
             own = np.flatnonzero(widths == width)
-            self.classes.append((width, slack(width), own, HammingIndex(prints[own])))
+            self.classes.append((width, max(1, slack(width)), own, HammingIndex(prints[own])))
 
     def candidates(self, words: np.ndarray, limits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """First words, counted from the first document's, and items."""
@@ -212,7 +215,7 @@ class Matcher:
         for own in np.unique(item).tolist():
             length, items = int(self.length[own]), self.bags[own]
             doc = np.searchsorted(limits, place[item == own], "right") - 1
-            reach = np.arange(-3 * slack(length), 3 * slack(length) + 1)
+            reach = np.arange(-3 * max(1, slack(length)), 3 * max(1, slack(length)) + 1)
             begin, last = limits[doc], np.maximum(limits[doc + 1] - length, limits[doc])
             start = np.unique(np.clip(place[item == own][:, None] + reach, begin[:, None], last[:, None]))
             doc = np.searchsorted(limits, start, "right") - 1

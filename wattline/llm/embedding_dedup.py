@@ -1,10 +1,11 @@
 """Near-equal embeddings by a forest of random-projection trees.
 
-Each tree splits the unit vectors by random directions, at a quantile near the middle, until a leaf
-holds about LEAF of them. A vector within SPILL of a split goes to both sides. Vectors that share a
-leaf of some tree are compared exactly. Trees are grown on the driver on a bounded sample of at most
-SAMPLE vectors; deeper levels that the sample cannot place are grown from the leaf's spread, so the
-depth follows the number of all vectors.
+Each tree splits the unit vectors by random directions until a leaf holds about LEAF of them. A cut
+lies where the fewest vectors are near it, between the fifths at both ends; a node in which every cut
+has more than DENSE of the vectors near it, as a group of copies, stays a leaf. A vector within SPILL
+of a cut goes to both sides. Vectors that share a leaf of some tree are compared exactly. Trees are
+grown on the driver on a bounded sample of about SAMPLE vectors; where the sample has run out, cuts go
+through the mean of the last vectors above, so the depth follows the number of all vectors.
 
 With the threshold at cosine 0.9 two linked unit vectors are at most 0.447 apart, about 0.056 along a
 random direction of 64. A split parts them with a probability near 0.04, and a pair is lost only if
@@ -41,6 +42,8 @@ LEAF = 200
 SPILL = 0.02
 SAMPLE = 10_000
 BLOCK = 512
+DENSE = 0.5
+FEW_ROWS = 16
 FEW_LEAVES = 10_000
 MISS = 1e-4
 NO_ID = (1 << 63) - 1
@@ -83,7 +86,7 @@ class Tree:
         work = [(np.arange(len(x)), 0, 0)]
         while work:
             rows, node, level = work.pop()
-            if level == self.depth:
+            if level == self.depth or np.isnan(self.cut[node]):
                 done.append((rows, node))
                 continue
             height = x[rows] @ self.direction(node, x.shape[1]) - self.cut[node]
@@ -95,21 +98,35 @@ class Tree:
         return row, leaf
 
 
-def grow(seed: int, sample: np.ndarray, depth: int) -> Tree:
-    """Cut every node at the sample's median; where few sample rows are left, at the parent's spread."""
+def _cut(height: np.ndarray, near: float) -> float:
+    """Where the fewest of the heights are near, the middle one of equals; NaN if they are too many."""
+    height = np.sort(height)
+    places = np.quantile(height, np.linspace(0.2, 0.8, 25))
+    crowd = np.searchsorted(height, places + near, "right") - np.searchsorted(height, places - near, "left")
+    best = np.flatnonzero(crowd == crowd.min())
+    return float(places[best[len(best) // 2]]) if crowd.min() <= DENSE * len(height) else float("nan")
+
+
+def grow(seed: int, sample: np.ndarray, depth: int, cosine: float = COSINE) -> Tree:
+    """Cut every node by its sample rows; where few are left, at the mean of the last node that had enough."""
     tree = Tree(seed, depth, np.zeros((1 << depth) - 1 if depth else 0))
-    work = [(sample, 0, 0)]
+    width = max(sample.shape[1], 1)
+    near = math.sqrt(2 - 2 * cosine) / math.sqrt(width)
+    work = [(sample, sample.mean(0) if len(sample) else np.zeros(width), 0, 0)]
     while work:
-        x, node, level = work.pop()
+        x, mean, node, level = work.pop()
         if level == depth:
             continue
-        if len(x):
-            height = x @ tree.direction(node, x.shape[1])
-            tree.cut[node] = np.median(height)
-            left, right = x[height <= tree.cut[node]], x[height > tree.cut[node]]
+        direction = tree.direction(node, width)
+        height = x @ direction
+        if len(x) >= FEW_ROWS:
+            mean = x.mean(0)
+            tree.cut[node] = _cut(height, near)
         else:
-            left = right = x
-        work += [(left, 2 * node + 1, level + 1), (right, 2 * node + 2, level + 1)]
+            tree.cut[node] = mean @ direction
+        if not np.isnan(tree.cut[node]):
+            low = height <= tree.cut[node]
+            work += [(x[low], mean, 2 * node + 1, level + 1), (x[~low], mean, 2 * node + 2, level + 1)]
     return tree
 
 
@@ -244,7 +261,7 @@ def _of_one_width(found: DataFrame, width: int, rows: int, cosine: float, trees:
     drawn = own.where(hash32("h") < share_below(SAMPLE, rows)).select("embedding").toArrow()
     sample = _matrix(drawn.column(0), width) if drawn.num_rows else np.zeros((0, width))
     depth = depth_for(rows)
-    forest = [grow(seed, sample, depth) for seed in range(trees or trees_for(rows, width))]
+    forest = [grow(seed, sample, depth, cosine) for seed in range(trees or trees_for(rows, width))]
     single = dict(found.dtypes)["embedding"] == "array<float>"
     kind = "int" if _leaf_type(forest) == pa.int32() else "bigint"
     number = "float" if single else "double"
