@@ -118,8 +118,7 @@ def src_combined(t: Tables) -> DataFrame:
 
 
 def _model_input_path(t: Tables) -> str:
-    table, _ = modelling.run_of(t)
-    return sinks.write_model_input(table, fresh_dir(t.spark, "features"), "D_1_D_2")
+    return sinks.write_model_input(modelling.table_of(t), fresh_dir(t.spark, "features"), "D_1_D_2")
 
 
 @query("sink_model_input", "SELECT CNO, MNO, LABEL, t_1_c_1, t_2_c_3 FROM x_rules")

@@ -157,11 +157,15 @@ def test_distinct_rows_keep_the_first_place(spark):
     assert {tuple(r) for r in rows.distinct_rows(df).collect()} == {("a", 1), ("b", 2)}
 
 
-def test_hash_rank_equals_a_global_rank(spark):
-    df = spark.range(20000).selectExpr("id", "int(id % 10 = 0) AS label")
-    ranked = ranking.hash_rank(df, "label", ["id"])
-    wanted = F.row_number().over(Window.partitionBy("label").orderBy(F.md5(F.col("id").cast("string"))))
-    assert ranked.withColumn("w", wanted).where("hash_rank != w").count() == 0
+def test_split_equals_a_global_rank(spark):
+    df = spark.range(20000).selectExpr("id", "int(id % 10 = 0) AS label", "string(id) AS wide")
+    found = ranking.stratified_split(df, "label", ["id"])
+    place = F.row_number().over(Window.partitionBy("label").orderBy(ranking.row_hash(["id"])))
+    size = F.count("id").over(Window.partitionBy("label"))
+    wanted = place <= F.floor(size * 0.2)
+    assert found.count() == 20000 and found.withColumn("w", wanted).where("is_validation != w").count() == 0
+    few = ranking.stratified_split(df.where("id < 3"), "label", ["id"])
+    assert few.count() == 3 and few.where("is_validation").count() == 0
 
 
 def test_split_is_stratified_and_stable(spark):

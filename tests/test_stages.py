@@ -113,7 +113,15 @@ def test_whole_job(spark, files, tmp_path):
     assert scores.count() == table.count()
     assert scores.where("PREDICTION_SCORE NOT BETWEEN 0 AND 1").count() == 0
     assert scores.where("CATEGORY IS NULL").count() == 0
+    scored = run_config.score(spark, {"score": {
+        "output_directory": f"{out}/scored", "combined": f"{out}/D_1_D_5", "model": str(next(tmp_path.glob("models/gbt_model_*"))),
+        "rejects": [f"{out}/D_5_rejects"],
+    }})
+    rows = spark.read.parquet(scored)
+    assert rows.count() == combined.count() + 7 and rows.where("PREDICTION_SCORE IS NULL").count() == 7
+    assert spark.read.parquet(f"{out}/evaluation/confusion").count() == 2
     logged = {r["name"]: r["value"] for r in spark.read.parquet(f"{out}/runs").collect()}
+    assert set(logged["selected_names"].split(",")) == set(run.chosen.names) and float(logged["class_weight_1"]) > 0
     assert float(logged["trees"]) == 4 and "f1_validation_original" in logged
     fixed = model_input.model_input(readers.read_combined(spark, f"{out}/D_1_D_5"), "fixed")
     assert fixed.where(F.col("common_weight_normalized").isNull()).count() == 0

@@ -10,8 +10,10 @@ from collections.abc import Callable
 
 from wattline import constants as C
 
-# An unquoted None or nan between list separators.
-_MISSING_ITEM = r"(?<=[\[,]\s{0,8})(?:None|nan)(?=\s*[,\]])"
+# An item of a list text: quoted, with either quote, or bare. The quote is written as \x27.
+_ITEM = r"\x27(?:[^\x27\\]|\\.)*+\x27|\"(?:[^\"\\]|\\.)*+\"|[^,\[\]\s\x27\"]++"
+# Bare words of list texts and how JSON writes them.
+_WORDS = {"None": "null", "nan": "null", "inf": "Infinity", "-inf": "-Infinity"}
 
 
 def let(value: str, name: str, body: str) -> str:
@@ -63,7 +65,10 @@ def tail_desc(items: str, n: int) -> list[str]:
 
 
 def _parse(text: str, kind: str) -> str:
-    json = f"regexp_replace({text}, r'{_MISSING_ITEM}', 'null')"
+    words = " ".join(f"WHEN '{a}' THEN '{b}'" for a, b in _WORDS.items())
+    items = f"transform(regexp_extract_all({text}, r'{_ITEM}', 0), x -> CASE x {words} ELSE x END)"
+    listed = f"{text} RLIKE r'^\\s*\\[[\\s\\S]*\\]\\s*$'"
+    json = f"if({listed}, concat('[', array_join({items}, ','), ']'), {text})"
     return f"from_json({json}, 'array<{kind}>', map('mode', 'FAILFAST'))"
 
 

@@ -15,6 +15,11 @@ from wattline.operators.rows import top1_per_group
 METER = ("CNO", "MNO")
 
 
+def sql_text(value: str) -> str:
+    """A string literal of SQL."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def with_source(df: DataFrame, source: str) -> DataFrame:
     return df.withColumn("SOURCE", F.lit(source))
 
@@ -27,8 +32,8 @@ def union_sources(datasets: Mapping[str, DataFrame]) -> DataFrame:
 
 def source_rank(names: Sequence[str], priority: Mapping[str, int]) -> list[Column]:
     """Highest priority first, sources without one last, then in the order given."""
-    chosen = " ".join(f"WHEN {n!r} THEN {priority[n]}" for n in names if n in priority)
-    place = " ".join(f"WHEN {n!r} THEN {i}" for i, n in enumerate(names))
+    chosen = " ".join(f"WHEN {sql_text(n)} THEN {priority[n]}" for n in names if n in priority)
+    place = " ".join(f"WHEN {sql_text(n)} THEN {i}" for i, n in enumerate(names))
     return [
         F.expr(f"CASE SOURCE {chosen or 'WHEN null THEN 0'} END").desc_nulls_last(),
         F.expr(f"CASE SOURCE {place} END").asc_nulls_last(),
@@ -45,9 +50,12 @@ def dedup_priority(
     """One row per meter, from the source of highest priority; missing keys group together.
 
     Ties within a source go to the smallest consumer key, which is the order the raw datasets are
-    kept in.
+    kept in, and then to the smallest values of the other columns, so that equal inputs in any order
+    give equal results.
     """
-    return top1_per_group(df, keys, [*source_rank(names, priority), *(F.asc(c) for c in tie)])
+    rest = [c for c in df.columns if c not in (*keys, *tie, "SOURCE")]
+    ties = [F.asc(f"`{c}`") for c in (*tie, *rest)]
+    return top1_per_group(df, keys, [*source_rank(names, priority), *ties])
 
 
 def join_report(df: DataFrame, report: DataFrame, keys: Sequence[str] = ("CONS_ID", "CSQ", "MNO", "CNO")) -> DataFrame:

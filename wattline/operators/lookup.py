@@ -17,18 +17,27 @@ BROADCAST_PIECES = 200_000
 BLOCK = 65_536
 
 
+def unique_models(models: DataFrame, on: str, properties: Sequence[str]) -> DataFrame:
+    """The properties of each model; raises where a model has more than one row."""
+    single = models.where(F.col(on).isNotNull()).groupBy(on).agg(
+        F.count(F.lit(1)).alias("_n"), *(F.first(c).alias(c) for c in properties)
+    )
+    twice = F.raise_error(F.concat(F.lit("model listed more than once: "), F.col(on).cast("string")))
+    return single.select(on, *(F.when(F.col("_n") > 1, twice).otherwise(F.col(c)).alias(c) for c in properties))
+
+
 def join_mcd_properties(
     df: DataFrame,
     models: DataFrame,
     on: str = "MCD",
     properties: Sequence[str] = C.MODEL_PROPERTIES,
 ) -> DataFrame:
-    """Attach model properties; an unknown model gets NULLs. ``models`` has one row per model.
+    """Attach model properties; an unknown model gets NULLs, a model listed twice fails the job.
 
     No hint: Spark broadcasts the table if its size is below the session's threshold. Otherwise it
     joins by shuffle, where AQE splits a model that holds many meters.
     """
-    return df.join(models.select(on, *properties), on, "left")
+    return df.join(unique_models(models, on, properties), on, "left")
 
 
 def join_mcd_key(df: DataFrame, models: DataFrame, on: str = "MCD") -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -15,14 +17,29 @@ def _f1(precision: Column, recall: Column) -> Column:
     return _ratio(precision * recall * 2, precision + recall)
 
 
-def metric_confusion(df: DataFrame, actual: str, predicted: str) -> DataFrame:
-    """A row per actual class, a column per predicted class (0 and 1)."""
-    wide = df.groupBy(actual).pivot(predicted, [0, 1]).agg(F.count(F.lit(1)))
-    return wide.select(
-        F.col(actual).alias("actual"),
-        F.coalesce("0", F.lit(0)).alias("predicted_0"),
-        F.coalesce("1", F.lit(0)).alias("predicted_1"),
+def confusion_pairs(df: DataFrame, actual: str, predicted: str) -> DataFrame:
+    """Rows of each pair of actual and predicted class, whatever the classes are."""
+    pair = [F.col(actual).alias("actual"), F.col(predicted).alias("predicted")]
+    return df.groupBy(*pair).agg(F.count(F.lit(1)).alias("n"))
+
+
+def metric_confusion(df: DataFrame, actual: str, predicted: str, classes: Sequence[int] = (0, 1)) -> DataFrame:
+    """A row per class, also of classes that are only predicted, and a column per predicted class.
+
+    One pass; ``confusion_pairs`` is for classes that are not known beforehand.
+    """
+    a, p = F.col(actual), F.col(predicted)
+    names = [f"predicted_{c}" for c in classes]
+    counts = {
+        (row, c): F.count_if((a == row) & (p == c)) for row in classes for c in classes
+    }
+    rows = F.array(
+        *(
+            F.struct(F.lit(row).alias("actual"), *(counts[row, c].alias(n) for c, n in zip(classes, names)))
+            for row in classes
+        )
     )
+    return df.agg(rows.alias("rows")).select(F.inline("rows"))
 
 
 def metric_prf(df: DataFrame, actual: str, predicted: str) -> DataFrame:

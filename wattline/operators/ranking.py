@@ -15,32 +15,31 @@ def row_hash(keys: Sequence[str]) -> Column:
     return F.md5(F.concat_ws("|", *(F.col(k).cast("string") for k in keys)))
 
 
-def hash_rank(df: DataFrame, label: str, keys: Sequence[str]) -> DataFrame:
-    """Add ``hash_rank``, the row's 1-based place in its label by the hash of its keys, and
-    ``label_size``.
+def label_cuts(df: DataFrame, label: str, keys: Sequence[str], share: float) -> DataFrame:
+    """``label, cut``: the hash of the last held-out row of each label, NULL if none is held out.
 
-    A window over a label would bring half the table to one task. Rows are ranked inside hash
-    buckets instead, and each bucket starts after the rows of the buckets before it. Those counts
-    have at most 65,536 rows per label. ``keys`` must identify a row.
+    Counts per hash bucket, at most 65,536 per label, tell the bucket in which the share ends. Only
+    that bucket's rows are then ranked. Nothing but labels and hashes is read. ``keys`` must identify
+    a row.
     """
-    hashed = df.withColumn("_hash", row_hash(keys)).withColumn(
-        "_bucket", F.substring("_hash", 1, BUCKET_DIGITS)
-    )
+    hashed = df.where(F.col(label).isNotNull()).select(label, row_hash(keys).alias("_hash"))
+    hashed = hashed.withColumn("_bucket", F.substring("_hash", 1, BUCKET_DIGITS))
     buckets = Window.partitionBy(label)
-    before = buckets.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    through = buckets.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, 0)
     sizes = hashed.groupBy(label, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
-    starts = sizes.select(
+    summed = sizes.select(
         label,
         "_bucket",
-        F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"),
-        F.sum("_n").over(buckets).alias("label_size"),
+        (F.sum("_n").over(through) - F.col("_n")).alias("_before"),
+        F.sum("_n").over(through).alias("_through"),
+        held_out_rows(F.sum("_n").over(buckets), share).alias("_limit"),
     )
+    ends = summed.where("_before < _limit AND _limit <= _through")
+    ends = ends.select(label, "_bucket", (F.col("_limit") - F.col("_before")).alias("_place"))
     inside = Window.partitionBy(label, "_bucket").orderBy("_hash")
-    return (
-        hashed.join(starts, [label, "_bucket"])
-        .withColumn("hash_rank", F.col("_start") + F.row_number().over(inside))
-        .drop("_hash", "_bucket", "_start")
-    )
+    ranked = hashed.join(ends, [label, "_bucket"]).withColumn("_rank", F.row_number().over(inside))
+    cuts = ranked.where("_rank = _place").select(label, F.col("_hash").alias("cut"))
+    return sizes.select(label).distinct().join(cuts, label, "left")
 
 
 def held_out_rows(size: Column, share: float) -> Column:
@@ -52,10 +51,11 @@ def stratified_split(
 ) -> DataFrame:
     """Mark the first ``share`` of each label, in hash order, as validation rows.
 
-    The same rows are chosen on every run and every cluster. Rows without a label are left out.
+    The table itself is neither shuffled nor sorted: it meets one cut per label. The same rows are chosen on every run and every cluster. Rows without a label are left out.
     """
-    chosen = F.col("hash_rank") <= held_out_rows(F.col("label_size"), share)
-    return hash_rank(df, label, keys).withColumn(flag, chosen).drop("label_size", "hash_rank")
+    cuts = label_cuts(df, label, keys, share).withColumnRenamed("cut", "_cut")
+    chosen = F.coalesce(row_hash(keys) <= F.col("_cut"), F.lit(False))
+    return df.join(cuts, label).withColumn(flag, chosen).drop("_cut")
 
 
 def agg_value_counts(df: DataFrame, label: str) -> DataFrame:

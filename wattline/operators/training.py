@@ -6,6 +6,7 @@ from collections.abc import Sequence
 from dataclasses import asdict, dataclass
 from statistics import median
 
+from pyspark import SparkContext
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.feature import StringIndexer, StringIndexerModel, VectorAssembler
@@ -23,13 +24,16 @@ EPSILON = 1e-15
 
 @dataclass(frozen=True)
 class TreeParams:
-    """Depth, step and borders of the production model. Tests and demos use fewer trees."""
+    """Depth, step and borders of the production model.
+
+    ``patience`` rounds without a better held-out loss end the search for the best round.
+    """
 
     trees: int = 700
     step: float = 0.05
     depth: int = 6
     borders: int = 64
-    tolerance: float = 0.0
+    patience: int = 100
     seed: int = 42
 
 
@@ -87,27 +91,62 @@ def fill_numeric(df: DataFrame, features: Features) -> DataFrame:
 def train_gbt(
     df: DataFrame, features: Features = Features(), params: TreeParams = TreeParams(), label: str = "LABEL"
 ) -> PipelineModel:
-    """Fit on the rows that are not held out; held-out rows stop the boosting early."""
+    """Fit on the rows that are not held out, then keep the trees up to the best held-out round.
+
+    MLlib's own early stop ends at the first round that is no better, so all rounds are fitted and
+    cut back. A categorical may have more values than there are borders. The first tree has weight 1
+    and the others the step, as MLlib boosts.
+    """
+    columns = [*features.names, label, WEIGHT, HELD_OUT]
+    rows = fill_numeric(df.select(*columns), features)
     stages: list = []
+    most_values = 0
     if features.categorical:
-        stages.append(encode_categoricals(df, features.categorical))
+        indexer = encode_categoricals(df, features.categorical)
+        most_values = max(map(len, indexer.labelsArray)) + 1  # unseen values share one more
+        stages.append(indexer)
     inputs = [*map(_index, features.categorical), *features.numeric]
     stages.append(VectorAssembler(inputCols=inputs, outputCol="features", handleInvalid="keep"))
     stages.append(
         GBTClassifier(
             labelCol=label,
             weightCol=WEIGHT,
-            validationIndicatorCol=HELD_OUT,
             maxIter=params.trees,
             stepSize=params.step,
             maxDepth=params.depth,
-            maxBins=params.borders,
-            validationTol=params.tolerance,
+            maxBins=max(params.borders, most_values + 1),
             seed=params.seed,
         )
     )
-    columns = [*features.names, label, WEIGHT, HELD_OUT]
-    return Pipeline(stages=stages).fit(fill_numeric(df.select(*columns), features))
+    model = Pipeline(stages=stages).fit(rows.where(~F.col(HELD_OUT)))
+    held_out = PipelineModel(model.stages[:-1]).transform(rows.where(F.col(HELD_OUT)))
+    if held_out.isEmpty():
+        return model
+    losses = model.stages[-1].evaluateEachIteration(held_out.select("features", label, WEIGHT))
+    return PipelineModel([*model.stages[:-1], first_trees(model.stages[-1], best_round(losses, params.patience))])
+
+
+def best_round(losses: Sequence[float], patience: int) -> int:
+    """Number of rounds up to the least loss, given up after ``patience`` rounds without a lesser one."""
+    best = 0
+    for i, loss in enumerate(losses):
+        if loss < losses[best]:
+            best = i
+        elif i - best >= patience:
+            break
+    return best + 1
+
+
+def first_trees(model: GBTClassificationModel, rounds: int) -> GBTClassificationModel:
+    """The model of its first ``rounds`` trees."""
+    java = model._java_obj
+    jvm, gateway = SparkContext._active_spark_context._jvm, SparkContext._active_spark_context._gateway
+    trees = gateway.new_array(jvm.org.apache.spark.ml.regression.DecisionTreeRegressionModel, rounds)
+    weights = gateway.new_array(jvm.double, rounds)
+    for i in range(rounds):
+        trees[i], weights[i] = java.trees()[i], java.treeWeights()[i]
+    cut = jvm.org.apache.spark.ml.classification.GBTClassificationModel(java.uid(), trees, weights)
+    return GBTClassificationModel(java.copyValues(cut, java.extractParamMap()))
 
 
 def booster(model: PipelineModel) -> GBTClassificationModel:
@@ -125,6 +164,12 @@ def select_features(model: PipelineModel, features: Features) -> Features:
     return features.only([name for name, weight in found.items() if weight >= threshold])
 
 
+def select_from(df: DataFrame, importance: str = "importance") -> DataFrame:
+    """Mark the features of a table whose importance reaches the median."""
+    threshold = df.agg(F.median(importance)).scalar()
+    return df.withColumn("is_selected", F.col(importance) >= threshold)
+
+
 def reduction_ratio(chosen: Features, features: Features) -> float:
     return len(chosen.names) / len(features.names)
 
@@ -145,10 +190,15 @@ def evaluate(
 ) -> DataFrame:
     """F1 of class 1, log-loss and accuracy of the training and the held-out rows, in one pass."""
     scored = model.transform(fill_numeric(df, features))
-    actual, claimed = F.col(label) == 1, F.col("prediction") == 1
-    likelihood = F.get(vector_to_array("probability"), F.col(label))
+    return evaluate_scores(scored.withColumn(SCORE, vector_to_array("probability")[1]), label)
+
+
+def evaluate_scores(df: DataFrame, label: str, score: str = SCORE) -> DataFrame:
+    """The same from labels of 0 and 1 and the probability of class 1, which is claimed above a half."""
+    actual, claimed = F.col(label) == 1, F.col(score) > 0.5
+    likelihood = F.when(actual, F.col(score)).otherwise(1 - F.col(score))
     clipped = F.greatest(F.least(likelihood, F.lit(1 - EPSILON)), F.lit(EPSILON))
-    sums = scored.groupBy(HELD_OUT).agg(
+    sums = df.groupBy(HELD_OUT).agg(
         F.count(F.lit(1)).alias("n"),
         F.count_if(actual == claimed).alias("hits"),
         F.count_if(actual & claimed).alias("tp"),

@@ -7,10 +7,12 @@ from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from wattline import constants as C
+from wattline.operators import metrics
 from wattline.operators import training as T
-from wattline.session import shared_dir
+from wattline.session import fresh_dir
 
 
 @dataclass(frozen=True)
@@ -19,7 +21,8 @@ class ModelRun:
     selected: PipelineModel
     features: T.Features
     chosen: T.Features
-    metrics: dict[str, float]
+    metrics: dict[str, float | str]
+    prepared: DataFrame | None = None
 
 
 def _flat(prefix: str, table: DataFrame) -> dict[str, float]:
@@ -31,6 +34,29 @@ def _flat(prefix: str, table: DataFrame) -> dict[str, float]:
     }
 
 
+def prepared_rows(model_input: DataFrame, keys: Sequence[str] = ("CNO", "MNO")) -> DataFrame:
+    """Training rows with weight and held-out flag, stored."""
+    path = fresh_dir(model_input.sparkSession, "training-rows")
+    T.prepare_training(model_input, keys).write.parquet(path)
+    return model_input.sparkSession.read.parquet(path)
+
+
+def class_weights(prepared: DataFrame, label: str = "LABEL") -> dict[str, float]:
+    """The weight of each class, two rows at most."""
+    rows = prepared.select(label, T.WEIGHT).distinct().collect()
+    return {f"class_weight_{r[label]}": r[T.WEIGHT] for r in rows}
+
+
+def held_out_tables(
+    model: PipelineModel, prepared: DataFrame, features: T.Features = T.Features(), label: str = "LABEL"
+) -> dict[str, DataFrame]:
+    """Confusion, scores and report of the model's own predictions of the held-out rows."""
+    rows = model.transform(T.fill_numeric(prepared.where(T.HELD_OUT), features))
+    pair = rows.select(F.col(label).cast("int").alias("actual"), F.col("prediction").cast("int").alias("predicted"))
+    tables = {"confusion": metrics.metric_confusion, "prf": metrics.metric_prf, "report": metrics.metric_report}
+    return {name: build(pair, "actual", "predicted") for name, build in tables.items()}
+
+
 def train_and_select(
     model_input: DataFrame,
     keys: Sequence[str] = ("CNO", "MNO"),
@@ -39,23 +65,25 @@ def train_and_select(
 ) -> ModelRun:
     """Fit on all features, keep those of at least median importance, fit again.
 
-    The prepared rows are read once per tree level, so they are checkpointed to the shared folder:
-    an executor lost during boosting costs no recomputation of the features.
+    The prepared rows are read once per tree level, so they are written to the shared folder: an
+    executor lost during boosting costs no recomputation of the features, and a level reads only the
+    columns it needs.
     """
-    shared_dir(model_input.sparkSession)
-    prepared = T.prepare_training(model_input, keys).checkpoint()
+    prepared = prepared_rows(model_input, keys)
     full = T.train_gbt(prepared, features, params)
     chosen = T.select_features(full, features)
     selected = T.train_gbt(prepared, chosen, params)
-    metrics = {
+    record = {
         **T.params_row(params),
         "original_features": float(len(features.names)),
         "selected_features": float(len(chosen.names)),
         "feature_reduction_ratio": T.reduction_ratio(chosen, features),
+        "selected_names": ",".join(chosen.names),
+        **class_weights(prepared),
         **_flat("original", T.evaluate(full, prepared, features)),
         **_flat("selected", T.evaluate(selected, prepared, chosen)),
     }
-    return ModelRun(full, selected, features, chosen, metrics)
+    return ModelRun(full, selected, features, chosen, record, prepared)
 
 
 def predict_all(model: PipelineModel, model_input: DataFrame, features: T.Features = T.Features()) -> DataFrame:

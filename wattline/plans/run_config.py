@@ -10,6 +10,8 @@ The driver only builds plans and names paths; rows stay in the tables.
       "concatenate": {"output_directory": dir, "priority": {name: int}, "files": {name: path}},
       "prepare_model_input": {"output_directory": dir, "files": path},
       "train": {"output_directory": dir, "training_data": path},
+      "score": {"output_directory": dir, "combined": path, "model": path, "features": [name],
+                "rejects": [path]},
     }
 
 ``files`` and ``training_data`` may be left out; a step then takes what the step before it wrote.
@@ -21,9 +23,11 @@ import json
 from collections.abc import Mapping
 from pathlib import Path
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import SparkSession
 
 from wattline.operators import training as T
+from wattline.operators.combine import union_pred_rejects
 from wattline.plans import model_input, model_run, raw
 from wattline.session import fresh_dir
 from wattline.sources import readers, sinks
@@ -95,10 +99,31 @@ def train(
     run = model_run.train_and_select(table, params=params)
     saved = sinks.write_model(run.full, root)
     sinks.write_model(run.selected, f"{root.rstrip('/')}/selected")
+    for name, rows in model_run.held_out_tables(run.full, run.prepared, run.features).items():
+        rows.write.mode("overwrite").parquet(f"{root.rstrip('/')}/evaluation/{name}")
     sinks.log_run(spark, f"{root.rstrip('/')}/runs", saved, {"dataset": path, **run.metrics})
     return run
 
 
+def score(spark: SparkSession, config: Mapping) -> str:
+    """Score merged rows with a saved model, the weights normalised by the fixed constants.
+
+    ``features`` are the names the model was trained on, all of them if left out. Rejected consumers
+    named by ``rejects`` join the predictions, without a score.
+    """
+    step = config["score"]
+    features = T.Features()
+    if "features" in step:
+        features = features.only(step["features"])
+    table = model_input.model_input(readers.read_combined(spark, step["combined"]), "fixed")
+    found = model_run.predict(PipelineModel.load(step["model"]), table, features)
+    for path in step.get("rejects", ()):
+        found = union_pred_rejects(found, spark.read.parquet(path))
+    out = f"{step['output_directory'].rstrip('/')}/predictions"
+    sinks.write_predictions(found, out)
+    return out
+
+
 def run_all(
     spark: SparkSession, config: Mapping, params: T.TreeParams = T.TreeParams()
 ) -> model_run.ModelRun:

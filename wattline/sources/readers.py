@@ -26,8 +26,8 @@ def _number(name: str) -> Column:
 
 
 def _whole(name: str) -> Column:
-    # Codes may be written as 80.0.
-    return _number(name).cast("int")
+    # Codes may be written as 80.0. One beyond the range of a code is as unknown as none.
+    return _number(name).try_cast("int")
 
 
 def read_text_table(
@@ -35,11 +35,12 @@ def read_text_table(
 ) -> DataFrame:
     """The named columns of a CSV file as text, whatever their places in it.
 
-    Cells that spell a missing value become NULL. With ``ordered`` each row carries its place in
+    Of a folder all files must have the same header: Spark reads by place, so another order fails the
+    job instead of swapping columns. Cells that spell a missing value become NULL. With ``ordered`` each row carries its place in
     the file, for the steps where the first or last row counts.
     """
     table = (
-        spark.read.option("sep", sep).option("header", True).option("escape", '"').csv(path)
+        spark.read.option("sep", sep).option("header", True).option("enforceSchema", False).option("escape", '"').csv(path)
     ).selectExpr(*map(_known, columns))
     return table.withColumn(C.ROW_ORDER, F.monotonically_increasing_id()) if ordered else table
 
@@ -65,9 +66,9 @@ def read_consumption(spark: SparkSession, path: str) -> DataFrame:
     return drop_missing_keys(table.withColumn("ADV_UT", _number("ADV_UT")))
 
 
-def read_report(spark: SparkSession, path: str) -> DataFrame:
-    """Field report, as CSV or Parquet."""
-    if path.rstrip("/").endswith(".parquet"):
+def read_report(spark: SparkSession, path: str, form: str | None = None) -> DataFrame:
+    """Field report, as CSV or Parquet: ``form`` says which, else the suffix does."""
+    if (form or ("parquet" if path.rstrip("/").endswith(".parquet") else "csv")) == "parquet":
         return spark.read.parquet(path).select(*(F.col(f"`{c}`") for c in C.REPORT_COLUMNS))
     return read_text_table(spark, path, C.REPORT_COLUMNS, ",")
 
