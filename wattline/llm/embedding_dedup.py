@@ -1,8 +1,9 @@
 """Near-equal embeddings by a forest of random-projection trees.
 
-Each tree splits the unit vectors by random directions until a leaf holds about LEAF of them. A cut
-lies where the fewest vectors are near it, between the fifths at both ends; a node in which every cut
-has more than DENSE of the vectors near it, as a group of copies, stays a leaf. A vector within SPILL
+Each tree splits the unit vectors by random directions until a leaf holds about LEAF of them. A cut is
+the median, unless a group is crowded there, with more than CROWDED of the vectors near the median. Then
+it lies where the fewest vectors are near it, between the fifths at both ends; and if those are more than
+DENSE, as in a group of copies, the node stays a leaf. A vector within SPILL
 of a cut goes to both sides. Vectors that share a leaf of some tree are compared exactly. Trees are
 grown on the driver on a bounded sample of about SAMPLE vectors; where the sample has run out, cuts go
 through the mean of the last vectors above, so the depth follows the number of all vectors.
@@ -42,7 +43,7 @@ LEAF = 200
 SPILL = 0.02
 SAMPLE = 10_000
 BLOCK = 512
-DENSE = 0.5
+CROWDED, DENSE = 0.42, 0.5
 FEW_ROWS = 16
 FEW_LEAVES = 10_000
 MISS = 1e-4
@@ -99,10 +100,13 @@ class Tree:
 
 
 def _cut(height: np.ndarray, near: float) -> float:
-    """Where the fewest of the heights are near, the middle one of equals; NaN if they are too many."""
+    """The median, or where the fewest heights are near if a group lies there; NaN if they are too many."""
     height = np.sort(height)
     places = np.quantile(height, np.linspace(0.2, 0.8, 25))
     crowd = np.searchsorted(height, places + near, "right") - np.searchsorted(height, places - near, "left")
+    middle = len(places) // 2
+    if crowd[middle] <= CROWDED * len(height):
+        return float(places[middle])
     best = np.flatnonzero(crowd == crowd.min())
     return float(places[best[len(best) // 2]]) if crowd.min() <= DENSE * len(height) else float("nan")
 
