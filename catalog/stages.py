@@ -98,7 +98,15 @@ LEFT JOIN p_lists USING ({KEYS}) LEFT JOIN p_code_lists USING ({KEYS})""",
 
 
 def master_path(t: Tables) -> raw.Screened:
-    return raw.screen_master_path(S.master(t), S.consumption(t), S.models(t), S.ranges(t))
+    summary = raw.summarise_consumption(S.consumption(t))
+    return raw.screen_master_path(S.master(t), summary, S.models(t), S.ranges(t))
+
+
+def stored_master_path(t: Tables) -> raw.Screened:
+    """The same with the summary as the job stores it: kept and rejected rows from one scan."""
+    path = fresh_dir(t.spark, "summary")
+    raw.summarise_consumption(S.consumption(t)).write.parquet(path)
+    return raw.screen_master_path(S.master(t), t.spark.read.parquet(path), S.models(t), S.ranges(t))
 
 
 def _text(items: str, kind: str) -> Column:
@@ -131,7 +139,7 @@ FROM p_screened WHERE REMARKS IS NOT NULL AND REMARKS <> 'silent'"""
 UNION ALL BY NAME {MISSING_FDT} AND (CONS_ID, CSQ) IN (SELECT (CONS_ID, CSQ) FROM consumption)""",
 )
 def master_path_rejects(t: Tables) -> DataFrame:
-    return master_path(t).rejects()
+    return stored_master_path(t).rejects()
 
 
 @query(

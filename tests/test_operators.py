@@ -49,6 +49,26 @@ def test_defect_ranges_match_brute_force_on_one_hot_make(spark):
         assert got == want
 
 
+@pytest.mark.parametrize("max_pieces", [lookup.BROADCAST_PIECES, 0])
+def test_long_ranges(spark, max_pieces):
+    """Ranges of all widths, up to all serials there are, beside short ones that they overlap."""
+    top = 2**63 - 1
+    ranges = [
+        ("A", "a", "1", 5, 10**12), ("A", "a", "1", 7, 9), ("A", "a", "1", 10**12 - 3, 10**12 + 100_000),
+        ("B", "a", "1", 10**15, 10**16), ("C", "a", "1", 0, top), ("D", "a", "1", top - 1, top), ("D", "a", "1", 2**53 + 1, 2**53 + 1),
+    ]
+    serials = [0, 4, 5, 8, 10**9, 10**12, 10**12 + 100_000, 10**12 + 100_001, 10**15 - 1, 10**15, 10**16, 10**16 + 1, 2**53, 2**53 + 1, 2**53 + 2, top - 2, top - 1, top]
+    meters = [(m, "a", "1", str(n)) for m in "ABCDE" for n in serials]
+    df = spark.createDataFrame(meters, "MFG string, AMP string, VLT string, MNO string")
+    table = spark.createDataFrame(ranges, RANGE_SCHEMA)
+    assert sum(lookup.piece_counts(table).values()) <= len(ranges) * 1026
+    found = lookup.range_defect_lookup(df, table, max_pieces=max_pieces).collect()
+    assert len(found) == len(meters)
+    for r in found:
+        want = any(m == r["MFG"] and lo <= int(r["MNO"]) <= hi for m, _, _, lo, hi in ranges)
+        assert r["defect_range"] == int(want), r
+
+
 def test_properties_of_unknown_model_are_null(spark):
     models = spark.createDataFrame([(102, "ACME", "5-20", "230", "Y", "N", "Y")], "MCD int, MFG string, AMP string, VLT string, SUP string, SMT string, ELC string")
     meters = spark.createDataFrame([(102,), (7,), (None,)], "MCD int")

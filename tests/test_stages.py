@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import csv
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 from wattline import constants as C
 from wattline.operators import training
 from wattline.plans import model_input, model_run, raw, run_config
+from wattline.session import remove_dir, scratch_dir, shared_dir
 from wattline.sources import readers
 
 MONTHS = [f"{y}{m:02d}" for y in (2021, 2022, 2023) for m in range(1, 13)]
@@ -39,6 +41,8 @@ def files(tmp_path_factory):
             unit = "" if (i + j) % 11 == 0 else str(50 + (i * 7 + j * 13) % 60 + (400 if i % 4 == 0 and j == 35 else 0))
             meter = "other" if i == 11 else mno
             readings.append([cons, "1", meter, month, "B", "NR" if (i + j) % 5 == 0 else "", unit, "junk"])
+        if i == 2:
+            readings.append([cons, "", mno, "202101", "B", "", "5", "junk"])
         report.append([cons, "1", cno, mno, "METER OK" if i == 0 else "", "junk"])
         values = [None if (i + j) % 9 == 0 else float(60 + (i + 3 * j) % 40) for j in range(30)]
         codes = [None if j % 3 else "LW" for j in range(30)]
@@ -64,7 +68,7 @@ def test_master_path_accounts_for_every_consumer(spark, files):
     master = readers.read_consumer(spark, files["consumer"])
     screened = raw.screen_master_path(
         master,
-        readers.read_consumption(spark, files["consumption"]),
+        raw.summarise_consumption(readers.read_consumption(spark, files["consumption"])),
         readers.read_mcd(spark, files["mcd"]),
         readers.read_defect_range(spark, files["ranges"]),
     )
@@ -96,7 +100,13 @@ def test_whole_job(spark, files, tmp_path):
         "prepare_model_input": {"output_directory": out},
         "train": {"output_directory": out},
     }
+    shared = Path(shared_dir(spark).removeprefix("file:"))
+    before = {p.name for p in shared.iterdir() if p.name.startswith(("screened-", "training-rows-"))}
     run = run_config.run_all(spark, config, training.TreeParams(trees=4, depth=3))
+    assert {p.name for p in shared.iterdir() if p.name.startswith(("screened-", "training-rows-"))} == before
+    keyless = {r["source"]: r["rows_without_key"] for r in spark.read.parquet(f"{out}/D_5_keyless").collect()}
+    assert keyless == {"consumer": 0, "consumption": 1}
+    assert spark.read.parquet(f"{out}/D_1_keyless").count() == 2
     assert run.metrics["original_features"] == 20
     assert 10 <= run.metrics["selected_features"] <= 20
     d5 = spark.read.parquet(f"{out}/D_5_raw")
@@ -140,3 +150,26 @@ def test_row_order_follows_the_file(spark, tmp_path):
     table = readers.read_consumer(spark, write(tmp_path / "o.txt", "|", C.CONSUMER_COLUMNS, data))
     ordered = [r["CONS_ID"] for r in table.orderBy(C.ROW_ORDER).select("CONS_ID").collect()]
     assert ordered == [d[0] for d in data]
+
+
+def test_rejects_read_the_readings_once(spark, files, tmp_path):
+    raw.summarise_consumption(readers.read_consumption(spark, files["consumption"])).write.parquet(str(tmp_path / "s"))
+    screened = raw.screen_master_path(
+        readers.read_consumer(spark, files["consumer"]),
+        spark.read.parquet(str(tmp_path / "s")),
+        readers.read_mcd(spark, files["mcd"]),
+        readers.read_defect_range(spark, files["ranges"]),
+    )
+    assert "readings.txt" not in screened.rejects()._jdf.queryExecution().executedPlan().toString()
+
+
+def test_scratch_folder_goes_away_also_after_a_failure(spark):
+    kept = []
+    with pytest.raises(ZeroDivisionError):
+        with scratch_dir(spark, "probe") as path:
+            kept.append(path)
+            spark.range(3).write.parquet(path)
+            assert Path(path.removeprefix("file:")).exists()
+            1 / 0
+    assert not Path(kept[0].removeprefix("file:")).exists()
+    remove_dir(spark, kept[0])

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -13,8 +13,10 @@ from wattline.functions.labels import serial_number
 MAKE = ("MFG", "AMP", "VLT")
 # A range table of up to this many pieces is broadcast; a larger one is joined by shuffle.
 BROADCAST_PIECES = 200_000
-# Width of the serial blocks that spread one make's serials over many join keys.
-BLOCK = 65_536
+# Serial blocks spread one make's serials over many join keys. A range is cut into the smallest blocks,
+# 2^16 serials or 2^10 times as many and so on, of which it spans at most 2^10 (and one more at its border).
+LEVELS = (16, 26, 36, 46, 56)
+SPAN = 10
 
 
 def unique_models(models: DataFrame, on: str, properties: Sequence[str]) -> DataFrame:
@@ -45,29 +47,37 @@ def join_mcd_key(df: DataFrame, models: DataFrame, on: str = "MCD") -> DataFrame
     return join_mcd_properties(df, models, on, MAKE)
 
 
-def blocks_of(ranges: DataFrame, block: int = BLOCK) -> DataFrame:
-    """Ranges with their first and last serial block; a reversed range holds no serial."""
-    return ranges.where("start_serial <= end_serial").selectExpr(
-        "*",
-        f"floor(start_serial / {block}) AS first_block",
-        f"floor(end_serial / {block}) AS last_block",
+def leveled(ranges: DataFrame) -> DataFrame:
+    """Ranges with the width of their blocks, as a power of two, and their first and last block.
+
+    A reversed range holds no serial.
+    """
+    fits = " ".join(
+        f"WHEN shiftright(end_serial, {bits}) - shiftright(start_serial, {bits}) <= {1 << SPAN} THEN {bits}"
+        for bits in LEVELS
+    )
+    return (
+        ranges.where("start_serial <= end_serial")
+        .withColumn("bits", F.expr(f"CASE {fits} END"))
+        .selectExpr("*", "shiftright(start_serial, bits) AS first_block", "shiftright(end_serial, bits) AS last_block")
     )
 
 
-def disjoint_blocks(ranges: DataFrame, make: Sequence[str] = MAKE, block: int = BLOCK) -> DataFrame:
-    """Ranges cut at block borders, overlaps merged: each serial lies in at most one piece.
+def disjoint_blocks(ranges: DataFrame, bits: int, make: Sequence[str] = MAKE) -> DataFrame:
+    """Ranges of one width cut at block borders, overlaps merged: each serial lies in at most one piece.
 
     ``ranges`` has the make columns and inclusive ``start_serial`` / ``end_serial``. A window holds
-    one make and block, hence at most one row per serial of the block.
+    one make and block, hence at most one row per different start in the block.
     """
     cut = (
-        blocks_of(ranges, block)
+        leveled(ranges)
+        .where(F.col("bits") == bits)
         .withColumn("block", F.expr("explode(sequence(first_block, last_block))"))
         .selectExpr(
             *make,
             "block",
-            f"greatest(start_serial, block * {block}) AS lo",
-            f"least(end_serial, block * {block} + {block - 1}) AS hi",
+            f"greatest(start_serial, block * {1 << bits}) AS lo",
+            f"least(end_serial, block * {1 << bits} + {(1 << bits) - 1}) AS hi",
         )
         .groupBy(*make, "block", "lo")
         .agg(F.max("hi").alias("hi"))
@@ -84,10 +94,10 @@ def disjoint_blocks(ranges: DataFrame, make: Sequence[str] = MAKE, block: int =
     )
 
 
-def piece_count(ranges: DataFrame, block: int = BLOCK) -> int:
-    """An upper bound of the pieces, from one pass over the range table."""
-    total = blocks_of(ranges, block).agg(F.expr("sum(last_block - first_block + 1)"))
-    return int(total.first()[0] or 0)
+def piece_counts(ranges: DataFrame) -> dict[int, int]:
+    """An upper bound of the pieces of each width that occurs, from one pass over the range table."""
+    total = leveled(ranges).groupBy("bits").agg(F.expr("sum(last_block - first_block + 1)").alias("pieces"))
+    return {row["bits"]: int(row["pieces"]) for row in total.collect()}
 
 
 def range_defect_lookup(
@@ -96,22 +106,25 @@ def range_defect_lookup(
     serial: str = "MNO",
     make: Sequence[str] = MAKE,
     max_pieces: int = BROADCAST_PIECES,
-    block: int = BLOCK,
+    counts: Mapping[int, int] | None = None,
 ) -> DataFrame:
     """Add ``defect_range``: 1 if the serial lies in a range of its make, else 0.
 
-    Equi-join on make and serial block, with the range as residual condition. The pieces are
+    Equi-join on make and serial block, with the range as residual condition, once per width of
+    block that occurs: one, unless a range spans more than 2^26 serials. The pieces of a width are
     disjoint, so no row is doubled. They are broadcast only if their counted number is small.
     More are shuffled by make and block: a make that holds a third of the meters still spreads
-    over its blocks.
+    over its blocks. ``counts`` are the ``piece_counts`` of the table, if they are known already.
     """
-    pieces = disjoint_blocks(ranges, make, block)
-    if piece_count(ranges, block) <= max_pieces:
-        pieces = F.broadcast(pieces)
-    serials = df.selectExpr("*", f"{serial_number(serial)} AS serial_no")
-    same_make = " AND ".join(f"m.{c} = r.{c}" for c in make)
-    inside = f"floor(m.serial_no / {block}) = r.block AND m.serial_no BETWEEN r.lo AND r.hi"
-    joined = serials.alias("m").join(
-        pieces.alias("r"), F.expr(f"{same_make} AND {inside}"), "left"
-    )
-    return joined.selectExpr(*(f"m.`{c}`" for c in df.columns), "int(r.lo IS NOT NULL) AS defect_range")
+    found = piece_counts(ranges) if counts is None else counts
+    joined = df.select("*", F.expr(serial_number(serial)).alias("_serial"), F.lit(0).alias("_inside"))
+    same_make = " AND ".join(f"m.`{c}` = r.`{c}`" for c in make)
+    for bits, pieces in sorted(found.items()):
+        cut = disjoint_blocks(ranges, bits, make)
+        if pieces <= max_pieces:
+            cut = F.broadcast(cut)
+        inside = f"shiftright(m._serial, {bits}) = r.block AND m._serial BETWEEN r.lo AND r.hi"
+        joined = joined.alias("m").join(cut.alias("r"), F.expr(f"{same_make} AND {inside}"), "left").selectExpr(
+            "m.* EXCEPT (_inside)", "greatest(m._inside, int(r.lo IS NOT NULL)) AS _inside"
+        )
+    return joined.select(*(F.col(f"`{c}`") for c in df.columns), F.col("_inside").alias("defect_range"))

@@ -34,9 +34,11 @@ def _flat(prefix: str, table: DataFrame) -> dict[str, float]:
     }
 
 
-def prepared_rows(model_input: DataFrame, keys: Sequence[str] = ("CNO", "MNO")) -> DataFrame:
+def prepared_rows(
+    model_input: DataFrame, keys: Sequence[str] = ("CNO", "MNO"), path: str | None = None
+) -> DataFrame:
     """Training rows with weight and held-out flag, stored."""
-    path = fresh_dir(model_input.sparkSession, "training-rows")
+    path = path or fresh_dir(model_input.sparkSession, "training-rows")
     T.prepare_training(model_input, keys).write.parquet(path)
     return model_input.sparkSession.read.parquet(path)
 
@@ -62,14 +64,15 @@ def train_and_select(
     keys: Sequence[str] = ("CNO", "MNO"),
     features: T.Features = T.Features(),
     params: T.TreeParams = T.TreeParams(),
+    path: str | None = None,
 ) -> ModelRun:
     """Fit on all features, keep those of at least median importance, fit again.
 
     The prepared rows are read once per tree level, so they are written to the shared folder: an
     executor lost during boosting costs no recomputation of the features, and a level reads only the
-    columns it needs.
+    columns it needs. ``path`` is where to, a new folder if left out.
     """
-    prepared = prepared_rows(model_input, keys)
+    prepared = prepared_rows(model_input, keys, path)
     full = T.train_gbt(prepared, features, params)
     chosen = T.select_features(full, features)
     selected = T.train_gbt(prepared, chosen, params)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -103,38 +104,54 @@ def recent_lists(df: DataFrame) -> DataFrame:
     )
 
 
-def _look_up(df: DataFrame, models: DataFrame, ranges: DataFrame, reason: Column) -> DataFrame:
+def _look_up(
+    df: DataFrame,
+    models: DataFrame,
+    ranges: DataFrame,
+    reason: Column,
+    counts: Mapping[int, int] | None,
+) -> DataFrame:
     known = join_mcd_properties(df, models)
-    return range_defect_lookup(known, ranges).withColumn(C.REMARKS, reason)
+    return range_defect_lookup(known, ranges, counts=counts).withColumn(C.REMARKS, reason)
 
 
 def screen_master_path(
-    master: DataFrame, consumption: DataFrame, models: DataFrame, ranges: DataFrame
+    master: DataFrame,
+    summary: DataFrame,
+    models: DataFrame,
+    ranges: DataFrame,
+    counts: Mapping[int, int] | None = None,
 ) -> Screened:
-    """Consumer master and readings to one screened row per consumer.
+    """Consumer master and summarised readings to one screened row per consumer.
 
     Readings without a master row, and master rows without readings, fall out at the one join of
-    the two sides, which are both down to a row per consumer by then.
+    the two sides, which are both down to a row per consumer by then. ``summary`` comes from
+    ``summarise_consumption`` and holds every consumer with readings, so the early rejects take its
+    keys as well. Write it once where both kept and rejected rows are wanted: the readings are then
+    read once.
     """
     rows = prepare_master(master)
     latest = latest_master(rows.where(F.col("FDT").isNotNull()))
-    summary = summarise_consumption(consumption)
     consumers = recent_lists(with_lists(latest.join(summary, C.KEYS)))
     different = is_different(F.col("MNO"), F.col("read_mno"))
     reason = F.when(different, C.DIFFERENT_MNO).otherwise(screens.master_path_reason())
-    undated = with_common_keys(screens.screen_missing_fdt(rows), consumption)
-    early = screens.collect_rejects([screens.screen_no_consumption(master, consumption), undated])
-    return Screened(_look_up(consumers, models, ranges, reason), early)
+    undated = with_common_keys(screens.screen_missing_fdt(rows), summary)
+    early = screens.collect_rejects([screens.screen_no_consumption(master, summary), undated])
+    return Screened(_look_up(consumers, models, ranges, reason, counts), early)
 
 
 def screen_history_path(
-    names: DataFrame, life: DataFrame, models: DataFrame, ranges: DataFrame
+    names: DataFrame,
+    life: DataFrame,
+    models: DataFrame,
+    ranges: DataFrame,
+    counts: Mapping[int, int] | None = None,
 ) -> Screened:
     """Meter-life lists to one screened row per meter."""
     meters = recent_lists(
         join_history(life, names).withColumn("adv_ut_list", F.expr(nan_to_null("adv_ut_list")))
     )
-    screened = _look_up(meters, models, ranges, screens.history_path_reason())
+    screened = _look_up(meters, models, ranges, screens.history_path_reason(), counts)
     label = F.expr(label_from_current_meter("is_current_meter"))
     return Screened(screened.withColumn("LABEL", label))
 

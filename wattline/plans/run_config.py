@@ -21,15 +21,17 @@ from __future__ import annotations
 
 import json
 from collections.abc import Mapping
+from dataclasses import replace
 from pathlib import Path
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import SparkSession
+from pyspark.sql import Observation, SparkSession
 
 from wattline.operators import training as T
 from wattline.operators.combine import union_pred_rejects
+from wattline.operators.lookup import piece_counts
 from wattline.plans import model_input, model_run, raw
-from wattline.session import fresh_dir
+from wattline.session import scratch_dir
 from wattline.sources import readers, sinks
 
 
@@ -38,28 +40,54 @@ def load(path: str) -> dict:
     return json.loads(Path(path).read_text(encoding="utf-8"))
 
 
+def _screen(
+    spark: SparkSession, files: Mapping, tables: Mapping, path: str
+) -> tuple[raw.Screened, list[tuple[str, int]]]:
+    """One dataset screened, and how many rows of each source had no key.
+
+    What kept and rejected rows share is written below ``path``, so each source is computed once.
+    """
+    if files.get("custom_processing"):
+        life = readers.read_meter_life(spark, files["consumption"])
+        names = readers.read_master_history(spark, files["consumer"])
+        sources = [("consumer", files["consumer"], "|"), ("consumption", files["consumption"], ",")]
+        counted = [(kind, readers.keyless_rows(spark, file, sep)) for kind, file, sep in sources]
+        screened = raw.screen_history_path(names, life, **tables)
+    else:
+        keyless = Observation()
+        consumption = readers.read_consumption(spark, files["consumption"], keyless)
+        raw.summarise_consumption(consumption).write.parquet(f"{path}/summary")
+        summary = spark.read.parquet(f"{path}/summary")
+        master = readers.read_consumer(spark, files["consumer"])
+        screened = raw.screen_master_path(master, summary, **tables)
+        counted = [
+            ("consumer", readers.keyless_rows(spark, files["consumer"], "|")),
+            ("consumption", keyless.get["rows_without_key"]),
+        ]
+    screened.consumers.write.parquet(f"{path}/consumers")
+    return raw.Screened(spark.read.parquet(f"{path}/consumers"), screened.early), counted
+
+
 def process_raw(spark: SparkSession, config: Mapping) -> dict[str, str]:
-    """Screen each dataset; write its kept rows and its rejects. Returns the path per dataset."""
-    models = readers.read_mcd(spark, config["lookups"]["mcd"])
+    """Screen each dataset; write its kept rows, its rejects, and the number of rows without a key.
+
+    Returns the path per dataset.
+    """
     ranges = readers.read_defect_range(spark, config["lookups"]["defect_range"])
+    tables = {
+        "models": readers.read_mcd(spark, config["lookups"]["mcd"]),
+        "ranges": ranges,
+        "counts": piece_counts(ranges),
+    }
     step = config["combine"]
     root, written = step["output_directory"], {}
     for name, files in step["files"].items():
-        if files.get("custom_processing"):
-            names = readers.read_master_history(spark, files["consumer"])
-            life = readers.read_meter_life(spark, files["consumption"])
-            screened = raw.screen_history_path(names, life, models, ranges)
-        else:
-            master = readers.read_consumer(spark, files["consumer"])
-            consumption = readers.read_consumption(spark, files["consumption"])
-            screened = raw.screen_master_path(master, consumption, models, ranges)
-        # Kept and rejected rows come from one computation, held in the shared folder.
-        path = fresh_dir(spark, f"screened-{name}")
-        screened.consumers.write.parquet(path)
-        screened = raw.Screened(spark.read.parquet(path), screened.early)
-        report = readers.read_report(spark, files["report"]) if "report" in files else None
-        written[name] = sinks.write_raw(raw.apply_report(screened.kept(), report), root, name)
-        sinks.write_rejects(screened.rejects(), root, name)
+        with scratch_dir(spark, f"screened-{name}") as path:
+            screened, counted = _screen(spark, files, tables, path)
+            report = readers.read_report(spark, files["report"]) if "report" in files else None
+            written[name] = sinks.write_raw(raw.apply_report(screened.kept(), report), root, name)
+            sinks.write_rejects(screened.rejects(), root, name)
+        sinks.write_keyless(spark, counted, root, name)
     return written
 
 
@@ -96,13 +124,14 @@ def train(
     root = step["output_directory"]
     path = step.get("training_data") or path
     table = readers.read_training(spark, path, ["CNO", "MNO"])
-    run = model_run.train_and_select(table, params=params)
-    saved = sinks.write_model(run.full, root)
-    sinks.write_model(run.selected, f"{root.rstrip('/')}/selected")
-    for name, rows in model_run.held_out_tables(run.full, run.prepared, run.features).items():
-        rows.write.mode("overwrite").parquet(f"{root.rstrip('/')}/evaluation/{name}")
+    with scratch_dir(spark, "training-rows") as prepared:
+        run = model_run.train_and_select(table, params=params, path=prepared)
+        saved = sinks.write_model(run.full, root)
+        sinks.write_model(run.selected, f"{root.rstrip('/')}/selected")
+        for name, rows in model_run.held_out_tables(run.full, run.prepared, run.features).items():
+            rows.write.mode("overwrite").parquet(f"{root.rstrip('/')}/evaluation/{name}")
     sinks.log_run(spark, f"{root.rstrip('/')}/runs", saved, {"dataset": path, **run.metrics})
-    return run
+    return replace(run, prepared=None)  # its rows are gone
 
 
 def score(spark: SparkSession, config: Mapping) -> str:

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -53,3 +55,22 @@ def shared_dir(spark: SparkSession) -> str:
 def fresh_dir(spark: SparkSession, label: str) -> str:
     """A new path below the shared folder; nothing is written here yet."""
     return f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+def remove_dir(spark: SparkSession, path: str) -> None:
+    """Delete a folder wherever it lies; one that is not there is fine."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+@contextmanager
+def scratch_dir(spark: SparkSession, label: str) -> Iterator[str]:
+    """A new path below the shared folder, removed at the end of the block, also if that fails.
+
+    What is read from it must be written elsewhere by then.
+    """
+    path = fresh_dir(spark, label)
+    try:
+        yield path
+    finally:
+        remove_dir(spark, path)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from wattline import constants as C
@@ -50,10 +50,19 @@ def drop_missing_keys(df: DataFrame, keys: Sequence[str] = C.KEYS) -> DataFrame:
     return df.dropna(subset=list(keys))
 
 
+def _missing_keys(keys: Sequence[str]) -> Column:
+    missing = " OR ".join(f"{k} IS NULL" for k in keys)
+    return F.expr(f"count_if({missing})").alias("rows_without_key")
+
+
 def missing_key_count(df: DataFrame, keys: Sequence[str] = C.KEYS) -> DataFrame:
     """One row that says how many rows ``drop_missing_keys`` leaves out."""
-    missing = " OR ".join(f"{k} IS NULL" for k in keys)
-    return df.agg(F.expr(f"count_if({missing})").alias("rows_without_key"))
+    return df.agg(_missing_keys(keys))
+
+
+def keyless_rows(spark: SparkSession, path: str, sep: str) -> int:
+    """How many rows of a file ``drop_missing_keys`` leaves out."""
+    return missing_key_count(read_text_table(spark, path, C.KEYS, sep)).first()[0]
 
 
 def read_consumer(spark: SparkSession, path: str) -> DataFrame:
@@ -61,8 +70,11 @@ def read_consumer(spark: SparkSession, path: str) -> DataFrame:
     return drop_missing_keys(table.withColumn("MCD", _whole("MCD")))
 
 
-def read_consumption(spark: SparkSession, path: str) -> DataFrame:
+def read_consumption(spark: SparkSession, path: str, counted: Observation | None = None) -> DataFrame:
+    """The readings. ``counted`` learns ``rows_without_key`` while the first job reads them."""
     table = read_text_table(spark, path, C.CONSUMPTION_COLUMNS, "|", ordered=True)
+    if counted is not None:
+        table = table.observe(counted, _missing_keys(C.KEYS))
     return drop_missing_keys(table.withColumn("ADV_UT", _number("ADV_UT")))
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from datetime import datetime
 
 from pyspark.ml import PipelineModel
@@ -43,6 +43,12 @@ def write_rejects(df: DataFrame, root: str, name: str) -> str:
     return path
 
 
+def write_keyless(spark: SparkSession, counted: Sequence[tuple[str, int]], root: str, name: str) -> None:
+    """How many rows of each source of a dataset belong to no consumer."""
+    table = spark.createDataFrame(list(counted), "source string, rows_without_key long")
+    table.coalesce(1).write.mode("overwrite").parquet(f"{root.rstrip('/')}/{name}_keyless")
+
+
 def write_predictions(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
