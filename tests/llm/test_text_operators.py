@@ -247,6 +247,21 @@ def test_base_pii_equals_the_patterns():
         assert pii.base_spans(text) == naive_pii(text)
 
 
+def test_covered_places_match_brute_force():
+    rng = random.Random(5)
+    for _ in range(200):
+        spans = [("x", a, a + rng.randint(1, 9)) for a in (rng.randrange(60) for _ in range(rng.randint(0, 8)))]
+        covered = pii.Covered(spans)
+        for _ in range(20):
+            a = rng.randrange(70)
+            b = a + rng.randint(1, 6)
+            free = not any(x < b and a < y for _, x, y in spans)
+            assert covered.free(a, b) == free
+            if free:
+                covered.add(a, b)
+                spans.append(("x", a, b))
+
+
 def test_pii_keeps_base_and_redacts(spark, edges, empty):
     texts = [(i, f"{prose(i, 9)} call +1 ({300 + i}) 555-{1000 + i} or a{i}@mail.org {prose(i, 5)} {10**14 + i * 7}") for i in range(200)]
     docs = spark.createDataFrame(rows_of(texts), SCHEMA)
@@ -281,6 +296,16 @@ def test_secret_base_spans_and_ownership(spark, edges, empty):
     assert secrets.find_secrets(empty).count() == 0
 
 
+def test_places_of_very_many_secrets(spark):
+    """More matches than a chunk holds, at its borders and far beyond."""
+    rng = random.Random(3)
+    texts = {n: "".join(f"{'é ' * rng.randint(1, 3)}{i:024x}" for i in range(n)) + " end" * (n % 2) for n in (255, 256, 257, 512, 30_000)}
+    docs = spark.createDataFrame([(n, t, "s") for n, t in texts.items()], "doc_id long, text string, source string")
+    for row in secrets.find_secrets(docs).collect():
+        want = [m.span() for m in re.finditer("[0-9a-f]{24,}", texts[row["id"]])]
+        assert [(s["start"], s["end"]) for s in row["base"]] == want and len(want) == row["id"]
+
+
 def test_licenses_in_windows(spark, edges, empty):
     mit, notice = licenses.TEMPLATES["mit"], licenses.TEMPLATES["apache-2.0-notice"]
     texts = [

@@ -48,6 +48,7 @@ KEYED = "|".join(
 )
 KINDS = [*BASE, "keyed"]
 LIVE_OWNERS = 1
+CHUNK = 256
 
 SPAN = "struct<start:int,rank:int,kind:string,end:int,value:string>"
 
@@ -65,19 +66,23 @@ def spans_of(kind: str, text: str, found: str) -> str:
     """Spans of one kind, as SQL text over the text and the column of its matches.
 
     Between two matches lies one piece of the split text; running sums of the lengths give the places.
+    A list that grows in ``aggregate`` is copied at each step, so the matches go through in chunks.
     """
     pattern, group, least = BASE.get(kind, (KEYED, 0, 1))
     rank = KINDS.index(kind)
     value = "m.s" if group == 0 else f"regexp_extract(m.s, {_literal(pattern)}, {group})"
+    place = "array<struct<start:int,end:int,s:string>>"
+    chunks = f"""transform(sequence(0, size({found}) div {CHUNK}), c -> zip_with(slice({found}, c * {CHUNK} + 1, {CHUNK}),
+      slice(gaps, c * {CHUNK} + 1, {CHUNK}), (s, gap) -> named_struct('s', s, 'gap', length(gap))))"""
+    begin = "coalesce(try_element_at(done, -1).end, try_element_at(try_element_at(parts, -1), -1).end, 0) + x.gap"
+    one = f"named_struct('start', {begin}, 'end', {begin} + length(x.s), 's', x.s)"
+    chunk = f"aggregate(chunk, CAST(array() AS {place}), (done, x) -> IF(x.s IS NULL, done, concat(done, array({one}))))"
+    placed = f"flatten(aggregate({chunks}, CAST(array() AS array<{place}>), (parts, chunk) -> concat(parts, array({chunk}))))"
+    span = f"named_struct('start', m.start, 'rank', {rank}, 'kind', '{kind}', 'end', m.end, 'value', {value})"
+    # The text is split once: a plain sub-expression would be computed anew for every chunk.
     return f"""IF(size({found}) = 0, CAST(array() AS array<{SPAN}>),
-      filter(transform(
-        aggregate(zip_with({found}, split({text}, {_literal(pattern)}, -1), (s, gap) -> named_struct('s', s, 'gap', length(gap))),
-          CAST(array() AS array<struct<start:int,end:int,s:string>>),
-          (done, x) -> IF(x.s IS NULL, done, concat(done, array(named_struct(
-            'start', IF(size(done) = 0, 0, try_element_at(done, -1).end) + x.gap,
-            'end', IF(size(done) = 0, 0, try_element_at(done, -1).end) + x.gap + length(x.s), 's', x.s))))),
-        m -> named_struct('start', m.start, 'rank', {rank}, 'kind', '{kind}', 'end', m.end, 'value', {value})),
-        x -> length(x.value) >= {least}))"""
+      filter(transform(flatten(transform(array(split({text}, {_literal(pattern)}, -1)), gaps -> {placed})),
+        m -> {span}), x -> length(x.value) >= {least}))"""
 
 
 def written(spans: Column) -> Column:
