@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from wattline.llm import decontamination, language, near_dedup, packing, pii
 from wattline.llm.tables import held_out, load, quoted, stored
+from wattline.session import fresh_dir, remove_dir
 
 # A text is rejected if no language has more than this probability; far below what clean texts get.
 LEAST_LANGUAGE_SCORE = 0.3
@@ -65,8 +66,14 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages on ``documents``."""
-    docs = load(spark, sf_dir, "documents")
+    """All stages on ``documents``. A stage's copy of them goes once the next stage is written."""
+    docs, before = load(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
-        docs = stored(stage(spark, docs, sf_dir), f"stage-{name}")
+        path = fresh_dir(spark, f"stage-{name}")
+        done = stage(spark, docs, sf_dir)
+        done.write.parquet(path)
+        docs = spark.read.schema(done.schema).parquet(path)
+        if before is not None:
+            remove_dir(spark, before)
+        before = path
     return docs
