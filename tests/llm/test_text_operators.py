@@ -139,6 +139,39 @@ def test_leaks_match_brute_force(spark, edges, empty):
     assert decontamination.contaminated(edges, benchmark.limit(0)).count() == 0
 
 
+def words_of(*texts: str) -> tuple[np.ndarray, np.ndarray]:
+    return words.word_hashes(pa.array(texts))
+
+
+def test_items_at_every_place_of_barely_longer_documents():
+    """Whatever lies before the document in the batch, and however the chunks fall."""
+    for length in (56, 200):
+        item = prose(length, length)
+        matcher = decontamination.Matcher(decontamination.Items([1], [words_of(item)[0]]))
+        ((width, step, _, _),) = matcher.classes
+        for more in range(width - length, width - length + step + 1):
+            for offset in range(step + 1):
+                for ahead in (0, more // 2, more):
+                    text = f"{prose(8, ahead)} {item} {prose(9, more - ahead)}"
+                    found = matcher.matches(*words_of(prose(7, 40 + offset), text))
+                    assert [(d, i, at) for d, i, _, at in found] == [(1, 0, ahead)], (length, more, offset, ahead)
+
+
+def test_window_starts_match_brute_force():
+    rng = random.Random(2)
+    for _ in range(200):
+        limits = np.cumsum([0] + [rng.choice((0, 1, 5, 9, 30)) for _ in range(rng.randint(1, 8))])
+        width, step, cut = rng.randint(1, 12), rng.randint(1, 5), rng.randint(1, 20)
+        want = [
+            int(a) + k
+            for a, b in zip(limits, limits[1:])
+            for k in range(max(0, b - a - width + 1))
+            if k % step == 0 or k == b - a - width
+        ]
+        parts = [decontamination.window_starts(limits, width, step, low, min(low + cut, limits[-1])) for low in range(0, limits[-1], cut)]
+        assert sorted(np.concatenate([np.zeros(0, int), *parts]).tolist()) == want
+
+
 def test_hamming_index_finds_all_within_radius():
     rng = np.random.default_rng(1)
     for count in (20, 100):

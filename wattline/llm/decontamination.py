@@ -2,8 +2,9 @@
 
 1. Every window of a document that is as long as a benchmark item gets a 64-bit SimHash of its words.
    Lengths are grouped so that a window is at most one word, or 5 % of its words, longer or shorter
-   than the items it stands for, and windows start as close to each other. Items of fewer than SHORT
-   words have windows of just their length.
+   than the items it stands for, and windows start as close to each other, from the document's first
+   word on; one more ends with the document. Items of fewer than SHORT words have windows of just
+   their length.
 2. Fingerprints are cut into n blocks. If two differ in at most RADIUS bits, they differ in at most
    RADIUS // n bits of some block. Every value within that distance of an item's block leads to the
    item, so the look-up finds all pairs within RADIUS, and a full comparison drops the others.
@@ -59,13 +60,25 @@ def counters(words: np.ndarray) -> np.ndarray:
     return np.cumsum(lanes, axis=1, out=lanes)
 
 
-def window_hashes(total: np.ndarray, width: int, step: int = 1) -> np.ndarray:
-    """SimHash of every ``step``-th window of fewer than 128 words: a bit is set if most words have it."""
+def window_starts(limits: np.ndarray, width: int, step: int, low: int, high: int) -> np.ndarray:
+    """First words, from ``low`` to before ``high``, of windows every ``step`` words and at the end of each document."""
+    near = slice(np.searchsorted(limits, low, "right") - 1, np.searchsorted(limits, high, "left"))
+    begin, last = limits[:-1][near], limits[1:][near] - width
+    first = begin + np.maximum(0, -((begin - low) // step)) * step
+    count = np.maximum(0, (np.minimum(last, high - 1) - first) // step + 1)
+    place = np.repeat(first - step * (np.cumsum(count) - count), count) + step * np.arange(count.sum())
+    ends = last[(last >= np.maximum(begin, low)) & (last < high) & ((last - begin) % step > 0)]
+    return np.concatenate([place, ends])
+
+
+def window_hashes(total: np.ndarray, width: int, start: np.ndarray) -> np.ndarray:
+    """SimHash of the windows of fewer than 128 words at the given starts: a bit is set if most words have it."""
     found: np.ndarray | None = None
     lift = np.uint64(int("01" * 8, 16) * (127 - width // 2))
+    end = start + width
     for k in range(8):
         row = total[k]
-        flags = row[width::step] - row[: len(row) - width : step]
+        flags = row.take(end) - row.take(start)
         flags += lift
         flags >>= np.uint64(7 - k)
         flags &= np.uint64(int("01" * 8, 16) << k)
@@ -193,16 +206,12 @@ class Matcher:
         longest = max((w for w, *_ in self.classes), default=0)
         for low in range(0, len(words), WORDS_AT_ONCE):
             total = counters(words[low : low + WORDS_AT_ONCE + longest])
-            at = np.arange(low, min(low + WORDS_AT_ONCE, len(words)))
-            room = limits[np.searchsorted(limits, at, "right")] - at
             for width, step, own, index in self.classes:
-                fits = room[::step] >= width
-                place = at[::step][fits]
+                place = window_starts(limits, width, step, low, min(low + WORDS_AT_ONCE, len(words)))
                 if not len(place):
                     continue
                 if width < 128:
-                    prints = window_hashes(total, width, step)[: len(fits)]
-                    prints = prints[fits[: len(prints)]]
+                    prints = window_hashes(total, width, place - low)
                 else:
                     prints = np.array([simhash(words[p : p + width]) for p in place.tolist()], np.uint64)
                 search(own, index, place, prints)
