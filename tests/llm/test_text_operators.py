@@ -148,7 +148,7 @@ def test_items_at_every_place_of_barely_longer_documents():
     for length in (56, 200):
         item = prose(length, length)
         matcher = decontamination.Matcher(decontamination.Items([1], [words_of(item)[0]]))
-        ((width, step, _, _),) = matcher.classes
+        ((width, step, *_),) = matcher.classes
         for more in range(width - length, width - length + step + 1):
             for offset in range(step + 1):
                 for ahead in (0, more // 2, more):
@@ -157,6 +157,22 @@ def test_items_at_every_place_of_barely_longer_documents():
                     assert [(d, i, at) for d, i, _, at in found] == [(1, 0, ahead)], (length, more, offset, ahead)
 
 
+def test_items_cut_short_match_brute_force(spark):
+    """Documents that are items less one to a tenth of their words, no two items of one width."""
+    items = [(n, prose(300 + n, n)) for n in (14, 20, 30, 40, 59, 90, 140, 200)]
+    texts, want = [(1, " ".join(items[4][1].split()[:-1]))], {(1, 59): 54 / 55}
+    for n, item in items:
+        own = item.split()
+        for less in range(1, n // 10 + 1):
+            for first in {0, less // 2, less}:
+                texts.append((1000 * n + 30 * less + first, " ".join(own[first : n - less + first])))
+                want[texts[-1][0], n] = (n - less - 4) / (n - 4)
+    docs = spark.createDataFrame(rows_of(texts), SCHEMA)
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    found = {(r["id"], r["item_id"]): r["similarity"] for r in decontamination.contaminated(docs, benchmark).collect()}
+    assert found.keys() == want.keys() and all(abs(found[k] - want[k]) < 1e-9 for k in want)
+
+
 def test_window_starts_match_brute_force():
     rng = random.Random(2)
     for _ in range(200):

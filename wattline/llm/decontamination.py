@@ -14,10 +14,11 @@
 
 Items go to the tasks in blocks of bounded size, each compared with all windows; the blocks are read
 from the benchmark one at a time, so its size bounds neither the driver nor a task. An item that can
-have no window as its text is null or empty never matches; nor does an item that is longer than the
-document, unless as one shingle. A document that repeats an item gives one row, at the most similar
-and then first place. Null and empty texts give no row, repeated rows each give theirs, empty tables
-none. Other columns are ignored.
+have no window as its text is null or empty never matches. A document that is shorter than an item's
+windows needs no SimHash: it is a candidate if it has one of the item's first shingles, of which a
+similar one can't lack all. A document that repeats an item gives one row, at the most similar and
+then first place. Null and empty texts give no row, repeated rows each give theirs, empty tables none.
+Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -98,6 +99,11 @@ def slack(length: int) -> int:
     return max(1, length // 20) if length >= SHORT else 0
 
 
+def least_words(length: int) -> int:
+    """Words of the shortest document that can be similar to an item of this length."""
+    return int(np.ceil(SIMILARITY * (length - SHINGLE + 1) - 1e-9)) + SHINGLE - 1 if length >= SHINGLE else length
+
+
 def width_classes(lengths: list[int]) -> dict[int, int]:
     """Window width for each item length: at most ``slack`` words off."""
     width_of: dict[int, int] = {}
@@ -187,6 +193,12 @@ class Matcher:
         for width in np.unique(widths).tolist():
             own = np.flatnonzero(widths == width)
             self.classes.append((width, max(1, slack(width)), own, HammingIndex(prints[own])))
+        # A similar text lacks at most a fifth of the item's shingles, so it has one of any fifth and one more.
+        self.width, self.least = widths, np.array([least_words(n) for n in self.length.tolist()])
+        firsts = [W.shingles(w, SHINGLE)[: int((1 - SIMILARITY) * (len(w) - SHINGLE + 1) + 1e-9) + 1] for w in items.words]
+        of, value = np.repeat(np.arange(len(firsts)), list(map(len, firsts))), np.concatenate([np.zeros(0, np.uint64), *firsts])
+        order = np.argsort(value, kind="stable")
+        self.first, self.first_of = value[order], of[order]
 
     def candidates(self, words: np.ndarray, limits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """First words, counted from the first document's, and items."""
@@ -197,13 +209,10 @@ class Matcher:
             places.append(place[query])
             items.append(own[item])
 
-        size = np.diff(limits)
-        for width, step, own, index in self.classes:
-            # A document that is shorter than the window, but not than all of its items, is one window.
-            short = np.flatnonzero((size < width) & (size >= self.length[own].min()))
-            prints = [simhash(words[limits[d] : limits[d + 1]]) for d in short.tolist()]
-            search(own, index, limits[short], np.array(prints, np.uint64))
         longest = max((w for w, *_ in self.classes), default=0)
+        doc, item = self.short(words, limits, longest)
+        places.append(limits[doc])
+        items.append(item)
         for low in range(0, len(words), WORDS_AT_ONCE):
             total = counters(words[low : low + WORDS_AT_ONCE + longest])
             for width, step, own, index in self.classes:
@@ -217,6 +226,27 @@ class Matcher:
                 search(own, index, place, prints)
         return np.concatenate(places), np.concatenate(items)
 
+    def short(self, words: np.ndarray, limits: np.ndarray, longest: int) -> tuple[np.ndarray, np.ndarray]:
+        """Documents that are shorter than an item's windows and have one of its first shingles, and these items."""
+        size = np.diff(limits)
+        docs = np.flatnonzero((size >= SHINGLE) & (size < longest))
+        count = size[docs] - SHINGLE + 1
+        doc = np.repeat(docs, count)
+        at = np.arange(len(doc)) - np.repeat(np.cumsum(count) - count, count) + limits[doc]
+        total = np.zeros(len(at), np.uint64)
+        for i, factor in enumerate(W.stream(3, SHINGLE) | np.uint64(1)):
+            total += words[at + i] * factor
+        value = W.mix(total + np.uint64(SHINGLE))
+        low, high = (np.searchsorted(self.first, value, side) for side in ("left", "right"))
+        some = np.flatnonzero(high > low)
+        doc, low, high = np.unique(np.stack([doc[some], low[some], high[some]]), axis=1)
+        times = high - low
+        item = self.first_of[np.repeat(low - (np.cumsum(times) - times), times) + np.arange(times.sum())]
+        doc = np.repeat(doc, times)
+        fits = (size[doc] >= self.least[item]) & (size[doc] < self.width[item])
+        pairs = np.unique(np.stack([doc[fits], item[fits]]), axis=1)
+        return pairs[0], pairs[1]
+
     def matches(self, words: np.ndarray, limits: np.ndarray) -> list[tuple[int, int, float, int]]:
         """(document, item, similarity, first word) of the best place of each pair that matches."""
         place, item = self.candidates(words, limits)
