@@ -345,6 +345,26 @@ def test_secret_base_spans_and_ownership(spark, edges, empty):
     assert secrets.find_secrets(empty).count() == 0
 
 
+def test_private_keys_differ_by_their_bodies(spark):
+    begin, end = "-----BEGIN RSA PRIVATE KEY-----", "-----END RSA PRIVATE KEY-----"
+    rng = random.Random(4)
+
+    def key(lines: int, gap: str = "\n", head: str = "") -> str:
+        body = ("".join(rng.choice("abcXYZ019+/") for _ in range(64)) for _ in range(lines))
+        return f"{begin}{gap}{head}{gap.join(body)}{gap}"
+
+    info = "Proc-Type: 4,ENCRYPTED\nDEK-Info: DES-EDE3-CBC,0F1E\n\n"
+    whole = [key(25) + end, key(3, "\\n") + end, key(9, "\r\n", info) + end, key(400) + end, key(12, " ")[:-1]]
+    shared = key(6) + end
+    texts = [(n, f"é {k} some words") for n, k in enumerate(whole)]
+    texts += [(10, f"{shared} {whole[0]}x"), (11, f"a {shared}"), (12, f"{begin} is a header"), (13, begin), (14, key(30_000))]
+    rows = secrets.find_secrets(spark.createDataFrame(rows_of(texts), SCHEMA)).collect()
+    spans = {r["id"]: [(s["start"], s["end"]) for s in r["spans"] if s["kind"] == "keyed"] for r in rows}
+    assert [spans[n] for n in range(1, 5)] == [[(2, 2 + len(k))] for k in whole[1:]]  # of three sources
+    assert spans[0] == spans[10] == spans[11] == spans[12] == spans[13] == []  # in two sources each
+    assert spans[14] == [(0, len(begin) + 60 * 65)]
+
+
 def test_places_of_very_many_secrets(spark):
     """More matches than a chunk holds, at its borders and far beyond."""
     rng = random.Random(3)

@@ -35,7 +35,9 @@ BASE = {
     "access": ("AKIA[A-Z0-9]+", 0, 20),
     "hex": ("[0-9a-f]{24,}", 0, 24),
 }
-# Public formats of credentials that carry a prefix of their own.
+# Public formats of credentials that carry a prefix of their own. A private key goes to
+# its end line; without one, over as many lines of its body as follow, up to 60. Each repeat of a group
+# takes room on Java's stack, so the repeats are few.
 KEYED = "|".join(
     (
         "gh[pousr]_[A-Za-z0-9]{36,}",
@@ -43,7 +45,8 @@ KEYED = "|".join(
         "AIza[A-Za-z0-9_-]{35}",
         "[sr]k_live_[A-Za-z0-9]{16,}",
         "eyJ[A-Za-z0-9_-]{10,}\\.[A-Za-z0-9_-]{10,}\\.[A-Za-z0-9_-]{10,}",
-        "-----BEGIN [A-Z ]{0,20}PRIVATE KEY-----",
+        "-----BEGIN [A-Z ]{0,20}PRIVATE KEY-----(?:[^-]*(?:-[^-]+){0,8}-----END [A-Z ]{0,20}PRIVATE KEY-----"
+        "|(?:(?:\\\\[nr]|[\\x20\\t\\r\\n]){0,4}[A-Za-z0-9+/=]{16,}){0,60})",
     )
 )
 KINDS = [*BASE, "keyed"]
