@@ -325,6 +325,37 @@ def test_pii_keeps_base_and_redacts(spark, edges, empty):
     assert pii.find(empty, pii.train(empty)).count() == 0
 
 
+def test_every_kind_of_pii_adds_spans():
+    rng = random.Random(8)
+
+    def card() -> str:
+        digits = "".join(rng.choice("0123456789") for _ in range(15))
+        return next(digits + c for c in "0123456789" if pii.luhn(digits + c))
+
+    def quad() -> str:
+        return ".".join(str(rng.randrange(256)) for _ in range(4))
+
+    texts = []
+    for n in range(600):
+        a, b, c = prose(n, 1), prose(n + 5000, 1), prose(n + 9000, 12)
+        texts.append(f"{c} write to {(a, f"{a}.{b}", f"{b}{n}")[n % 3]}@{prose(n % 40, 1)}.{("org", "com", "de")[n % 7 % 3]} or call +49 30 {rng.randrange(10**6, 10**8)} soon. {c}")
+        c = prose(n + 13_000, 12)
+        texts.append(f"{c} host {quad()} paid by card {card()} on {rng.randrange(10**7, 10**9)}. {c}")
+    found = pii.fit(texts)
+    assert set(found) == set(pii.KINDS)
+    odd = {
+        "email": "mail jo.doe (at) mail (dot) org today",
+        "ip": "host 10[.]20[.]30[.]44 is up",
+        "phone": "call 030 4455667 soon",
+    }
+    for kind, text in odd.items():
+        base, spans = pii.all_spans(text, found)
+        assert base == [] and [k for k, *_ in spans] == [kind], (kind, spans)
+    for text in ("we met at noon dot and left", "version 1 . 2 . 0 . 4 is out", "300 . 400 . 500 . 600"):
+        assert pii.all_spans(text, {k: found[k] for k in ("email", "ip")}) == ([], [])
+    assert not [p for p, label in pii.examples("write jo (at) mail (dot) org") if p.text == "jo (at) mail (dot) org"]
+
+
 def test_secret_base_spans_and_ownership(spark, edges, empty):
     gh = "ghp_" + "a1B2" * 10
     texts = [
