@@ -14,14 +14,15 @@ from wattline.llm import decontamination, language, near_dedup, packing, pii
 from wattline.llm.tables import held_out, load, quoted, stored
 from wattline.session import fresh_dir, remove_dir
 
-# A text is rejected if no language has more than this probability; far below what clean texts get.
+# A text is rejected if no language has more than this probability; far below what clean texts get. Junk
+# with letters is not told by it but by the machines of ``language.fit_genuine``.
 LEAST_LANGUAGE_SCORE = 0.3
 NEAR = near_dedup.Setting(words=5, percent=80)
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop texts without letters and texts of no recognisable language."""
-    model = language.train(docs.where(~held_out(F.col("doc_id"))))
+    """Drop texts without letters, junk and texts of no recognisable language."""
+    model = language.train(docs.where(~held_out(F.col("doc_id"))), genuine=True)
     found = language.identify(docs, model, lang="__wl_lang", score="__wl_score")
     if model is None:  # nothing to learn from, so nothing to judge by
         return docs

@@ -446,6 +446,25 @@ def test_language_by_family(spark, edges, empty):
         language.identify(edges, model)
 
 
+def test_junk_goes_and_short_clean_texts_stay(spark):
+    stems = {"en": ("the", "ing", "with", "ow", "er"), "de": ("und", "sch", "lich", "ei", "tz")}
+    rng = random.Random(1)
+
+    def text(lang: str, words: int) -> str:
+        return " ".join("".join(rng.choices(stems[lang], k=rng.randint(1, 3))) for _ in range(words))
+
+    learnt = [(n, text(lang, 5 + n % 60), lang) for lang in stems for n in range(300)]
+    model = language.train(spark.createDataFrame(learnt, "doc_id long, text string, lang string"), genuine=True)
+    assert set(model.genuine) == set(stems)
+    clean = [text(lang, words) for lang in stems for words in (4, 8, 30, 200) for _ in range(100)]
+    bad = [j for c in clean[-200:] + clean[200:300] for j in language.junk(c, rng)]
+    bad += ["asdfkj qwepoiu zxmcnv lkjqwe rtyuio pqwla zmxnv", "QmFzZTY0IGlzIGEgZ3JvdXAgb2YgYmluYXJ5IHRvIHRleHQgZW5jb2Rpbmc="]
+    rows = spark.createDataFrame([(n, t) for n, t in enumerate(clean + bad)], "doc_id long, text string")
+    found = {r["doc_id"]: r["lang_pred"] for r in language.identify(rows, model).collect()}
+    kept = np.array([found[n] != language.UNKNOWN for n in range(len(found))])
+    assert kept[: len(clean)].mean() > 0.98 and kept[len(clean) :].mean() < 0.02 and not kept[-2:].any()
+
+
 def test_network_gradients():
     texts = toxicity.Texts.read(pa.array(["you are an idiot and a fool " * 3, "nice day for all of us", "é x"]))
     network = toxicity.Network(texts.code[::2].copy(), np.zeros(len(texts.code[::2]), np.float32))

@@ -4,21 +4,28 @@ A family is a group of closely related languages (FAMILIES; a language not liste
 of its own). Families are told apart by one-versus-one linear support vector machines over byte
 n-gram frequencies, and so are the languages of a family. The machine outputs of a pair are turned
 into a probability by a logistic curve fitted on the training rows; a class's probability is the
-mean over its pairs, scaled to sum 1, and the score is the family's times the language's.
+mean over its pairs, so that of the best one is at least a half, and the score is the family's times
+the language's. The score tells languages apart, not texts from junk. On demand one more machine per
+language does that: it learns the language's texts and short cuttings of them against junk made of them
+(shuffled letters, base64, hex, random letters), half of the texts fitting it and half setting the limits,
+one for each band of lengths: at most REJECTED of their cuttings lie below. A language of fewer than LEAST_TEXTS texts has none.
 
 The machines are fitted on the driver on a bounded sample: at most about SAMPLE texts per language,
 drawn by a hash from the rows that may be learnt from, and of those only texts of at most SAMPLE_BYTES.
 Every text is scored whole: the features are means over all its positions.
 
-``und`` with score 0 for null, empty and letterless texts, and for every text if nothing can be learnt
+``und`` with score 0 for null, empty and letterless texts, for junk if the model judges it, and for every text if nothing can be learnt
 from. With one language learnt, all other texts get it. Repeated rows are scored alike; other columns
 are ignored.
 """
 
 from __future__ import annotations
 
+import base64
+import random
+import string
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from itertools import combinations
 
 import numpy as np
@@ -47,6 +54,11 @@ SAMPLE_BYTES = 20_000
 FEATURES = 1 << 12
 SIZES = (1, 2, 3)
 EPOCHS = 30
+LEAST_TEXTS = 20
+REJECTED = 0.005
+# Least bytes of the bands of lengths.
+BANDS = (1, 20, 45)
+CUTTING = 60
 _LETTER = regex.compile(r"\p{L}")
 
 
@@ -132,11 +144,52 @@ def fit_pairs(x: np.ndarray, label: np.ndarray) -> list[Machine]:
     return found
 
 
+def cutting(text: str, rng: random.Random, length: int = CUTTING) -> str:
+    """About ``length`` characters of whole words, if there are blanks."""
+    at = text.find(" ", rng.randrange(max(1, len(text) - length))) + 1
+    end = text.find(" ", at + length)
+    return text[at : end if 0 <= end < at + 2 * length else at + length]
+
+
+def junk(text: str, rng: random.Random) -> list[str]:
+    """Texts of the same length that are of no language."""
+    letters = [c for c in text if not c.isspace()]
+    rng.shuffle(letters)
+    mixed = iter(letters)
+    raw = text.encode()
+    noise = " ".join("".join(rng.choice(string.ascii_lowercase) for _ in range(rng.randint(2, 10))) for _ in range(len(text) // 7 + 1))
+    coded = base64.b64encode(rng.randbytes(len(raw) * 3 // 4)).decode()
+    return ["".join(c if c.isspace() else next(mixed) for c in text), coded, raw.hex()[: len(raw)], noise]
+
+
+def fit_genuine(texts: list[str], lang: str) -> tuple[Machine, np.ndarray] | None:
+    """A machine that is positive for texts of the language, and for each band the limit below which a text is junk."""
+    if len(texts) < LEAST_TEXTS:
+        return None
+    rng = random.Random(lang)
+    x, y = [], []
+    for text in texts[::2]:
+        for clean in (text, cutting(text, rng)):
+            rows = [clean, *junk(clean, rng)]
+            x += [t.encode() for t in rows]
+            y += [1.0] + [-1.0] * (len(rows) - 1)
+    machine = fit_machine(features(x), np.array(y), lang, UNKNOWN)
+    limits = []
+    for least in BANDS:
+        held = [cutting(t, rng, least).encode() for t in texts[1::2] for _ in range(4)]
+        held = [t for t in held if _LETTER.search(t.decode())]
+        held += [t.encode() for t in texts[1::2]] if least == BANDS[-1] else []
+        margin = features(held) @ machine.weight + machine.bias
+        limits.append(min(0.0, float(np.quantile(margin, REJECTED))) if held else -np.inf)
+    return machine, np.minimum.accumulate(limits[::-1])[::-1]
+
+
 @dataclass
 class Model:
     families: dict[str, list[str]]
     between: list[Machine]
     inside: dict[str, list[Machine]]
+    genuine: dict[str, tuple[Machine, np.ndarray]] = field(default_factory=dict)
 
     @classmethod
     def fit(cls, texts: list[bytes], langs: list[str]) -> Model:
@@ -192,6 +245,32 @@ def predict(model: Model, column: pa.Array) -> tuple[list[str], np.ndarray]:
     return lang.tolist(), score
 
 
+def is_genuine(model: Model, column: pa.Array, langs: list[str]) -> np.ndarray:
+    """Whether each text is more than junk, by the machine of its language."""
+    data, rows = W.utf8(column)
+    names = sorted(model.genuine)
+    kept = np.ones(len(langs), bool)
+    if not names:
+        return kept
+    weight = np.stack([model.genuine[v][0].weight for v in names])
+    start = np.stack([model.genuine[v][0].bias - model.genuine[v][1] for v in names])
+    number = np.array([names.index(v) if v in model.genuine else -1 for v in langs], int)
+    for low, high in _runs(rows):
+        limits = rows[low : high + 1] - rows[low]
+        size = np.diff(limits)
+        found, whole = grams(data[rows[low] : rows[high]], limits)
+        own = np.repeat(np.maximum(number[low:high], 0), size)
+        filled = np.flatnonzero(size > 0)
+        margin = start[np.maximum(number[low:high], 0), np.maximum(np.searchsorted(BANDS, size, "right") - 1, 0)]
+        for i in range(len(SIZES)):
+            value = np.where(whole[i], weight[own, found[i]], np.float32(0))
+            if len(filled):
+                sums = np.add.reduceat(value, limits[:-1][filled], dtype=np.float64)
+                margin[filled] += sums / np.maximum(size[filled] - SIZES[i] + 1, 1)
+        kept[low:high] = (margin >= 0) | (number[low:high] < 0)
+    return kept
+
+
 def _runs(rows: np.ndarray, most: int = 1 << 20) -> Iterator[tuple[int, int]]:
     low = 0
     while low < len(rows) - 1:
@@ -210,11 +289,20 @@ def sample(rows: DataFrame, sample_size: int = SAMPLE) -> list:
     return known.where(hash32("text") < limit[F.col("lang")]).select("text", "lang").distinct().collect()
 
 
-def train(docs: DataFrame, text: str = "text", lang: str = "lang", sample_size: int = SAMPLE) -> Model | None:
-    """Fit on the given rows; None if they hold nothing to learn from."""
+def train(
+    docs: DataFrame, text: str = "text", lang: str = "lang", sample_size: int = SAMPLE, genuine: bool = False
+) -> Model | None:
+    """Fit on the given rows; None if they hold nothing to learn from. ``genuine`` adds the machines against junk."""
     drawn = sample(picked(docs, text=text, lang=lang), sample_size)
     drawn = [(r["text"].encode(), r["lang"]) for r in drawn if _LETTER.search(r["text"])]
-    return Model.fit(*map(list, zip(*sorted(drawn)))) if drawn else None
+    if not drawn:
+        return None
+    model = Model.fit(*map(list, zip(*sorted(drawn))))
+    for name in sorted({v for _, v in drawn}) if genuine else ():
+        fitted = fit_genuine([t.decode() for t, v in sorted(drawn) if v == name], name)
+        if fitted is not None:
+            model.genuine[name] = fitted
+    return model
 
 
 def _scorer(model: Model | None, at: int, schema: pa.Schema):
@@ -225,6 +313,8 @@ def _scorer(model: Model | None, at: int, schema: pa.Schema):
                 texts = part.column(at)
                 lettered = [bool(t and _LETTER.search(t)) for t in texts.to_pylist()]
                 langs, scores = predict(model, texts) if model else ([UNKNOWN] * len(texts), np.zeros(len(texts)))
+                if model and model.genuine:
+                    lettered = (np.array(lettered, bool) & is_genuine(model, texts, langs)).tolist()
                 langs = [v if ok else UNKNOWN for v, ok in zip(langs, lettered)]
                 scores = np.where(np.array(lettered, bool) & (model is not None), scores, 0.0)
                 columns = [c for i, c in enumerate(part.columns)]
