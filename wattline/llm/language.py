@@ -8,7 +8,8 @@ mean over its pairs, so that of the best one is at least a half, and the score i
 the language's. The score tells languages apart, not texts from junk. On demand one more machine per
 language does that: it learns the language's texts and short cuttings of them against junk made of them
 (shuffled letters, base64, hex, random letters), half of the texts fitting it and half setting the limits,
-one for each band of lengths: at most REJECTED of their cuttings lie below. A language of fewer than LEAST_TEXTS texts has none.
+one for each band of lengths: at most REJECTED of their cuttings lie below. A language has none if it has
+fewer than LEAST_TEXTS texts, or if the machine finds less than TOLD of a kind of held-out junk.
 
 The machines are fitted on the driver on a bounded sample: at most about SAMPLE texts per language,
 drawn by a hash from the rows that may be learnt from, and of those only texts of at most SAMPLE_BYTES.
@@ -56,6 +57,7 @@ SIZES = (1, 2, 3)
 EPOCHS = 30
 LEAST_TEXTS = 20
 REJECTED = 0.005
+TOLD = 0.9
 # Least bytes of the bands of lengths.
 BANDS = (1, 20, 45)
 CUTTING = 60
@@ -181,6 +183,10 @@ def fit_genuine(texts: list[str], lang: str) -> tuple[Machine, np.ndarray] | Non
         held += [t.encode() for t in texts[1::2]] if least == BANDS[-1] else []
         margin = features(held) @ machine.weight + machine.bias
         limits.append(min(0.0, float(np.quantile(margin, REJECTED))) if held else -np.inf)
+    # One that can't tell every kind of junk made of the held-out texts rejects nothing.
+    for made in zip(*(junk(cutting(t, rng), rng) for t in texts[1::2])):
+        if (features([t.encode() for t in made]) @ machine.weight + machine.bias < limits[-1]).mean() < TOLD:
+            return None
     return machine, np.minimum.accumulate(limits[::-1])[::-1]
 
 
