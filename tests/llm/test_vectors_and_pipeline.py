@@ -78,7 +78,7 @@ def test_query_matches_sql(spark, name):
 
 def test_entry_has_all_queries():
     names = list(entry.queries())
-    assert all(sum(n.startswith(f"op{k}_") for n in names) == 1 for k in range(1, 11))
+    assert all(sum(n.startswith(f"op{k}_") for n in names) == 1 for k in range(1, 14))
     assert "pipeline" in names
 
 

@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattline.llm import decontamination, embedding_dedup, language, licenses, near_dedup, packing, pii, secrets, token_store, toxicity
+from wattline.llm import (
+    decontamination, embedding_dedup, html_text, language, licenses, near_dedup, packing, pii, secrets, token_store,
+    toxicity, vector_codes, whitening,
+)
 from wattline.llm.tables import held_out, load
 from wattline.session import fresh_dir
 
@@ -112,3 +115,19 @@ def op4_toxicity_gru(spark: SparkSession, sf_dir: str) -> DataFrame:
         "score",
         (F.col("score") >= 0.5).cast("int").alias("predicted"),
     )
+
+
+@query
+def op11_refined_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(load(spark, sf_dir, "embeddings")).withColumnRenamed("id", "vec_id")
+
+
+@query
+def op12_resident_lloyd(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.encode(load(spark, sf_dir, "embeddings")).withColumnRenamed("id", "vec_id")
+
+
+@query
+def op13_tag_path_ratios(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = html_text.extract(load(spark, sf_dir, "pages"))
+    return found.withColumnRenamed("id", "page_id")
