@@ -262,7 +262,7 @@ FROM master_latest m LEFT JOIN (
   SELECT {KEY}, max(pos) - min(pos) + 1 AS n, sum(units) AS total FROM reading_months GROUP BY {KEY}) s USING ({KEY})""",
 )
 def join_series(t: Tables) -> DataFrame:
-    months = series.agg_month_sum(raw.read_months(S.consumption(t)), "ADV_UT")
+    months = series.agg_month_sum(raw.placed_months(S.consumption(t)), "ADV_UT", raw.PLACE_KEYS)
     found = series.build_series(months)
     readings = F.coalesce("adv_ut_list", F.array().cast("array<double>"))
     joined = _latest_master(t).join(found, C.KEYS, "left").withColumn("adv_ut_list", readings)
@@ -354,12 +354,13 @@ def agg_month_span(t: Tables) -> DataFrame:
 
 @query("agg_month_sum", f"SELECT {KEY}, pos, units FROM reading_months")
 def agg_month_sum(t: Tables) -> DataFrame:
-    return series.agg_month_sum(raw.read_months(S.consumption(t)), "ADV_UT")
+    return series.agg_month_sum(raw.placed_months(S.consumption(t)), "ADV_UT", raw.PLACE_KEYS).drop(raw.PLACE)
 
 
 @query("agg_month_first_code", f"SELECT {KEY}, pos, code FROM reading_months")
 def agg_month_first_code(t: Tables) -> DataFrame:
-    return series.agg_month_first_code(raw.read_months(S.consumption(t)), "ENT_CD", C.ROW_ORDER)
+    months = raw.placed_months(S.consumption(t))
+    return series.agg_month_first_code(months, "ENT_CD", C.ROW_ORDER, raw.PLACE_KEYS).drop(raw.PLACE)
 
 
 @query("agg_global_range", "SELECT min(first_pos) AS first_pos, max(last_pos) AS last_pos FROM c_span")

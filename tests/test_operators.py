@@ -163,6 +163,22 @@ def test_hot_key_is_summed_before_the_shuffle(spark):
     assert len(hot["adv_ut_list"]) == 22 and sum(x or 0 for x in hot["adv_ut_list"]) == 100000
 
 
+def test_a_hot_consumer_is_spread_over_its_months_and_places(spark):
+    """A third of 60,000 readings belongs to one consumer, half of them without a month."""
+    readings = spark.range(60000).selectExpr(
+        "if(id % 3 = 0, 'hot', string(id)) AS CONS_ID", "'1' AS CSQ", "string(id % 7) AS MNO",
+        "if(id % 2 = 0, string(202401 + (id div 6) % 6), 'none') AS BC_CD", "'B' AS BL_CD", "'NR' AS ENT_CD", "double(id) AS ADV_UT", "id AS row_order",
+    )
+    placed = raw.placed_months(readings)
+    sizes = placed.where("CONS_ID = 'hot'").groupBy("pos", raw.PLACE).count()
+    assert sizes.where("pos IS NULL").count() == raw.NO_MONTH_PLACES
+    assert sizes.where("pos IS NULL").agg({"count": "max"}).first()[0] < 100
+    assert sizes.where("pos IS NOT NULL").agg({"count": "max"}).first()[0] <= 10000 // 6 + 1
+    found = raw.summarise_consumption(readings).where("CONS_ID = 'hot'").first()
+    assert len(found["entries"]) == 6 and sum(e["units"] for e in found["entries"]) == sum(range(0, 60000, 6))
+    assert found["read_mno"] == str(59997 % 7)  # the last reading without a month
+
+
 def test_top1_keeps_one_row_per_task_before_the_shuffle(spark):
     df = spark.range(1000).selectExpr("if(id % 3 = 0, null, id % 5) AS k", "id AS v")
     top = rows.top1_per_group(df, ["k"], [F.desc("v")])

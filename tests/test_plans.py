@@ -6,8 +6,13 @@ import re
 
 import pytest
 
+from pyspark.sql import functions as F
+
 import __spark_entry__  # noqa: F401 - registers the queries
-from catalog.registry import QUERIES
+from catalog import standins as S
+from catalog.registry import QUERIES, Tables
+from wattline import constants as C
+from wattline.plans import raw
 
 SF_DIR = "/root/testdata/sf0.001"
 # These train a model or write files while the plan is built; other tests run them.
@@ -36,3 +41,28 @@ def test_scan_reads_only_what_is_asked(spark):
     assert "o_shippriority" not in orders and "o_custkey" in orders
     lines = QUERIES["feat_zscore_tail"](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<l_suppkey:bigint,l_quantity:double,l_shipdate" in lines
+
+
+def exchanges(df) -> list[str]:
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return re.findall(r"Exchange hashpartitioning\(([^)]*)\)", plan)
+
+
+def test_readings_cross_the_network_once(spark):
+    """In full once, by consumer and month; then a row per month goes to the consumer."""
+    readings = S.consumption(Tables(spark, SF_DIR))
+    full, monthly = sorted(exchanges(raw.summarise_consumption(readings)), key=len, reverse=True)
+    assert re.sub(r"#\d+L?", "", full).startswith("CONS_ID, CSQ, pos, _place")
+    assert re.sub(r"#\d+L?", "", monthly).startswith("CONS_ID, CSQ, ") and "pos" not in monthly
+    for name in ("agg_month_sum", "agg_month_first_code"):
+        assert len(exchanges(QUERIES[name](spark, SF_DIR))) == 1
+
+
+def test_both_ways_of_reading_months_agree(spark):
+    readings = S.consumption(Tables(spark, SF_DIR))
+    readings = readings.union(readings.limit(400)).union(readings.where("BC_CD = '199913'").withColumn("MNO", F.lit("m")))
+    found = [
+        raw.summarise_consumption(readings, many).select(*C.KEYS, F.to_json(F.struct("*")).alias("row")).collect()
+        for many in (False, True)
+    ]
+    assert sorted(found[0]) == sorted(found[1]) and len(found[0]) > 100

@@ -152,6 +152,29 @@ def test_row_order_follows_the_file(spark, tmp_path):
     assert ordered == [d[0] for d in data]
 
 
+@pytest.mark.parametrize("split", ["128m", "20000b", "3000b"])
+def test_row_order_follows_the_files_of_a_folder(spark, tmp_path, split):
+    """The same rows in one file and in several, the first of which is the smallest."""
+    def row(i):
+        return ["1", "1", f"m{i}", "202101", "B", f"c{i}", str(i)]
+
+    folder = tmp_path / "in put é%"
+    folder.mkdir()
+    for name, low, high in (("a", 0, 1), ("b", 1, 3001), ("c%20", 3001, 3019)):
+        write(folder / f"{name}.txt", "|", C.CONSUMPTION_COLUMNS, [row(i) for i in range(low, high)])
+    one = write(tmp_path / "one.txt", "|", C.CONSUMPTION_COLUMNS, [row(i) for i in range(3019)])
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+    try:
+        for path in (str(folder), one):
+            readings = readers.read_consumption(spark, path)
+            assert [r["MNO"] for r in readings.orderBy(C.ROW_ORDER).select("MNO").collect()] == [f"m{i}" for i in range(3019)]
+            found = raw.summarise_consumption(readings).first()
+            assert found["entries"][0]["code"] == "c0" and found["read_mno"] == "m3018"
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
 def test_rejects_read_the_readings_once(spark, files, tmp_path):
     raw.summarise_consumption(readers.read_consumption(spark, files["consumption"])).write.parquet(str(tmp_path / "s"))
     screened = raw.screen_master_path(

@@ -45,26 +45,54 @@ class Screened:
         return screens.collect_rejects([late] if self.early is None else [self.early, late])
 
 
+# Readings without a month are dealt to this many places per consumer, by what they hold.
+NO_MONTH_PLACES = 256
+PLACE = "_place"
+PLACE_KEYS = [*C.KEYS, PLACE]
+
+
 def read_months(consumption: DataFrame) -> DataFrame:
     """Distinct readings with the position of their bill month."""
+    return placed_months(consumption).drop(PLACE)
+
+
+def placed_months(consumption: DataFrame, many_copies: bool = False) -> DataFrame:
+    """Distinct readings with the position of their bill month, all of a consumer's month in one place.
+
+    They cross the network once, dealt by consumer, month and place; whatever groups by ``PLACE_KEYS``
+    and the position needs no further shuffle. A reading with a month has place 0. A consumer that holds a third of all readings is spread over its months, and its
+    readings without a month over ``NO_MONTH_PLACES``. With ``many_copies`` the readings are dealt as
+    whole rows instead, copies dropped before: for a source in which one reading may be repeated so
+    often that its copies don't fit one task.
+    """
     month = F.expr(f"int({dates.bill_month_position('BC_CD')})")
-    return distinct_rows(consumption).withColumn(series.POSITION, month)
+    if many_copies:
+        return distinct_rows(consumption).withColumns({series.POSITION: month, PLACE: F.lit(0)})
+    content = [c for c in consumption.columns if c != C.ROW_ORDER]
+    spread = F.pmod(F.xxhash64(*content), F.lit(NO_MONTH_PLACES)).cast("int")
+    placed = consumption.withColumn(series.POSITION, month).withColumn(
+        PLACE, F.when(F.col(series.POSITION).isNull(), spread).otherwise(0)
+    )
+    return distinct_rows(placed.repartition(*C.KEYS, series.POSITION, PLACE))
 
 
-def summarise_consumption(consumption: DataFrame) -> DataFrame:
+def summarise_consumption(consumption: DataFrame, many_copies: bool = False) -> DataFrame:
     """A row per consumer: its monthly entries, their span, and the meter read last.
 
-    Two steps, each with partial aggregation: per month, then per consumer. A reading without a
-    month counts as the latest and gives no entry.
+    The readings are shuffled once, to their consumer and month. What goes on to the consumer is a row
+    per month, and at most ``NO_MONTH_PLACES`` for the readings without one: those count as the latest
+    and give no entry.
     """
+    last = F.max(C.ROW_ORDER).alias("month_order")
     monthly = series.agg_months(
-        read_months(consumption),
+        placed_months(consumption, many_copies),
         "ADV_UT",
         "ENT_CD",
         C.ROW_ORDER,
-        extra=[F.max_by("MNO", C.ROW_ORDER).alias("month_mno")],
+        PLACE_KEYS,
+        extra=[F.max_by("MNO", C.ROW_ORDER).alias("month_mno"), last],
     )
-    recency = F.struct(F.col(series.POSITION).isNull(), F.col(series.POSITION))
+    recency = F.struct(F.col(series.POSITION).isNull(), F.col(series.POSITION), F.col("month_order"))
     return series.collect_entries(
         monthly,
         [series.VALUE, series.CODE],
