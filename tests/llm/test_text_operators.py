@@ -86,6 +86,46 @@ def test_near_duplicates_match_brute_force(spark):
     assert Counter(map(tuple, found)) == brute_components(texts, 3, 85)
 
 
+# One word edited: all buckets hold the group. Five: the copies are near the threshold, and buckets differ.
+@pytest.mark.parametrize("edits, each", [(1, 4), (5, 12)])
+def test_a_large_group_gives_links_in_proportion(spark, edits, each, monkeypatch):
+    """Near copies of one text: about a link a class, whatever the blocks they are dealt into."""
+    monkeypatch.setattr(near_dedup, "BLOCK", 32)
+    monkeypatch.setattr(near_dedup, "BUCKET_BLOCK", 64)
+    rng = random.Random(edits)
+    base, count, setting = prose(5, 150).split(), 600, near_dedup.Setting()
+    texts = [base]
+    for _ in range(count - 1):
+        text = list(base)
+        for at in rng.sample(range(0, 150, 5), edits):
+            text[at] = f"w{rng.randrange(10**9)}"
+        texts.append(text)
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")
+    reps = near_dedup.classes(near_dedup.sketches(docs, setting))
+    found = near_dedup.candidate_links(reps, setting)
+    assert found.distinct().count() <= each * count + (count // 64 + 1) ** 2 / 2
+    groups = near_dedup.components(found)
+    full = near_dedup._documents(docs, "doc_id", "text").drop("id", "hash")
+    confirmed = near_dedup.confirmed_links(full, groups, reps, setting)
+    assert confirmed.count() <= 2 * count + (count // 32 + 1) ** 2 / 2
+    sets = [set(zip(t, t[1:], t[2:])) for t in texts]
+    near = [[j for j in range(i) if 100 * len(sets[i] & sets[j]) >= 85 * len(sets[i] | sets[j])] for i in range(count)]
+    up = list(range(count))
+    for i, linked in enumerate(near):
+        for j in linked:
+            a, b = i, j
+            while up[a] != a:
+                a = up[a]
+            while up[b] != b:
+                b = up[b]
+            up[max(a, b)] = min(a, b)
+    for i in range(count):
+        up[i] = up[up[i]]
+    rows = near_dedup.near_duplicates(docs, setting).collect()
+    assert {r["id"]: r["component_id"] for r in rows} == dict(enumerate(up))
+
+
+
 def test_one_of_each_group_stays(spark, edges, empty):
     left = near_dedup.keep_one(edges, near_dedup.Setting(words=5, percent=80))
     assert left.columns == edges.columns

@@ -45,6 +45,22 @@ def cells(members: DataFrame, own: Column) -> DataFrame:
     )
 
 
+def in_blocks(members: DataFrame, own: Column) -> DataFrame:
+    """Each row in its one block ``own``, out of ``blocks``; ``own`` is a hash that deals it."""
+    return members.withColumn("own", F.pmod(own, F.col("blocks")))
+
+
+def cross_cells(members: DataFrame) -> DataFrame:
+    """Every two different blocks of a group as one cell ``i, j``."""
+    others = F.expr("filter(sequence(0, blocks - 1), b -> b != own)")
+    dealt = members.where("blocks > 1").withColumn("other", F.explode(others))
+    return (
+        dealt.withColumn("i", F.least("own", "other"))
+        .withColumn("j", F.greatest("own", "other"))
+        .drop("other", "blocks")
+    )
+
+
 def _limits(table: pa.Table, keys: Sequence[str]) -> np.ndarray:
     """First row of each run of equal keys, and the number of rows."""
     fresh = np.zeros(table.num_rows, bool)
@@ -83,8 +99,9 @@ def grouped(run: Callable[[pa.Table, np.ndarray], pa.Table], keys: Sequence[str]
     return go
 
 
-def per_cell(df: DataFrame, keys: Sequence[str], run, schema: str) -> DataFrame:
-    dealt = df.repartition(*keys).sortWithinPartitions(*keys)
+def per_cell(df: DataFrame, keys: Sequence[str], run, schema: str, order: Sequence[str] = ()) -> DataFrame:
+    """Each cell's rows together, in the given order."""
+    dealt = df.repartition(*keys).sortWithinPartitions(*keys, *order)
     return dealt.mapInArrow(grouped(run, keys), schema)
 
 
@@ -106,6 +123,12 @@ class Forest:
         self.up[max(i, j)] = min(i, j)
         return i != j
 
+    def roots(self) -> np.ndarray:
+        """The root of every row."""
+        while not np.array_equal(self.up, settled := self.up[self.up]):
+            self.up = settled
+        return self.up
+
     def apart(self, i: int, others: np.ndarray) -> np.ndarray:
         """Those of ``others`` that are not known to be connected with ``i``."""
         self.up[others] = self.up[self.up[others]]

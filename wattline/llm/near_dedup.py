@@ -7,18 +7,19 @@ probability that grows with their similarity.
 
 1. One pass over the texts: set size, 128-bit digest and registers of each document.
 2. Documents with equal sets become one class. What follows sees classes, not copies.
-3. Classes that share a band of registers meet in cells of at most two blocks of classes. There the
-   joint likelihood of all registers keeps the pairs that may reach the threshold, and a cell gives
-   the links of a spanning forest of them. Components of these links are groups: sets that can be
-   linked lie in one group.
-4. Groups are dealt into blocks, and every two blocks of a group meet in a cell with their full
-   sets. Pairs not yet connected there are confirmed by exact intersection; again a cell gives a
-   spanning forest. The components of these links are the result.
+3. Classes that share a band of registers are dealt into blocks. Inside a block the joint likelihood
+   of all registers keeps the pairs that may reach the threshold; every class comes out with the first
+   one that it is connected with. Then every two blocks meet in a cell, where only classes that are not
+   yet connected are compared. Components of these links are groups: sets that can be linked lie in one
+   group.
+4. Groups are dealt into blocks in the same way, with their full sets. Pairs not yet connected are
+   confirmed by exact intersection, first inside the blocks, then across them. The components of these
+   links are the result.
 
 No cell holds more than two blocks, whatever the size of a bucket or group. No pair is dropped for
-being one of many. A class is copied once per block of its group, so a single group of g distinct
-near copies costs g * g / BLOCK rows and as many set comparisons as its forest and its failing
-pairs need.
+being one of many. A group of g classes gives about g links and one for each two of its blocks, as a
+block that is connected needs no more than one link to another. Its classes still meet all its blocks,
+which copies g * g / BLOCK rows in a single group of g distinct near copies.
 
 Rows with null or empty text have size 0 and are linked with nothing. Repeated rows are copies of
 each other. A null id takes part in links, and a component whose ids are all null has no id. An
@@ -33,11 +34,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from wattline.llm import words as W
-from wattline.llm.cells import Forest, cells, per_cell, small_pairs, with_blocks
+from wattline.llm.cells import Forest, cross_cells, in_blocks, per_cell, small_pairs, with_blocks
 from wattline.llm.components import components
 from wattline.llm.tables import picked, quoted, stored
 
@@ -235,93 +237,124 @@ def _may_link(a: np.ndarray, b: np.ndarray, sizes: np.ndarray, setting: Setting)
     return 100 * small >= setting.percent * large
 
 
-def _crossing(table: pa.Table):
-    """Tells which pairs of rows a cell must compare: all of one block, else those across two."""
-    own = table.column("own").to_numpy()
-    one = table.column("i").to_numpy() == table.column("j").to_numpy()
-    return lambda a, b: one[a] | (own[a] != own[b])
-
-
 def _walk(limits: np.ndarray, most: int, forest: Forest, compare) -> list[tuple[int, int]]:
-    """Links of a spanning forest of every group. ``compare(a, b)`` picks the links among pairs.
+    """Links that span what is connected in every group. ``compare(a, b)`` picks the links among pairs.
 
-    Small groups are compared all at once. In a larger one each row in turn is compared with the
+    A link joins the first rows of two connected parts, so that another bucket with the same rows gives
+    the same links. Small groups are compared all at once. In a larger one each row in turn is compared with the
     rows behind it that it isn't connected with yet.
     """
     kept = []
+
+    def keep(a: np.ndarray, b: np.ndarray) -> None:
+        for pair in zip(a.tolist(), b.tolist()):
+            firsts = forest.root(pair[0]), forest.root(pair[1])
+            if forest.join(*pair):
+                kept.append(firsts)
+
     left, right = small_pairs(limits, most)
     for low in range(0, len(left), 16384):
-        a, b = compare(left[low : low + 16384], right[low : low + 16384])
-        kept += [p for p in zip(a.tolist(), b.tolist()) if forest.join(*p)]
+        keep(*compare(left[low : low + 16384], right[low : low + 16384]))
     for low, high in zip(limits[:-1].tolist(), limits[1:].tolist()):
         if high - low <= most:
             continue
         for i in range(low, high - 1):
             others = forest.apart(i, np.arange(i + 1, high))
             if len(others):
-                a, b = compare(np.full(len(others), i), others)
-                kept += [p for p in zip(a.tolist(), b.tolist()) if forest.join(*p)]
+                keep(*compare(np.full(len(others), i), others))
     return kept
 
 
-def _bucket_linker(setting: Setting):
-    """Spanning forest of the pairs that may be similar enough; a pair counts in its first band."""
+def _bucket_compare(table: pa.Table, setting: Setting, forest: Forest):
+    """Picks the pairs that may be similar enough, going by all their registers."""
+    sizes = table.column("n").to_numpy().astype(float)
+    regs = np.frombuffer(b"".join(table.column("regs").to_pylist()), np.uint16).reshape(len(sizes), -1)
+
+    def compare(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        fit = _may_link(a, b, sizes, setting)
+        a, b = a[fit], b[fit]
+        agree = (regs[a] == regs[b]).sum(1)
+        fit = agree >= _least_equal(np.minimum(sizes[a], sizes[b]), np.maximum(sizes[a], sizes[b]), setting)
+        a, b = a[fit], b[fit]
+        if not len(a):
+            return a, b
+        fit = plausible(regs[a], regs[b], sizes[a], sizes[b], setting)
+        return a[fit], b[fit]
+
+    return compare
+
+
+def _set_compare(table: pa.Table, setting: Setting, forest: Forest):
+    """Picks the pairs whose full sets are similar enough, but for those connected already."""
+    sets = [np.frombuffer(x, np.uint64) for x in table.column("members").to_pylist()]
+    sizes = np.array([len(s) for s in sets])
+    regs = np.stack([registers_of(s, setting) for s in sets])
+
+    def compare(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        fit = _may_link(a, b, sizes, setting)
+        a, b = a[fit], b[fit]
+        agree = (regs[a] == regs[b]).sum(1)
+        fit = agree >= _least_equal(np.minimum(sizes[a], sizes[b]), np.maximum(sizes[a], sizes[b]), setting)
+        a, b, agree = a[fit], b[fit], agree[fit]
+        links = []
+        for k in np.argsort(-agree, kind="stable").tolist():
+            x, y = int(a[k]), int(b[k])
+            if forest.root(x) == forest.root(y):
+                continue
+            both = len(np.intersect1d(sets[x], sets[y], assume_unique=True))
+            if 100 * both >= setting.percent * (len(sets[x]) + len(sets[y]) - both):
+                links.append((x, y))
+        found = np.array(links, int).reshape(-1, 2)
+        return found[:, 0], found[:, 1]
+
+    return compare
+
+
+def _inside(comparer, setting: Setting, most: int, payload: str):
+    """Compare the rows of each block: out come the rows with the first row that they are connected with.
+
+    Only rows that are not their own, and those of groups of several blocks, come out; the others have
+    nothing to tell. What the cells across blocks need stays in ``payload``, else null.
+    """
 
     def run(table: pa.Table, limits: np.ndarray) -> pa.Table:
-        nodes, sizes = _nodes(table), table.column("n").to_numpy().astype(float)
-        regs = np.frombuffer(b"".join(table.column("regs").to_pylist()), np.uint16).reshape(len(nodes), -1)
-        band, crossing = table.column("band").to_numpy(), _crossing(table)
-
-        def compare(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-            fit = crossing(a, b) & _may_link(a, b, sizes, setting)
-            a, b = a[fit], b[fit]
-            same = regs[a] == regs[b]
-            first = same.reshape(len(a), setting.bands, setting.rows).all(2).argmax(1)
-            bound = _least_equal(np.minimum(sizes[a], sizes[b]), np.maximum(sizes[a], sizes[b]), setting)
-            fit = (first == band[a]) & (same.sum(1) >= bound)
-            a, b = a[fit], b[fit]
-            if not len(a):
-                return a, b
-            fit = plausible(regs[a], regs[b], sizes[a], sizes[b], setting)
-            return a[fit], b[fit]
-
-        return _linked(nodes, _walk(limits, 16, Forest(len(nodes)), compare))
+        forest = Forest(table.num_rows)
+        _walk(limits, most, forest, comparer(table, setting, forest))
+        roots = forest.roots()
+        several = table.column("blocks").to_numpy() > 1
+        rows = np.flatnonzero(several | (roots != np.arange(len(roots))))
+        nodes, found = _nodes(table)[roots[rows]], table.take(pa.array(rows))
+        at = found.schema.get_field_index(payload)
+        wide = pc.if_else(pa.array(several[rows]), found.column(payload), pa.scalar(None, found.column(payload).type))
+        found = found.set_column(at, payload, wide)
+        for k, name in enumerate(("to_lo", "to_c1", "to_c2")):
+            found = found.append_column(name, pa.array(nodes[:, k]))
+        return found
 
     return run
 
 
-def _set_linker(setting: Setting):
-    """Spanning forest of the pairs whose full sets are similar enough."""
+def _across(comparer, setting: Setting, most: int):
+    """Links between the rows of two blocks, as many as it takes to connect what is not connected yet."""
 
     def run(table: pa.Table, limits: np.ndarray) -> pa.Table:
-        nodes, crossing = _nodes(table), _crossing(table)
-        sets = [np.frombuffer(x, np.uint64) for x in table.column("members").to_pylist()]
-        sizes = np.array([len(s) for s in sets])
-        regs = np.stack([registers_of(s, setting) for s in sets])
-        forest = Forest(len(nodes))
-
-        def compare(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-            fit = crossing(a, b) & _may_link(a, b, sizes, setting)
-            a, b = a[fit], b[fit]
-            agree = (regs[a] == regs[b]).sum(1)
-            fit = agree >= _least_equal(np.minimum(sizes[a], sizes[b]), np.maximum(sizes[a], sizes[b]), setting)
-            a, b, agree = a[fit], b[fit], agree[fit]
-            links = []
-            for k in np.argsort(-agree, kind="stable").tolist():
-                x, y = int(a[k]), int(b[k])
-                if forest.root(x) == forest.root(y):
-                    continue
-                both = len(np.intersect1d(sets[x], sets[y], assume_unique=True))
-                if 100 * both >= setting.percent * (len(sets[x]) + len(sets[y]) - both):
-                    links.append((x, y))
-            found = np.array(links, int).reshape(-1, 2)
-            return found[:, 0], found[:, 1]
-
-        return _linked(nodes, _walk(limits, 2, forest, compare))
+        own, forest = table.column("own").to_numpy(), Forest(table.num_rows)
+        cell = np.repeat(np.arange(len(limits) - 1), np.diff(limits))
+        known = np.stack([cell, own, *(table.column(c).to_numpy() for c in ("to_lo", "to_c1", "to_c2"))], 1)
+        _, first, of = np.unique(known, axis=0, return_index=True, return_inverse=True)
+        forest.up = first[of.ravel()]
+        compare = comparer(table, setting, forest)
+
+        def apart(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            fit = own[a] != own[b]
+            return compare(a[fit], b[fit])
+
+        return _linked(_nodes(table), _walk(limits, most, forest, apart))
 
     return run
 
 
+NODE = ("lo", "c1", "c2")
 LINK_SQL = ", ".join(f"{f.name} long" for f in LINKS)
 
 
@@ -331,6 +364,25 @@ def _as_links(rows: DataFrame) -> DataFrame:
     return rows.select(*ends)
 
 
+def _group_links(members: DataFrame, group: str, comparer, setting: Setting, most: int, payload: str) -> DataFrame:
+    """Links that connect what is similar in each group: inside its blocks first, then across them.
+
+    A block's rows are known as connected when two blocks meet, so that a group of g rows gives about
+    g links and one for each two blocks.
+    """
+    # A power of two, so that buckets of much the same rows have the same blocks and give the same links.
+    members = members.withColumn("blocks", F.expr("int(shiftleft(1, int(ceil(log2(blocks)))))"))
+    dealt = in_blocks(members, F.hash("c1", "c2"))
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in dealt.schema)
+    inside = _inside(comparer, setting, most, payload)
+    schema = f"{schema}, to_lo long, to_c1 long, to_c2 long"
+    found = stored(per_cell(dealt, [group, "own"], inside, schema, NODE), "blocks")
+    ends = [F.col(c).alias(f"a_{c}") for c in NODE] + [F.col(f"to_{c}").alias(f"b_{c}") for c in NODE]
+    own = found.where("NOT (lo = to_lo AND c1 = to_c1 AND c2 = to_c2)").select(*ends)
+    across = per_cell(cross_cells(found), [group, "i", "j"], _across(comparer, setting, most), LINK_SQL, NODE)
+    return _as_links(own.unionByName(across))
+
+
 def candidate_links(reps: DataFrame, setting: Setting) -> DataFrame:
     """Links that connect every two classes which share a band and may reach the threshold."""
     width = 2 * setting.rows
@@ -341,9 +393,8 @@ def candidate_links(reps: DataFrame, setting: Setting) -> DataFrame:
         )
     )
     banded = reps.select("lo", "c1", "c2", "n", "regs", F.explode(keys).alias("bucket"))
-    met = with_blocks(banded, "bucket", BUCKET_BLOCK, least=2).withColumn("band", F.col("bucket.band"))
-    dealt = cells(met, F.hash("c1", "c2"))
-    return _as_links(per_cell(dealt, ["bucket", "i", "j"], _bucket_linker(setting), LINK_SQL))
+    met = with_blocks(banded, "bucket", BUCKET_BLOCK, least=2)
+    return _group_links(met, "bucket", _bucket_compare, setting, 16, "regs")
 
 
 def _set_reader(setting: Setting):
@@ -375,8 +426,7 @@ def confirmed_links(docs: DataFrame, groups: DataFrame, reps: DataFrame, setting
     wanted = wanted.join(reps.select("lo", "c1", "c2", "key"), ["lo", "c1", "c2"])
     texts = docs.join(wanted, "key").select("root", "blocks", "lo", "c1", "c2", "text")
     schema = "root struct<lo:long,c1:long,c2:long>, blocks int, lo long, c1 long, c2 long, members binary"
-    dealt = cells(texts.mapInArrow(_set_reader(setting), schema), F.hash("c1", "c2"))
-    return _as_links(per_cell(dealt, ["root", "i", "j"], _set_linker(setting), LINK_SQL))
+    return _group_links(texts.mapInArrow(_set_reader(setting), schema), "root", _set_compare, setting, 2, "members")
 
 
 def near_duplicates(
