@@ -277,6 +277,34 @@ def test_store_round_trip(spark, edges, empty, reference):
     assert token_store.digests(spark, none).count() == 0
 
 
+def test_a_hot_key_and_its_copies_fill_several_parts(spark, reference):
+    """A third of the rows has one key; half of these are copies of one text."""
+    texts = [(7, prose(1, 30)) for _ in range(150)] + [(7, prose(100 + i, 30)) for i in range(150)]
+    texts += [(i, prose(1_000 + i, 30)) for i in range(8, 608)] + [(None, prose(3, 30))] * 20
+    docs = spark.createDataFrame(texts, "doc_id long, text string").repartition(5)
+    out = fresh_dir(spark, "store")
+    token_store.write(docs, out, shard_ids=1_000, parts=16)
+    sizes = {r["part"]: r["n"] for r in token_store.shards(spark, out).groupBy("part").agg({"n_docs": "sum"}).toDF("part", "n").collect()}
+    assert len(sizes) > 12 and max(sizes.values()) < 3 * sum(sizes.values()) / 16
+    found = sorted(token_store.digests(spark, out).collect(), key=lambda r: r["start"])
+    assert [r["key"] for r in found] == sorted((d for d, _ in texts), key=lambda d: (d is not None, d or 0))
+    assert [r["start"] for r in found] == np.cumsum([0] + [r["n_tokens"] for r in found])[:-1].tolist()
+    wanted = spark.createDataFrame([(k, "x") for k in (7, 8, 300, 300, None, 10**9, -1)], "k long, n string")
+    got = Counter((r["key"], tuple(r["ids"])) for r in token_store.fetch(spark, out, wanted).collect())
+    assert got == Counter((d, tuple(reference(t))) for d, t in texts if d in (7, 8, 300))
+
+
+def test_only_ids_are_shuffled(spark, edges, monkeypatch):
+    plans = []
+    monkeypatch.setattr(
+        "pyspark.sql.readwriter.DataFrameWriter.parquet",
+        lambda self, path, *a, **k: plans.append(self._df._jdf.queryExecution().executedPlan().toString()),
+    )
+    token_store.write(edges, "nowhere")
+    above, below = plans[0].split("Exchange ", 1)
+    assert "Exchange" not in below.split("\n", 1)[1] and "text" not in above
+
+
 def test_perfect_hash_is_minimal_and_perfect():
     keys = np.unique(np.random.default_rng(0).integers(0, 2**63, 5000).astype(np.uint64))
     hashed, _ = token_store.PerfectHash.read(token_store.PerfectHash.build(keys).tobytes())

@@ -138,6 +138,11 @@ class Encoder:
         return found
 
 
+def id_width(path: str) -> int:
+    """Bytes of an id."""
+    return encoder(path).dtype.itemsize
+
+
 _encoders: dict[str, Encoder] = {}
 
 
