@@ -136,8 +136,8 @@ IN_RANGE = """EXISTS (SELECT 1 FROM ranges r WHERE r.MFG = m.MFG AND r.AMP = m.A
 WHERE {IN_RANGE}""",
 )
 def screen_defect_range(t: Tables) -> DataFrame:
-    known = lookup.join_mcd_key(S.master(t), S.models(t))
-    flagged = lookup.range_defect_lookup(known, S.ranges(t)).where("defect_range = 1")
+    models, ranges = S.lookups(t)
+    flagged = lookup.range_defect_lookup(lookup.join_mcd_key(S.master(t), models), ranges).where("defect_range = 1")
     return screens.rejected(flagged, C.DEFECT_RANGE).select(*C.REJECT_COLUMNS)
 
 
@@ -318,7 +318,7 @@ SELECT l_orderkey, l_linenumber, CAST(l_partkey + 400 AS INTEGER) AS MCD,
 FROM line_meters LEFT JOIN models USING (MCD)""",
 )
 def join_mcd_properties(t: Tables) -> DataFrame:
-    return lookup.join_mcd_properties(_line_meters(t), S.models(t)).select(
+    return lookup.join_mcd_properties(_line_meters(t), S.lookups(t)[0]).select(
         "l_orderkey", "l_linenumber", "MCD", *C.MODEL_PROPERTIES
     )
 
@@ -328,7 +328,7 @@ def join_mcd_properties(t: Tables) -> DataFrame:
     "SELECT CONS_ID, CSQ, MNO, MCD, MFG, AMP, VLT FROM master LEFT JOIN models USING (MCD)",
 )
 def join_mcd_key(t: Tables) -> DataFrame:
-    return lookup.join_mcd_key(S.master(t), S.models(t)).select(*C.KEYS, "MNO", "MCD", *lookup.MAKE)
+    return lookup.join_mcd_key(S.master(t), S.lookups(t)[0]).select(*C.KEYS, "MNO", "MCD", *lookup.MAKE)
 
 
 @query(
@@ -337,8 +337,9 @@ def join_mcd_key(t: Tables) -> DataFrame:
 FROM line_meters x LEFT JOIN models m USING (MCD)""",
 )
 def range_defect_lookup(t: Tables) -> DataFrame:
-    known = lookup.join_mcd_key(_line_meters(t), S.models(t))
-    return lookup.range_defect_lookup(known, S.ranges(t)).select("l_orderkey", "l_linenumber", "defect_range")
+    models, ranges = S.lookups(t)
+    known = lookup.join_mcd_key(_line_meters(t), models)
+    return lookup.range_defect_lookup(known, ranges).select("l_orderkey", "l_linenumber", "defect_range")
 
 
 # ---- aggregations ----

@@ -99,14 +99,14 @@ LEFT JOIN p_lists USING ({KEYS}) LEFT JOIN p_code_lists USING ({KEYS})""",
 
 def master_path(t: Tables) -> raw.Screened:
     summary = raw.summarise_consumption(S.consumption(t))
-    return raw.screen_master_path(S.master(t), summary, S.models(t), S.ranges(t))
+    return raw.screen_master_path(S.master(t), summary, *S.lookups(t))
 
 
 def stored_master_path(t: Tables) -> raw.Screened:
     """The same with the summary as the job stores it: kept and rejected rows from one scan."""
     path = fresh_dir(t.spark, "summary")
     raw.summarise_consumption(S.consumption(t)).write.parquet(path)
-    return raw.screen_master_path(S.master(t), t.spark.read.parquet(path), S.models(t), S.ranges(t))
+    return raw.screen_master_path(S.master(t), t.spark.read.parquet(path), *S.lookups(t))
 
 
 def _text(items: str, kind: str) -> Column:
@@ -183,9 +183,7 @@ LEFT JOIN h_lists USING ({KEYS}) LEFT JOIN h_code_lists USING ({KEYS})""",
 
 
 def history_path(t: Tables) -> raw.Screened:
-    return raw.screen_history_path(
-        distinct_rows(S.life_names(t)), S.life(t), S.models(t), S.ranges(t)
-    )
+    return raw.screen_history_path(distinct_rows(S.life_names(t)), S.life(t), *S.lookups(t))
 
 
 @query("history_path_kept", f"SELECT {KEPT} FROM h_screened WHERE REMARKS IS NULL")

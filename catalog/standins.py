@@ -16,7 +16,8 @@ from pyspark.sql import functions as F
 from catalog.registry import Tables, cte
 from wattline import constants as C
 from wattline.functions import dates
-from wattline.operators import series
+from wattline.operators import lookup, series
+from wattline.session import fresh_dir
 
 K = ["k"]
 
@@ -438,3 +439,15 @@ FROM events GROUP BY ALL""",
     codes=True,
 )
 cte("m_tail", "SELECT k, CAST(idx - greatest(n - 36, 0) AS INTEGER) AS idx, CAST(least(n, 36) AS INTEGER) AS n, coalesce(v, 0) AS v FROM m_rows WHERE idx >= n - 36")
+
+
+_LOOKUPS: dict[tuple[str, str], tuple[lookup.StoredModels, lookup.StoredRanges]] = {}
+
+
+def lookups(t: Tables) -> tuple[lookup.StoredModels, lookup.StoredRanges]:
+    """Models and ranges as the job stores them, once for all queries."""
+    key = (t.spark.sparkContext.applicationId, t.sf_dir)
+    if key not in _LOOKUPS:
+        path = fresh_dir(t.spark, "lookups")
+        _LOOKUPS[key] = lookup.store_models(models(t), f"{path}/models"), lookup.store_ranges(ranges(t), f"{path}/ranges")
+    return _LOOKUPS[key]

@@ -9,10 +9,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from wattline import constants as C
-from wattline.operators import training
+from wattline.operators import lookup, training
 from wattline.plans import model_input, model_run, raw, run_config
-from wattline.session import remove_dir, scratch_dir, shared_dir
-from wattline.sources import readers
+from wattline.session import remove_dir, restore_dir, scratch_dir, shared_dir
+from wattline.sources import readers, sinks
 
 MONTHS = [f"{y}{m:02d}" for y in (2021, 2022, 2023) for m in range(1, 13)]
 
@@ -196,3 +196,57 @@ def test_scratch_folder_goes_away_also_after_a_failure(spark):
             1 / 0
     assert not Path(kept[0].removeprefix("file:")).exists()
     remove_dir(spark, kept[0])
+
+
+def test_each_source_is_read_once(spark, files, tmp_path, monkeypatch):
+    """Every CSV source is opened by one job's plan, also on the history path and for the counts."""
+    seen = []
+    written = type(spark.range(1).write).parquet
+
+    def parquet(self, *args, **kwargs):
+        seen.append(self._df._jdf.queryExecution().optimizedPlan().toString())
+        return written(self, *args, **kwargs)
+
+    monkeypatch.setattr("pyspark.sql.readwriter.DataFrameWriter.parquet", parquet)
+    opened = []
+    read = readers.read_text_table
+    monkeypatch.setattr(readers, "read_text_table", lambda s, path, *a, **k: opened.append(path) or read(s, path, *a, **k))
+    config = {
+        "lookups": {"mcd": files["mcd"], "defect_range": files["ranges"]},
+        "combine": {"output_directory": str(tmp_path), "files": {
+            "D_1": {"consumer": files["names"], "consumption": files["life"], "custom_processing": True},
+            "D_5": {"consumer": files["consumer"], "consumption": files["consumption"]}}},
+    }
+    run_config.process_raw(spark, config)
+    assert sorted(opened) == sorted(files[k] for k in ("mcd", "ranges", "names", "life", "consumer", "consumption"))
+    for part, columns in (("life", C.METER_LIFE_COLUMNS), ("readings", C.CONSUMPTION_COLUMNS), ("master", C.CONSUMER_COLUMNS)):
+        unique = {"life": "is_current_meter", "readings": "BL_CD", "master": "XCHG"}[part]
+        assert unique in columns and sum(f"{unique}#" in plan and " csv" in plan for plan in seen) == 1, part
+
+
+def test_a_failed_write_leaves_the_old_table(spark, tmp_path):
+    path = f"{tmp_path}/out"
+    sinks.write_table(spark.range(5), path)
+    with pytest.raises(Exception):
+        sinks.write_table(spark.range(9).selectExpr("if(id = 7, raise_error('stopped'), id) AS id"), path)
+    assert spark.read.parquet(path).count() == 5
+    sinks.write_table(spark.read.parquet(path).where("id > 1"), path)  # made from what it replaces
+    assert spark.read.parquet(path).count() == 3 and [p.name for p in tmp_path.iterdir() if "." in p.name and not p.name.startswith(".")] == []
+    (tmp_path / "out").rename(tmp_path / "out.old-1")  # stopped between the two renames
+    restore_dir(spark, path)
+    assert spark.read.parquet(path).count() == 3
+
+
+def test_stored_lookups_need_no_aggregation_below_the_join(spark, files, tmp_path):
+    models = lookup.store_models(readers.read_mcd(spark, files["mcd"]), f"{tmp_path}/models")
+    ranges = lookup.store_ranges(readers.read_defect_range(spark, files["ranges"]), f"{tmp_path}/ranges")
+    meters = readers.read_consumer(spark, files["consumer"])
+    found = lookup.range_defect_lookup(lookup.join_mcd_properties(meters, models), ranges)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Aggregate" not in plan and "Window" not in plan and plan.count("BroadcastHashJoin") == 2
+    plain = lookup.range_defect_lookup(
+        lookup.join_mcd_properties(meters, readers.read_mcd(spark, files["mcd"])), readers.read_defect_range(spark, files["ranges"])
+    )
+    assert sorted(map(str, found.collect())) == sorted(map(str, plain.collect())) and models.rows == 3
+    with pytest.raises(Exception, match="model listed more than once"):
+        lookup.store_models(models.table.union(models.table), f"{tmp_path}/twice")

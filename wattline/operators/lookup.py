@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -13,6 +14,8 @@ from wattline.functions.labels import serial_number
 MAKE = ("MFG", "AMP", "VLT")
 # A range table of up to this many pieces is broadcast; a larger one is joined by shuffle.
 BROADCAST_PIECES = 200_000
+# So is a table of up to this many models.
+BROADCAST_MODELS = 100_000
 # Serial blocks spread one make's serials over many join keys. A range is cut into the smallest blocks,
 # 2^16 serials or 2^10 times as many and so on, of which it spans at most 2^10 (and one more at its border).
 LEVELS = (16, 26, 36, 46, 56)
@@ -28,21 +31,43 @@ def unique_models(models: DataFrame, on: str, properties: Sequence[str]) -> Data
     return single.select(on, *(F.when(F.col("_n") > 1, twice).otherwise(F.col(c)).alias(c) for c in properties))
 
 
+@dataclass(frozen=True)
+class StoredModels:
+    """A table of models, each listed once, and how many they are."""
+
+    table: DataFrame
+    rows: int
+
+
+def store_models(
+    models: DataFrame, path: str, on: str = "MCD", properties: Sequence[str] = C.MODEL_PROPERTIES
+) -> StoredModels:
+    """Check once that no model is listed twice, which raises, and keep the table at ``path``."""
+    once = unique_models(models, on, properties)
+    once.write.parquet(path)
+    table = models.sparkSession.read.schema(once.schema).parquet(path)
+    return StoredModels(table, table.count())
+
+
 def join_mcd_properties(
     df: DataFrame,
-    models: DataFrame,
+    models: DataFrame | StoredModels,
     on: str = "MCD",
     properties: Sequence[str] = C.MODEL_PROPERTIES,
 ) -> DataFrame:
     """Attach model properties; an unknown model gets NULLs, a model listed twice fails the job.
 
-    No hint: Spark broadcasts the table if its size is below the session's threshold. Otherwise it
-    joins by shuffle, where AQE splits a model that holds many meters.
+    Stored models are known to be unique: the join reads them as they are, and broadcasts them if their
+    number is small. A plain table is checked inside the join. Without a broadcast AQE splits a model
+    that holds many meters.
     """
+    if isinstance(models, StoredModels):
+        table = models.table.select(on, *properties)
+        return df.join(F.broadcast(table) if models.rows <= BROADCAST_MODELS else table, on, "left")
     return df.join(unique_models(models, on, properties), on, "left")
 
 
-def join_mcd_key(df: DataFrame, models: DataFrame, on: str = "MCD") -> DataFrame:
+def join_mcd_key(df: DataFrame, models: DataFrame | StoredModels, on: str = "MCD") -> DataFrame:
     """Attach make, current and voltage only."""
     return join_mcd_properties(df, models, on, MAKE)
 
@@ -100,9 +125,27 @@ def piece_counts(ranges: DataFrame) -> dict[int, int]:
     return {row["bits"]: int(row["pieces"]) for row in total.collect()}
 
 
+@dataclass(frozen=True)
+class StoredRanges:
+    """Disjoint pieces of the defect ranges and their number, by width of block."""
+
+    pieces: Mapping[int, tuple[DataFrame, int]]
+
+
+def store_ranges(ranges: DataFrame, path: str, make: Sequence[str] = MAKE) -> StoredRanges:
+    """Cut the ranges once and keep the pieces below ``path``."""
+    kept = {}
+    for bits in sorted(piece_counts(ranges)):
+        cut, place = disjoint_blocks(ranges, bits, make), f"{path}/{bits}"
+        cut.write.parquet(place)
+        table = ranges.sparkSession.read.schema(cut.schema).parquet(place)
+        kept[bits] = (table, table.count())
+    return StoredRanges(kept)
+
+
 def range_defect_lookup(
     df: DataFrame,
-    ranges: DataFrame,
+    ranges: DataFrame | StoredRanges,
     serial: str = "MNO",
     make: Sequence[str] = MAKE,
     max_pieces: int = BROADCAST_PIECES,
@@ -114,13 +157,18 @@ def range_defect_lookup(
     block that occurs: one, unless a range spans more than 2^26 serials. The pieces of a width are
     disjoint, so no row is doubled. They are broadcast only if their counted number is small.
     More are shuffled by make and block: a make that holds a third of the meters still spreads
-    over its blocks. ``counts`` are the ``piece_counts`` of the table, if they are known already.
+    over its blocks. Stored ranges are cut already. ``counts`` are the ``piece_counts`` of a plain
+    table, if they are known.
     """
-    found = piece_counts(ranges) if counts is None else counts
+    if isinstance(ranges, StoredRanges):
+        found = ranges.pieces
+    else:
+        known = piece_counts(ranges) if counts is None else counts
+        found = {bits: (disjoint_blocks(ranges, bits, make), n) for bits, n in known.items()}
     joined = df.select("*", F.expr(serial_number(serial)).alias("_serial"), F.lit(0).alias("_inside"))
     same_make = " AND ".join(f"m.`{c}` = r.`{c}`" for c in make)
-    for bits, pieces in sorted(found.items()):
-        cut = disjoint_blocks(ranges, bits, make)
+    for bits in sorted(found):
+        cut, pieces = found[bits]
         if pieces <= max_pieces:
             cut = F.broadcast(cut)
         inside = f"shiftright(m._serial, {bits}) = r.block AND m._serial BETWEEN r.lo AND r.hi"

@@ -14,7 +14,7 @@ from wattline.functions.labels import label_from_current_meter, label_from_flags
 from wattline.functions.lists import cycle_dispatch, nan_to_null, tail
 from wattline.operators import screens, series
 from wattline.operators.combine import join_history, relabel_on_report
-from wattline.operators.lookup import join_mcd_properties, range_defect_lookup
+from wattline.operators.lookup import StoredModels, StoredRanges, join_mcd_properties, range_defect_lookup
 from wattline.operators.rows import (
     distinct_rows,
     is_different,
@@ -134,8 +134,8 @@ def recent_lists(df: DataFrame) -> DataFrame:
 
 def _look_up(
     df: DataFrame,
-    models: DataFrame,
-    ranges: DataFrame,
+    models: DataFrame | StoredModels,
+    ranges: DataFrame | StoredRanges,
     reason: Column,
     counts: Mapping[int, int] | None,
 ) -> DataFrame:
@@ -146,8 +146,8 @@ def _look_up(
 def screen_master_path(
     master: DataFrame,
     summary: DataFrame,
-    models: DataFrame,
-    ranges: DataFrame,
+    models: DataFrame | StoredModels,
+    ranges: DataFrame | StoredRanges,
     counts: Mapping[int, int] | None = None,
 ) -> Screened:
     """Consumer master and summarised readings to one screened row per consumer.
@@ -171,8 +171,8 @@ def screen_master_path(
 def screen_history_path(
     names: DataFrame,
     life: DataFrame,
-    models: DataFrame,
-    ranges: DataFrame,
+    models: DataFrame | StoredModels,
+    ranges: DataFrame | StoredRanges,
     counts: Mapping[int, int] | None = None,
 ) -> Screened:
     """Meter-life lists to one screened row per meter."""

@@ -6,7 +6,8 @@ The driver only builds plans and names paths; rows stay in the tables.
       "lookups": {"mcd": path, "defect_range": path},
       "combine": {"output_directory": dir,
                   "files": {name: {"consumer": path, "consumption": path,
-                                   "report": path, "custom_processing": bool}}},
+                                   "report": path, "custom_processing": bool,
+                                   "many_copies": bool}}},
       "concatenate": {"output_directory": dir, "priority": {name: int}, "files": {name: path}},
       "prepare_model_input": {"output_directory": dir, "files": path},
       "train": {"output_directory": dir, "training_data": path},
@@ -29,7 +30,7 @@ from pyspark.sql import Observation, SparkSession
 
 from wattline.operators import training as T
 from wattline.operators.combine import union_pred_rejects
-from wattline.operators.lookup import piece_counts
+from wattline.operators.lookup import store_models, store_ranges
 from wattline.plans import model_input, model_run, raw
 from wattline.session import scratch_dir
 from wattline.sources import readers, sinks
@@ -45,26 +46,23 @@ def _screen(
 ) -> tuple[raw.Screened, list[tuple[str, int]]]:
     """One dataset screened, and how many rows of each source had no key.
 
-    What kept and rejected rows share is written below ``path``, so each source is computed once.
+    What is read more than once is written below ``path``, so each source is read once, and its rows
+    without a key are counted in that pass.
     """
+    seen = {kind: Observation() for kind in ("consumer", "consumption")}
     if files.get("custom_processing"):
-        life = readers.read_meter_life(spark, files["consumption"])
-        names = readers.read_master_history(spark, files["consumer"])
-        sources = [("consumer", files["consumer"], "|"), ("consumption", files["consumption"], ",")]
-        counted = [(kind, readers.keyless_rows(spark, file, sep)) for kind, file, sep in sources]
+        life = readers.read_meter_life(spark, files["consumption"], seen["consumption"])
+        names = readers.read_master_history(spark, files["consumer"], seen["consumer"])
         screened = raw.screen_history_path(names, life, **tables)
     else:
-        keyless = Observation()
-        consumption = readers.read_consumption(spark, files["consumption"], keyless)
-        raw.summarise_consumption(consumption).write.parquet(f"{path}/summary")
-        summary = spark.read.parquet(f"{path}/summary")
-        master = readers.read_consumer(spark, files["consumer"])
-        screened = raw.screen_master_path(master, summary, **tables)
-        counted = [
-            ("consumer", readers.keyless_rows(spark, files["consumer"], "|")),
-            ("consumption", keyless.get["rows_without_key"]),
-        ]
+        consumption = readers.read_consumption(spark, files["consumption"], seen["consumption"])
+        master = readers.read_consumer(spark, files["consumer"], seen["consumer"])
+        raw.summarise_consumption(consumption, bool(files.get("many_copies"))).write.parquet(f"{path}/summary")
+        master.write.parquet(f"{path}/master")
+        stored = (spark.read.parquet(f"{path}/{part}") for part in ("master", "summary"))
+        screened = raw.screen_master_path(*stored, **tables)
     screened.consumers.write.parquet(f"{path}/consumers")
+    counted = [(kind, one.get["rows_without_key"]) for kind, one in seen.items()]
     return raw.Screened(spark.read.parquet(f"{path}/consumers"), screened.early), counted
 
 
@@ -73,24 +71,30 @@ def process_raw(spark: SparkSession, config: Mapping) -> dict[str, str]:
 
     Returns the path per dataset.
     """
-    ranges = readers.read_defect_range(spark, config["lookups"]["defect_range"])
-    tables = {
-        "models": readers.read_mcd(spark, config["lookups"]["mcd"]),
-        "ranges": ranges,
-        "counts": piece_counts(ranges),
-    }
     step = config["combine"]
     root, written = step["output_directory"], {}
-    for name, files in step["files"].items():
-        with scratch_dir(spark, f"screened-{name}") as path:
-            screened, counted = _screen(spark, files, tables, path)
-            report = readers.read_report(spark, files["report"]) if "report" in files else None
-            written[name] = sinks.write_raw(raw.apply_report(screened.kept(), report), root, name)
-            sinks.write_rejects(screened.rejects(), root, name)
-        sinks.write_keyless(spark, counted, root, name)
+    with scratch_dir(spark, "screened-lookups") as place:
+        models = readers.read_mcd(spark, config["lookups"]["mcd"])
+        ranges = readers.read_defect_range(spark, config["lookups"]["defect_range"])
+        tables = {
+            "models": store_models(models, f"{place}/models"),
+            "ranges": store_ranges(ranges, f"{place}/ranges"),
+        }
+        for name, files in step["files"].items():
+            written[name] = _process_dataset(spark, name, files, tables, root)
     return written
 
 
+def _process_dataset(spark: SparkSession, name: str, files: Mapping, tables: Mapping, root: str) -> str:
+    with scratch_dir(spark, f"screened-{name}") as path:
+        screened, counted = _screen(spark, files, tables, path)
+        report = readers.read_report(spark, files["report"]) if "report" in files else None
+        kept = sinks.write_raw(raw.apply_report(screened.kept(), report), root, name)
+        sinks.write_rejects(screened.rejects(), root, name)
+    sinks.write_keyless(spark, counted, root, name)
+    return kept
+
+
 def concatenate(spark: SparkSession, config: Mapping, files: Mapping[str, str] | None = None) -> str:
     step = config["concatenate"]
     paths = step.get("files") or files
@@ -129,7 +133,7 @@ def train(
         saved = sinks.write_model(run.full, root)
         sinks.write_model(run.selected, f"{root.rstrip('/')}/selected")
         for name, rows in model_run.held_out_tables(run.full, run.prepared, run.features).items():
-            rows.write.mode("overwrite").parquet(f"{root.rstrip('/')}/evaluation/{name}")
+            sinks.write_table(rows, f"{root.rstrip('/')}/evaluation/{name}")
     sinks.log_run(spark, f"{root.rstrip('/')}/runs", saved, {"dataset": path, **run.metrics})
     return replace(run, prepared=None)  # its rows are gone
 

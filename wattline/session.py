@@ -57,10 +57,46 @@ def fresh_dir(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
+def _place(spark: SparkSession, path: str):
+    """A path and the file system that it lies in."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place, place.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def restore_dir(spark: SparkSession, path: str) -> None:
+    """Put back the folder that a replacement had taken away when it was stopped half way."""
+    place, files = _place(spark, path)
+    if files.exists(place):
+        return
+    kept = files.globStatus(place.suffix(".old-*")) or []
+    if len(kept):
+        newest = max(kept, key=lambda status: status.getModificationTime())
+        if not files.rename(newest.getPath(), place):
+            raise OSError(f"{newest.getPath()} could not be put back as {path}")
+
+
+def replace_dir(spark: SparkSession, path: str, fresh: str) -> None:
+    """Let a finished folder take the place of another one, which goes last.
+
+    Two renames, so that ``path`` always names a whole table but for the moment between them; a job that
+    ends in that moment leaves the old table beside it, and ``restore_dir`` puts it back.
+    """
+    place, files = _place(spark, path)
+    old = place.suffix(f".old-{uuid.uuid4().hex}")
+    there = files.exists(place)
+    if there and not files.rename(place, old):
+        raise OSError(f"{path} could not be moved away")
+    if not files.rename(_place(spark, fresh)[0], place):
+        restore_dir(spark, path)
+        raise OSError(f"{fresh} could not be moved to {path}")
+    for status in files.globStatus(place.suffix(".old-*")) or []:
+        files.delete(status.getPath(), True)
+
+
 def remove_dir(spark: SparkSession, path: str) -> None:
     """Delete a folder wherever it lies; one that is not there is fine."""
-    place = spark._jvm.org.apache.hadoop.fs.Path(path)
-    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+    place, files = _place(spark, path)
+    files.delete(place, True)
 
 
 @contextmanager

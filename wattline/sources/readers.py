@@ -98,16 +98,18 @@ def keyless_rows(spark: SparkSession, path: str, sep: str) -> int:
     return missing_key_count(read_text_table(spark, path, C.KEYS, sep)).first()[0]
 
 
-def read_consumer(spark: SparkSession, path: str) -> DataFrame:
-    table = read_text_table(spark, path, C.CONSUMER_COLUMNS, "|", ordered=True)
+def _counted(table: DataFrame, counted: Observation | None) -> DataFrame:
+    """``counted`` learns ``rows_without_key`` while the first job reads the table."""
+    return table if counted is None else table.observe(counted, _missing_keys(C.KEYS))
+
+
+def read_consumer(spark: SparkSession, path: str, counted: Observation | None = None) -> DataFrame:
+    table = _counted(read_text_table(spark, path, C.CONSUMER_COLUMNS, "|", ordered=True), counted)
     return drop_missing_keys(table.withColumn("MCD", _whole("MCD")))
 
 
 def read_consumption(spark: SparkSession, path: str, counted: Observation | None = None) -> DataFrame:
-    """The readings. ``counted`` learns ``rows_without_key`` while the first job reads them."""
-    table = read_text_table(spark, path, C.CONSUMPTION_COLUMNS, "|", ordered=True)
-    if counted is not None:
-        table = table.observe(counted, _missing_keys(C.KEYS))
+    table = _counted(read_text_table(spark, path, C.CONSUMPTION_COLUMNS, "|", ordered=True), counted)
     return drop_missing_keys(table.withColumn("ADV_UT", _number("ADV_UT")))
 
 
@@ -118,15 +120,15 @@ def read_report(spark: SparkSession, path: str, form: str | None = None) -> Data
     return read_text_table(spark, path, C.REPORT_COLUMNS, ",")
 
 
-def read_master_history(spark: SparkSession, path: str) -> DataFrame:
+def read_master_history(spark: SparkSession, path: str, counted: Observation | None = None) -> DataFrame:
     """Distinct consumer numbers of a master file."""
-    table = read_text_table(spark, path, [*C.KEYS, "CONS_NUM"], "|")
+    table = _counted(read_text_table(spark, path, [*C.KEYS, "CONS_NUM"], "|"), counted)
     return distinct_rows(drop_missing_keys(table.withColumnRenamed("CONS_NUM", "CNO")))
 
 
-def read_meter_life(spark: SparkSession, path: str) -> DataFrame:
+def read_meter_life(spark: SparkSession, path: str, counted: Observation | None = None) -> DataFrame:
     """One row per meter with its lists, which the file holds as text."""
-    table = read_text_table(spark, path, C.METER_LIFE_COLUMNS, ",")
+    table = _counted(read_text_table(spark, path, C.METER_LIFE_COLUMNS, ","), counted)
     return drop_missing_keys(
         table.withColumns(
             {

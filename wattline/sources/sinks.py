@@ -1,7 +1,11 @@
-"""Sinks. The tables between the stages are Parquet, so that lists need no text form."""
+"""Sinks. The tables between the stages are Parquet, so that lists need no text form.
+
+A table is written beside the one that it replaces, which stays until the new one is whole.
+"""
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 from datetime import datetime
 
@@ -9,6 +13,23 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 
 from wattline import constants as C
+from wattline.session import remove_dir, replace_dir, restore_dir
+
+
+def write_table(df: DataFrame, path: str, *by: str) -> None:
+    """Write a table to ``path``, in folders by the given columns; a failure leaves the one that was there.
+
+    The table may be made from the one that it replaces.
+    """
+    spark, path = df.sparkSession, path.rstrip("/")
+    restore_dir(spark, path)
+    fresh = f"{path}.new-{uuid.uuid4().hex}"
+    try:
+        (df.write.partitionBy(*by) if by else df.write).parquet(fresh)
+    except BaseException:
+        remove_dir(spark, fresh)
+        raise
+    replace_dir(spark, path, fresh)
 
 
 def _typed_raw(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -20,37 +41,37 @@ def _typed_raw(df: DataFrame, columns: list[str]) -> DataFrame:
 
 def write_raw(df: DataFrame, root: str, dataset: str) -> str:
     path = f"{root.rstrip('/')}/{dataset}_raw"
-    _typed_raw(df, C.RAW_COLUMNS).write.mode("overwrite").parquet(path)
+    write_table(_typed_raw(df, C.RAW_COLUMNS), path)
     return path
 
 
 def write_combined(df: DataFrame, root: str, names: list[str]) -> str:
     path = f"{root.rstrip('/')}/{'_'.join(names)}"
-    _typed_raw(df, [*C.RAW_COLUMNS, "SOURCE"]).write.mode("overwrite").parquet(path)
+    write_table(_typed_raw(df, [*C.RAW_COLUMNS, "SOURCE"]), path)
     return path
 
 
 def write_model_input(df: DataFrame, root: str, name: str) -> str:
     path = f"{root.rstrip('/')}/{name}_model_input"
-    df.write.mode("overwrite").parquet(path)
+    write_table(df, path)
     return path
 
 
 def write_rejects(df: DataFrame, root: str, name: str) -> str:
     """One folder per reason."""
     path = f"{root.rstrip('/')}/{name}_rejects"
-    df.write.mode("overwrite").partitionBy(C.REMARKS).parquet(path)
+    write_table(df, path, C.REMARKS)
     return path
 
 
 def write_keyless(spark: SparkSession, counted: Sequence[tuple[str, int]], root: str, name: str) -> None:
     """How many rows of each source of a dataset belong to no consumer."""
     table = spark.createDataFrame(list(counted), "source string, rows_without_key long")
-    table.coalesce(1).write.mode("overwrite").parquet(f"{root.rstrip('/')}/{name}_keyless")
+    write_table(table.coalesce(1), f"{root.rstrip('/')}/{name}_keyless")
 
 
 def write_predictions(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").parquet(path)
+    write_table(df, path)
 
 
 def write_model(model: PipelineModel, root: str, now: datetime | None = None) -> str:
