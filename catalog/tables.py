@@ -145,20 +145,15 @@ def sink_rejects(t: Tables) -> DataFrame:
     return t.spark.read.parquet(path).select(*C.REJECT_COLUMNS)
 
 
-@query("sink_predictions", "SELECT CNO, MNO FROM combined")
+@query("sink_predictions", modelling.SCORES)
 def sink_predictions(t: Tables) -> DataFrame:
-    table, run = modelling.run_of(t)
     path = fresh_dir(t.spark, "predictions")
-    sinks.write_predictions(model_run.predict_all(run.full, table, run.features), path)
-    return t.spark.read.parquet(path).where("PREDICTION_SCORE BETWEEN 0 AND 1").select("CNO", "MNO")
+    sinks.write_predictions(model_run.predict_all(modelling.fixed_model(t.spark), modelling.table_of(t)), path)
+    return modelling.scores_of(t.spark.read.parquet(path))
 
 
-@query("sink_model", "SELECT CNO, MNO, true AS same FROM combined")
+@query("sink_model", modelling.SCORES)
 def sink_model(t: Tables) -> DataFrame:
-    """Scores of the saved and reloaded model against those of the model in memory."""
-    table, run = modelling.run_of(t)
-    loaded = PipelineModel.load(sinks.write_model(run.full, fresh_dir(t.spark, "model")))
-    score = F.col("PREDICTION_SCORE")
-    before = model_run.predict(run.full, table, run.features).select("CNO", "MNO", score.alias("a"))
-    after = model_run.predict(loaded, table, run.features).select("CNO", "MNO", score.alias("b"))
-    return before.join(after, ["CNO", "MNO"]).select("CNO", "MNO", (F.col("a") == F.col("b")).alias("same"))
+    """Scores of the saved and reloaded model."""
+    saved = sinks.write_model(modelling.fixed_model(t.spark), fresh_dir(t.spark, "model"))
+    return modelling.scores_of(model_run.predict(PipelineModel.load(saved), modelling.table_of(t)))

@@ -225,3 +225,24 @@ def test_metrics_without_a_positive(spark):
     df = spark.createDataFrame([(0, 0), (0, 0)], "a int, p int")
     row = metrics.metric_prf(df, "a", "p").first()
     assert tuple(row) == (1.0, 0.0, 0.0, 0.0)
+
+
+def test_foreign_keys_go_before_the_first_shuffle(spark, tmp_path):
+    master = spark.range(500).selectExpr("string(id) AS CONS_ID", "if(id % 7 = 0, 'é', '1') AS CSQ")
+    known = rows.key_filter(master, f"{tmp_path}/keys")
+    readings = spark.range(20000).selectExpr(
+        "string(id % 4000) AS CONS_ID", "if(id % 4000 % 7 = 0, 'é', '1') AS CSQ", "'m' AS MNO",
+        "string(202401 + id % 12) AS BC_CD", "'B' AS BL_CD", "'NR' AS ENT_CD", "double(id) AS ADV_UT", "id AS row_order",
+    )
+    left = rows.with_likely_keys(readings, known)
+    assert left.columns == readings.columns
+    assert left.join(master, ["CONS_ID", "CSQ"], "left_anti").count() < 17500 / 10  # expected: one in 16
+    own = readings.join(master, ["CONS_ID", "CSQ"], "left_semi")
+    assert own.exceptAll(left).count() == 0 and own.count() == 2500
+    plan = raw.summarise_consumption(left)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 2
+    assert plan.index("REPARTITION_BY_COL") < plan.index("BroadcastHashJoin [_word")
+    assert rows.key_filter(master, f"{tmp_path}/none", most=499) is None
+    assert rows.with_likely_keys(readings, None) is readings
+    empty = rows.key_filter(master.limit(0), f"{tmp_path}/empty")
+    assert rows.with_likely_keys(readings, empty).count() == 0

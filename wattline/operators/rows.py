@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -35,6 +36,54 @@ def keys_except(left: DataFrame, right: DataFrame, keys: Sequence[str] = DEFAULT
     return key_set(left, keys).subtract(key_set(right, keys))
 
 
+# A filter is made for up to this many keys: 16 bits of each, 20 MB in all, and as much again as a hash table.
+FILTER_KEYS = 10_000_000
+FILTER_BITS = 16
+
+
+@dataclass(frozen=True)
+class KeyFilter:
+    """Words of a bitmap with one bit set per key; a foreign key meets a set bit one time in 16."""
+
+    words: DataFrame
+    bits: int
+    keys: tuple[str, ...]
+
+
+def _bit(keys: Sequence[str], bits: int) -> Column:
+    return F.pmod(F.xxhash64(*keys), F.lit(bits))
+
+
+def key_filter(
+    df: DataFrame, path: str, keys: Sequence[str] = DEFAULT_KEYS, most: int = FILTER_KEYS
+) -> KeyFilter | None:
+    """The keys of a table as a bitmap, kept at ``path``; None for a table of more than ``most`` rows.
+
+    Its size follows the counted rows, so it is known before it is broadcast.
+    """
+    rows = df.count()
+    if rows > most:
+        return None
+    bits = max(64, rows * FILTER_BITS // 64 * 64)
+    placed = df.select(_bit(keys, bits).alias("_at"))
+    words = placed.selectExpr("shiftright(_at, 6) AS _word", "shiftleft(1L, int(_at % 64)) AS _mask")
+    words.groupBy("_word").agg(F.bit_or("_mask").alias("_mask")).write.parquet(path)
+    return KeyFilter(df.sparkSession.read.schema("_word long, _mask long").parquet(path), bits, tuple(keys))
+
+
+def with_likely_keys(df: DataFrame, known: KeyFilter | None) -> DataFrame:
+    """Rows whose key may be among the known ones; all of them are, and few others.
+
+    It needs no shuffle, so the rest never crosses the network.
+    """
+    if known is None:
+        return df
+    at = _bit(known.keys, known.bits)
+    probed = df.withColumns({"_at": at}).withColumn("_word", F.shiftright("_at", 6))
+    own = F.expr("(_mask & shiftleft(1L, int(_at % 64))) != 0")
+    return probed.join(F.broadcast(known.words), "_word").where(own).select(*(F.col(f"`{c}`") for c in df.columns))
+
+
 def distinct_rows(df: DataFrame, order: str = C.ROW_ORDER) -> DataFrame:
     """Whole-row distinct. If the rows carry their order, each keeps the first one."""
     if order not in df.columns:

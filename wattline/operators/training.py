@@ -4,18 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import asdict, dataclass
-from statistics import median
 
-from pyspark import SparkContext
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import PipelineModel
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.feature import StringIndexer, StringIndexerModel, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wattline import constants as C
 from wattline.functions.rules import score_bin
+from wattline.operators import boosting
 from wattline.operators.ranking import stratified_split, with_class_weights
 
 WEIGHT, HELD_OUT, SCORE = "class_weight", "is_validation", "PREDICTION_SCORE"
@@ -24,9 +23,10 @@ EPSILON = 1e-15
 
 @dataclass(frozen=True)
 class TreeParams:
-    """Depth, step and borders of the production model.
+    """Depth, step, borders, L2 term and bootstrap of the production model.
 
-    ``patience`` rounds without a better held-out loss end the search for the best round.
+    ``patience`` rounds without a better held-out F1, or log-loss where ``by_f1`` is false, end the fit.
+    ``bagging`` is the power of the bootstrap weights; 0 takes the rows as they are.
     """
 
     trees: int = 700
@@ -35,6 +35,9 @@ class TreeParams:
     borders: int = 64
     patience: int = 100
     seed: int = 42
+    l2: float = 1.0
+    bagging: float = 0.5
+    by_f1: bool = True
 
 
 @dataclass(frozen=True)
@@ -91,62 +94,33 @@ def fill_numeric(df: DataFrame, features: Features) -> DataFrame:
 def train_gbt(
     df: DataFrame, features: Features = Features(), params: TreeParams = TreeParams(), label: str = "LABEL"
 ) -> PipelineModel:
-    """Fit on the rows that are not held out, then keep the trees up to the best held-out round.
+    """Fit on the rows that are not held out, up to the best held-out round.
 
-    MLlib's own early stop ends at the first round that is no better, so all rounds are fitted and
-    cut back. A categorical may have more values than there are borders. The first tree has weight 1
-    and the others the step, as MLlib boosts.
+    The rounds end ``patience`` after the best one; see ``boosting``. A categorical may have more values
+    than there are borders.
     """
     columns = [*features.names, label, WEIGHT, HELD_OUT]
     rows = fill_numeric(df.select(*columns), features)
+    learn = rows.where(~F.col(HELD_OUT))
     stages: list = []
     most_values = 0
     if features.categorical:
-        indexer = encode_categoricals(df, features.categorical)
+        indexer = encode_categoricals(learn, features.categorical)
         most_values = max(map(len, indexer.labelsArray)) + 1  # unseen values share one more
         stages.append(indexer)
     inputs = [*map(_index, features.categorical), *features.numeric]
     stages.append(VectorAssembler(inputCols=inputs, outputCol="features", handleInvalid="keep"))
-    stages.append(
-        GBTClassifier(
-            labelCol=label,
-            weightCol=WEIGHT,
-            maxIter=params.trees,
-            stepSize=params.step,
-            maxDepth=params.depth,
-            maxBins=max(params.borders, most_values + 1),
-            seed=params.seed,
-        )
+    ready = PipelineModel(stages)
+    estimator = GBTClassifier(
+        labelCol=label, weightCol=WEIGHT, maxIter=params.trees, stepSize=params.step, maxDepth=params.depth,
+        maxBins=max(params.borders, most_values + 1), seed=params.seed,
     )
-    model = Pipeline(stages=stages).fit(rows.where(~F.col(HELD_OUT)))
-    held_out = PipelineModel(model.stages[:-1]).transform(rows.where(F.col(HELD_OUT)))
-    if held_out.isEmpty():
-        return model
-    losses = model.stages[-1].evaluateEachIteration(held_out.select("features", label, WEIGHT))
-    return PipelineModel([*model.stages[:-1], first_trees(model.stages[-1], best_round(losses, params.patience))])
-
-
-def best_round(losses: Sequence[float], patience: int) -> int:
-    """Number of rounds up to the least loss, given up after ``patience`` rounds without a lesser one."""
-    best = 0
-    for i, loss in enumerate(losses):
-        if loss < losses[best]:
-            best = i
-        elif i - best >= patience:
-            break
-    return best + 1
-
-
-def first_trees(model: GBTClassificationModel, rounds: int) -> GBTClassificationModel:
-    """The model of its first ``rounds`` trees."""
-    java = model._java_obj
-    jvm, gateway = SparkContext._active_spark_context._jvm, SparkContext._active_spark_context._gateway
-    trees = gateway.new_array(jvm.org.apache.spark.ml.regression.DecisionTreeRegressionModel, rounds)
-    weights = gateway.new_array(jvm.double, rounds)
-    for i in range(rounds):
-        trees[i], weights[i] = java.trees()[i], java.treeWeights()[i]
-    cut = jvm.org.apache.spark.ml.classification.GBTClassificationModel(java.uid(), trees, weights)
-    return GBTClassificationModel(java.copyValues(cut, java.extractParamMap()))
+    table = ready.transform(rows).select("features", label, WEIGHT, HELD_OUT)
+    model, _ = boosting.fit(table, estimator, params, label, WEIGHT, HELD_OUT)
+    return PipelineModel([*stages, model])
+
+
+best_round = boosting.best_round
 
 
 def booster(model: PipelineModel) -> GBTClassificationModel:
@@ -157,11 +131,10 @@ def importances(model: PipelineModel, features: Features) -> dict[str, float]:
     return dict(zip(features.names, map(float, booster(model).featureImportances.toArray())))
 
 
-def select_features(model: PipelineModel, features: Features) -> Features:
-    """Features whose importance reaches the median."""
-    found = importances(model, features)
-    threshold = median(found.values())
-    return features.only([name for name, weight in found.items() if weight >= threshold])
+def marked_features(model: PipelineModel, features: Features, spark: SparkSession) -> DataFrame:
+    """The model's features with their importances, and which are to stay; one row per feature."""
+    rows = list(importances(model, features).items())
+    return select_from(spark.createDataFrame(rows, "feature string, importance double"))
 
 
 def select_from(df: DataFrame, importance: str = "importance") -> DataFrame:
@@ -170,8 +143,16 @@ def select_from(df: DataFrame, importance: str = "importance") -> DataFrame:
     return df.withColumn("is_selected", F.col(importance) >= threshold)
 
 
-def reduction_ratio(chosen: Features, features: Features) -> float:
-    return len(chosen.names) / len(features.names)
+def chosen_features(marked: DataFrame, features: Features) -> Features:
+    return features.only([r["feature"] for r in marked.where("is_selected").collect()])
+
+
+def reduction(marked: DataFrame) -> DataFrame:
+    """One row: how many features there were, how many stay, and their ratio."""
+    kept, all_rows = F.count_if("is_selected"), F.count(F.lit(1))
+    return marked.agg(
+        all_rows.alias("original_features"), kept.alias("selected_features"), (kept / all_rows).alias("feature_reduction_ratio")
+    )
 
 
 def score(model: PipelineModel, df: DataFrame, features: Features = Features()) -> DataFrame:

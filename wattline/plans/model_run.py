@@ -74,13 +74,13 @@ def train_and_select(
     """
     prepared = prepared_rows(model_input, keys, path)
     full = T.train_gbt(prepared, features, params)
-    chosen = T.select_features(full, features)
+    marked = T.marked_features(full, features, model_input.sparkSession)
+    chosen = T.chosen_features(marked, features)
     selected = T.train_gbt(prepared, chosen, params)
     record = {
         **T.params_row(params),
-        "original_features": float(len(features.names)),
-        "selected_features": float(len(chosen.names)),
-        "feature_reduction_ratio": T.reduction_ratio(chosen, features),
+        **{name: float(value) for name, value in T.reduction(marked).first().asDict().items()},
+        "rounds": float(T.booster(full).getNumTrees),
         "selected_names": ",".join(chosen.names),
         **class_weights(prepared),
         **_flat("original", T.evaluate(full, prepared, features)),

@@ -31,6 +31,7 @@ from pyspark.sql import Observation, SparkSession
 from wattline.operators import training as T
 from wattline.operators.combine import union_pred_rejects
 from wattline.operators.lookup import store_models, store_ranges
+from wattline.operators.rows import key_filter, with_likely_keys
 from wattline.plans import model_input, model_run, raw
 from wattline.session import scratch_dir
 from wattline.sources import readers, sinks
@@ -47,7 +48,8 @@ def _screen(
     """One dataset screened, and how many rows of each source had no key.
 
     What is read more than once is written below ``path``, so each source is read once, and its rows
-    without a key are counted in that pass.
+    without a key are counted in that pass. Readings of consumers that the master doesn't have go before
+    the first shuffle, but for the few that its key filter lets through; these fall out at the join.
     """
     seen = {kind: Observation() for kind in ("consumer", "consumption")}
     if files.get("custom_processing"):
@@ -55,10 +57,12 @@ def _screen(
         names = readers.read_master_history(spark, files["consumer"], seen["consumer"])
         screened = raw.screen_history_path(names, life, **tables)
     else:
-        consumption = readers.read_consumption(spark, files["consumption"], seen["consumption"])
         master = readers.read_consumer(spark, files["consumer"], seen["consumer"])
-        raw.summarise_consumption(consumption, bool(files.get("many_copies"))).write.parquet(f"{path}/summary")
         master.write.parquet(f"{path}/master")
+        known = key_filter(spark.read.parquet(f"{path}/master"), f"{path}/keys")
+        consumption = readers.read_consumption(spark, files["consumption"], seen["consumption"])
+        summary = raw.summarise_consumption(with_likely_keys(consumption, known), bool(files.get("many_copies")))
+        summary.write.parquet(f"{path}/summary")
         stored = (spark.read.parquet(f"{path}/{part}") for part in ("master", "summary"))
         screened = raw.screen_master_path(*stored, **tables)
     screened.consumers.write.parquet(f"{path}/consumers")
