@@ -570,3 +570,29 @@ def test_toxicity_learns_and_handles_edges(spark, edges, empty):
     assert all(r["score"] == 0 for r in odd if r["id"] in (4, 5, 6, 9))
     assert toxicity.train(docs, labels.where("toxic = 0")) is None
     assert toxicity.score_documents(empty, None).count() == 0
+
+
+def plain_shortest_pack_first(histogram: dict[int, int], length: int) -> Counter:
+    """Room left per pack, piece by piece: each goes to the emptiest pack that was open before its length came."""
+    rooms: list[int] = []
+    for size in sorted(histogram, reverse=True):
+        fresh = []
+        for _ in range(histogram[size]):
+            best = max(range(len(rooms)), key=rooms.__getitem__, default=None)
+            if best is not None and rooms[best] >= size:
+                rooms[best] -= size
+            else:
+                fresh.append(length - size)
+        rooms += fresh
+    return Counter(rooms)
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_patterns_match_a_plain_shortest_pack_first(seed):
+    rng = random.Random(seed)
+    high = (60, 120, 128, 20)[seed]
+    histogram = Counter(rng.randint(1, high) for _ in range(400))
+    rooms: Counter = Counter()
+    for pattern, count in packing.spfhp(histogram, 128):
+        rooms[128 - sum(pattern)] += count
+    assert rooms == plain_shortest_pack_first(histogram, 128)
