@@ -596,3 +596,32 @@ def test_patterns_match_a_plain_shortest_pack_first(seed):
     for pattern, count in packing.spfhp(histogram, 128):
         rooms[128 - sum(pattern)] += count
     assert rooms == plain_shortest_pack_first(histogram, 128)
+
+
+def test_language_vote_matches_plain_loops():
+    """Family first, then the mean over pairs inside it, one text and one pair at a time."""
+    words = {"en": "the and of to", "de": "der und die ist", "fr": "le et la que", "es": "el y los para"}
+    rng = random.Random(3)
+    texts, langs = [], []
+    for lang, own in words.items():
+        for k in range(20):
+            texts.append(" ".join(rng.choices([*own.split(), *prose(k, 3).split()], k=25)))
+            langs.append(lang)
+    model = language.Model.fit([t.encode() for t in texts], langs)
+    asked = texts[::7] + [prose(900 + i, 12) for i in range(20)] + ["x", "the der le el"]
+    found, scores = language.predict(model, pa.array(asked))
+
+    def vote(classes, machines, x):
+        total = dict.fromkeys(classes, 0.0)
+        for m in machines:
+            p = 1 / (1 + np.exp(-(m.slope * (float(x @ m.weight.astype(float)) + m.bias) + m.shift)))
+            total[m.yes] += p
+            total[m.no] += 1 - p
+        best = max(classes, key=lambda c: total[c])
+        return best, total[best] / (len(classes) - 1) if len(classes) > 1 else 1.0
+
+    for text, lang, score in zip(asked, found, scores):
+        x = language.features([text.encode()])[0].astype(float)
+        family, chance = vote(list(model.families), model.between, x)
+        best, inner = vote(model.families[family], model.inside[family], x)
+        assert lang == best and abs(score - chance * inner) < 1e-4
