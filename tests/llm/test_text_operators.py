@@ -625,3 +625,17 @@ def test_language_vote_matches_plain_loops():
         family, chance = vote(list(model.families), model.between, x)
         best, inner = vote(model.families[family], model.inside[family], x)
         assert lang == best and abs(score - chance * inner) < 1e-4
+
+
+def test_toxicity_of_a_text_is_that_of_its_highest_window():
+    """Every window scored on its own, as a text of its own."""
+    rng = random.Random(8)
+    bad = "idiot fool trash scum".split()
+    texts = [" ".join([*prose(k, 30).split(), *(rng.choices(bad, k=4) if k % 2 else [])]) for k in range(60)]
+    network = toxicity.fit(pa.array(texts), np.array([k % 2 for k in range(60)]), epochs=3)
+    for size in (1, 31, 32, 33, 51, 52, 53, 200):
+        words_of = prose(500 + size, size).split()
+        words_of[size // 2] = "idiot"
+        starts = [*range(0, max(size - toxicity.WINDOW, 0), toxicity.STRIDE), max(size - toxicity.WINDOW, 0)]
+        alone = [toxicity.score(network, pa.array([" ".join(words_of[s : s + toxicity.WINDOW])]))[0] for s in starts]
+        assert abs(toxicity.score(network, pa.array(["", " ".join(words_of), "x"]))[1] - max(alone)) < 1e-6
