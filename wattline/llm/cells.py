@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from wattline.llm.words import release
 
+PORTION = 16 << 20
 
 def block_counts(members: DataFrame, group: str, block: int, least: int = 1) -> DataFrame:
     """``group, blocks`` for groups of at least ``least`` rows."""
@@ -76,8 +77,22 @@ def _limits(table: pa.Table, keys: Sequence[str]) -> np.ndarray:
     return np.append(np.flatnonzero(fresh), table.num_rows)
 
 
+def _portions(table: pa.Table, limits: np.ndarray) -> Iterator[tuple[pa.Table, np.ndarray]]:
+    """Runs of whole groups of about PORTION bytes, one group at least, each with its own limits."""
+    rows = max(1, PORTION * table.num_rows // max(1, table.nbytes))
+    low = 0
+    while low < len(limits) - 1:
+        high = max(low + 1, int(np.searchsorted(limits, limits[low] + rows, "right")) - 1)
+        part = table.slice(limits[low], limits[high] - limits[low])
+        yield part.combine_chunks(), limits[low : high + 1] - limits[low]
+        low = high
+
+
 def grouped(run: Callable[[pa.Table, np.ndarray], pa.Table], keys: Sequence[str]):
-    """For ``mapInArrow`` on rows sorted by ``keys``: ``run`` gets whole groups and their limits."""
+    """For ``mapInArrow`` on rows sorted by ``keys``: ``run`` gets whole groups and their limits.
+
+    What ``run`` builds from wide rows is a multiple of them, so it sees a portion of a batch at a time.
+    """
 
     def go(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: pa.Table | None = None
@@ -88,7 +103,8 @@ def grouped(run: Callable[[pa.Table, np.ndarray], pa.Table], keys: Sequence[str]
             held = fresh if held is None else pa.concat_tables([held, fresh])
             limits = _limits(held, keys)
             if len(limits) > 2:
-                yield from run(held.slice(0, limits[-2]).combine_chunks(), limits[:-1]).to_batches()
+                for part, own in _portions(held.slice(0, limits[-2]), limits[:-1]):
+                    yield from run(part, own).to_batches()
                 held = held.slice(limits[-2])
                 release()
         if held is not None and held.num_rows:

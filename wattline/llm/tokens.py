@@ -22,6 +22,7 @@ from wattline.llm import words as W
 END = 0
 BYTE_BPE = "byte_bpe_50k.json"
 BATCH = 4 << 20
+AT_ONCE = 1 << 18
 PIECES_KEPT = 600_000
 _SPACE = np.zeros(256, bool)
 _SPACE[0x20] = True
@@ -55,6 +56,15 @@ def _gather(pool: np.ndarray, start: np.ndarray, length: np.ndarray) -> np.ndarr
     return pool[np.repeat(start - (behind - length), length) + np.arange(behind[-1] if len(behind) else 0)]
 
 
+def _runs(limits: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Ranges of pieces of at most about AT_ONCE characters, one piece at least."""
+    low = 0
+    while low < len(limits) - 1:
+        high = max(low + 1, int(np.searchsorted(limits, limits[low] + AT_ONCE, "right")) - 1)
+        yield low, high
+        low = high
+
+
 class Encoder:
     """Texts to ids, two bytes each if the vocabulary allows it, else four."""
 
@@ -70,13 +80,18 @@ class Encoder:
         self.pool, self.at, self.count = np.zeros(0, self.dtype), np.zeros(0, np.int32), np.zeros(0, np.int32)
 
     def whole(self, texts: list[str]) -> list[np.ndarray]:
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(x.ids, self.dtype) for x in found]
+        """Ids of each text. The tokenizer's own results are some hundred bytes an id, so few texts go at a time."""
+        found: list[np.ndarray] = []
+        for low, high in _runs(np.cumsum([0, *map(len, texts)])):
+            own = self.tokenizer.encode_batch_fast(texts[low:high], add_special_tokens=False)
+            found += [np.array(x.ids, self.dtype) for x in own]
+        return found
 
     def _pieces(self, data: np.ndarray, start: np.ndarray, length: np.ndarray):
         """Ids of pieces, each with the blank before it: a pool, and each piece's slice of it."""
-        text = _gather(data, start - 1, length + 1).tobytes().decode("utf-8")
-        ids = self.whole([text])[0]
+        runs = _runs(np.cumsum(np.append(0, length + 1)))
+        texts = [_gather(data, start[a:b] - 1, length[a:b] + 1).tobytes().decode("utf-8") for a, b in runs]
+        ids = np.concatenate(self.whole(texts))
         behind = np.cumsum(self.bytes_of[ids])
         ends = np.cumsum(length + 1)
         last = np.searchsorted(behind, ends)
