@@ -20,6 +20,7 @@ from catalog.relational import MISSING_FDT, NO_CONSUMPTION, SUPPORTED
 from wattline import constants as C
 from wattline.functions import rules
 from wattline.operators.rows import distinct_rows
+from wattline.plans import increments
 from wattline.plans import model_input as model
 from wattline.plans import raw
 from wattline.session import fresh_dir
@@ -109,6 +110,20 @@ def stored_master_path(t: Tables) -> raw.Screened:
     return raw.screen_master_path(S.master(t), t.spark.read.parquet(path), *S.lookups(t))
 
 
+@query(
+    "monthly_state",
+    "SELECT CONS_ID, CSQ, CAST(pos AS INTEGER) AS pos, units, code FROM reading_months WHERE pos IS NOT NULL",
+)
+def monthly_state(t: Tables) -> DataFrame:
+    """The readings merged into a stored state in two batches; the second repeats a third of all orders."""
+    readings, state = S.consumption(t), fresh_dir(t.spark, "state")
+    last = readings.agg(F.max(C.ROW_ORDER)).first()[0] or 0
+    increments.add_batch(t.spark, readings.where(F.col(C.ROW_ORDER) * 3 <= 2 * last), state, "1")
+    increments.add_batch(t.spark, readings.where(F.col(C.ROW_ORDER) * 3 > last), state, "2")
+    entries = increments.summary(t.spark, state).select(*C.KEYS, F.explode("entries").alias("e"))
+    return entries.select(*C.KEYS, "e.pos", "e.units", "e.code")
+
+
 def _text(items: str, kind: str) -> Column:
     shown = F.transform(items, lambda x: F.coalesce(x.cast(kind).cast("string"), F.lit("-")))
     return F.array_join(shown, ",")

@@ -92,6 +92,11 @@ def summarise_consumption(consumption: DataFrame, many_copies: bool = False) ->
         PLACE_KEYS,
         extra=[F.max_by("MNO", C.ROW_ORDER).alias("month_mno"), last],
     )
+    return summary_of_months(monthly)
+
+
+def summary_of_months(monthly: DataFrame) -> DataFrame:
+    """A row per consumer from its rows per month and place."""
     recency = F.struct(F.col(series.POSITION).isNull(), F.col(series.POSITION), F.col("month_order"))
     return series.collect_entries(
         monthly,

@@ -7,7 +7,8 @@ The driver only builds plans and names paths; rows stay in the tables.
       "combine": {"output_directory": dir,
                   "files": {name: {"consumer": path, "consumption": path,
                                    "report": path, "custom_processing": bool,
-                                   "many_copies": bool}}},
+                                   "many_copies": bool,
+                                   "state": dir, "batch": name}}},
       "concatenate": {"output_directory": dir, "priority": {name: int}, "files": {name: path}},
       "prepare_model_input": {"output_directory": dir, "files": path},
       "train": {"output_directory": dir, "training_data": path},
@@ -15,7 +16,8 @@ The driver only builds plans and names paths; rows stay in the tables.
                 "rejects": [path]},
     }
 
-``files`` and ``training_data`` may be left out; a step then takes what the step before it wrote.
+``files`` and ``training_data`` may be left out; a step then takes what the step before it wrote. With
+``state`` the readings are one batch more, merged into the monthly state that is kept there.
 """
 
 from __future__ import annotations
@@ -32,7 +34,7 @@ from wattline.operators import training as T
 from wattline.operators.combine import union_pred_rejects
 from wattline.operators.lookup import store_models, store_ranges
 from wattline.operators.rows import key_filter, with_likely_keys
-from wattline.plans import model_input, model_run, raw
+from wattline.plans import increments, model_input, model_run, raw
 from wattline.session import scratch_dir
 from wattline.sources import readers, sinks
 
@@ -59,9 +61,16 @@ def _screen(
     else:
         master = readers.read_consumer(spark, files["consumer"], seen["consumer"])
         master.write.parquet(f"{path}/master")
-        known = key_filter(spark.read.parquet(f"{path}/master"), f"{path}/keys")
         consumption = readers.read_consumption(spark, files["consumption"], seen["consumption"])
-        summary = raw.summarise_consumption(with_likely_keys(consumption, known), bool(files.get("many_copies")))
+        many_copies = bool(files.get("many_copies"))
+        if "state" in files:
+            # All readings are kept: a later master may have their consumers.
+            if not increments.add_batch(spark, consumption, files["state"], files["batch"], many_copies):
+                del seen["consumption"]  # merged by an earlier run, and not read again
+            summary = increments.summary(spark, files["state"])
+        else:
+            known = key_filter(spark.read.parquet(f"{path}/master"), f"{path}/keys")
+            summary = raw.summarise_consumption(with_likely_keys(consumption, known), many_copies)
         summary.write.parquet(f"{path}/summary")
         stored = (spark.read.parquet(f"{path}/{part}") for part in ("master", "summary"))
         screened = raw.screen_master_path(*stored, **tables)

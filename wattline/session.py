@@ -93,6 +93,20 @@ def replace_dir(spark: SparkSession, path: str, fresh: str) -> None:
         files.delete(status.getPath(), True)
 
 
+def names_below(spark: SparkSession, path: str, prefix: str) -> list[str]:
+    """What follows the prefix in the names of the folders of ``path`` that begin with it, in order."""
+    place, files = _place(spark, path)
+    found = (status.getPath().getName() for status in (files.listStatus(place) if files.exists(place) else []))
+    return sorted(name.removeprefix(prefix) for name in found if name.startswith(prefix))
+
+
+def publish_dir(spark: SparkSession, fresh: str, path: str) -> None:
+    """Give a finished folder its name, by one rename; a folder of that name must not be there."""
+    place, files = _place(spark, path)
+    if files.exists(place) or not files.rename(_place(spark, fresh)[0], place):
+        raise OSError(f"{fresh} could not be moved to {path}")
+
+
 def remove_dir(spark: SparkSession, path: str) -> None:
     """Delete a folder wherever it lies; one that is not there is fine."""
     place, files = _place(spark, path)
