@@ -474,6 +474,22 @@ def test_places_of_very_many_secrets(spark):
         assert [(s["start"], s["end"]) for s in row["base"]] == want and len(want) == row["id"]
 
 
+def test_licenses_are_told_apart_by_version(spark):
+    texts = [
+        "Words. This work is licensed under the GNU General Public License, version 2 and so on",
+        "Words. This work is licensed under the GNU General Public License, version 3 and so on",
+        "x " * 70 + licenses.TEMPLATES["lgpl-2.1-notice"] + " y" * 70,
+        "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License",
+        "Copyright me. " + licenses.TEMPLATES["mit-text"].replace("AUTHORS", "WRITERS") + " The end.",
+        "This work is licensed under the GNU General Public License",
+    ]
+    found = licenses.find_licenses(spark.createDataFrame(rows_of(enumerate(texts)), SCHEMA)).collect()
+    names = [{r["license"] for r in found if r["id"] == k} for k in range(len(texts))]
+    assert names[:2] == [{"gpl-2.0"}, {"gpl-3.0"}] and names[3] == {"cc-by-sa-4.0"} and names[5] == set()
+    assert "lgpl-2.1-notice" in names[2] and not {"lgpl-3.0-notice", "gpl-2.0-notice"} & names[2]
+    assert "mit-text" in names[4]
+
+
 def test_licenses_in_windows(spark, edges, empty):
     mit, notice = licenses.TEMPLATES["mit"], licenses.TEMPLATES["apache-2.0-notice"]
     texts = [

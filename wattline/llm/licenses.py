@@ -8,7 +8,9 @@ lies whole in one window.
 A window retrieves a template if they agree in one of many MinHash values (bands of one row). At the
 containment asked for, the Jaccard similarity of window and template is at least about 0.19; the number
 of bands is chosen so that a window then misses a template with a probability below MISS. Containment
-is then exact: the share of the template's shingles that are in the window.
+is then exact: the share of the template's shingles that are in the window. Versions of a license differ
+in few words, so one of the shingles that hold all of a template's words with a digit must be there too,
+if the template has such shingles.
 
 A window can only agree with a template if it holds the template's least shingle under some band's
 hash. Texts and windows that hold none of these few shingles are passed over before any value is
@@ -22,6 +24,7 @@ table gives an empty result. Other columns are ignored. Equal containment goes t
 from __future__ import annotations
 
 import math
+import re
 from collections import defaultdict
 from collections.abc import Mapping
 
@@ -34,26 +37,67 @@ SHINGLE = 5
 CONTAINMENT = 0.8
 MISS = 1e-4
 MOST_TEMPLATES = 2000
+_DIGIT = re.compile("[0-9]")
 
 # Public license notices and grants by their common short names.
 TEMPLATES = {
     "agpl-3.0": "GNU Affero General Public License",
+    "agpl-3.0-notice": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU "
+    "Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at "
+    "your option) any later version",
     "all-rights-reserved": "All rights reserved",
     "apache-2.0": "Licensed under the Apache License, Version 2.0",
     "apache-2.0-notice": "Unless required by applicable law or agreed to in writing, software distributed under the "
     "License is distributed on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.",
     "bsd-grant": "Redistribution and use in source and binary forms, with or without modification, are permitted "
     "provided that the following conditions are met",
+    "bsd-3-clause": "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or "
+    "promote products derived from this software without specific prior written permission",
+    "bsl-1.0": "Distributed under the Boost Software License, Version 1.0",
+    "cc-by-3.0": "This work is licensed under a Creative Commons Attribution 3.0 Unported License",
     "cc-by-4.0": "This work is licensed under a Creative Commons Attribution 4.0 International License",
     "cc-by-nc-4.0": "Licensed under CC BY-NC 4.0",
+    "cc-by-nc-4.0-notice": "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License",
+    "cc-by-sa-3.0": "This work is licensed under a Creative Commons Attribution-ShareAlike 3.0 Unported License",
+    "cc-by-sa-4.0": "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License",
+    "cc0-1.0": "To the extent possible under law, the author has waived all copyright and related or neighboring rights to "
+    "this work",
+    "epl-1.0": "This program and the accompanying materials are made available under the terms of the Eclipse Public "
+    "License v1.0 which accompanies this distribution",
+    "epl-2.0": "This program and the accompanying materials are made available under the terms of the Eclipse Public "
+    "License 2.0",
+    "gpl-2.0": "This work is licensed under the GNU General Public License, version 2",
+    "gpl-2.0-notice": "This program is free software; you can redistribute it and/or modify it under the terms of the GNU "
+    "General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your "
+    "option) any later version",
     "gpl-3.0": "This work is licensed under the GNU General Public License, version 3",
+    "gpl-3.0-notice": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU "
+    "General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your "
+    "option) any later version",
     "gpl-notice": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU "
     "General Public License as published by the Free Software Foundation",
     "isc-grant": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is "
     "hereby granted",
+    "lgpl-2.1-notice": "This library is free software; you can redistribute it and/or modify it under the terms of the GNU "
+    "Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at "
+    "your option) any later version",
+    "lgpl-3.0-notice": "This library is free software: you can redistribute it and/or modify it under the terms of the GNU "
+    "Lesser General Public License as published by the Free Software Foundation, either version 3 of the License, or (at "
+    "your option) any later version",
     "mit": "Released under the MIT License",
     "mit-grant": "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and "
     "associated documentation files, to deal in the Software without restriction",
+    "mit-licensed": "Licensed under the MIT License",
+    "mit-text": "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and "
+    "associated documentation files (the \"Software\"), to deal in the Software without restriction, including without "
+    "limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the "
+    "Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions: The "
+    "above copyright notice and this permission notice shall be included in all copies or substantial portions of the "
+    "Software. THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT "
+    "LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL "
+    "THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF "
+    "CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN "
+    "THE SOFTWARE.",
     "mpl-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0",
     "unlicense": "This is free and unencumbered software released into the public domain",
 }
@@ -75,6 +119,9 @@ def _shingles(words: str, size: int) -> str:
 
 
 def _numbers(values) -> str:
+    values = list(values)
+    if not values:
+        return "CAST(array() AS array<bigint>)"
     return "array(" + ", ".join(f"{v}L" if v > -(1 << 63) else "bigint('-9223372036854775808')" for v in values) + ")"
 
 
@@ -98,6 +145,24 @@ def template_hashes(spark: SparkSession, templates: Mapping[str, str]) -> dict[s
     return found
 
 
+def version_marks(spark: SparkSession, templates: Mapping[str, str]) -> dict[str, list[int]]:
+    """Hashes of the shingles that hold all of a template's words with a digit, if it has such words and shingles."""
+    marks = {}
+    names = list(templates)
+    for low in range(0, len(names), 50):
+        some = names[low : low + 50]
+        words = spark.sql("SELECT " + ", ".join(f"{_words(_text(templates[n]))} AS c{i}" for i, n in enumerate(some)))
+        hashed = words.selectExpr(*(f"transform(c{i}, w -> xxhash64(w)) AS c{i}" for i in range(len(some))))
+        listed = words.first()
+        cut = [_shingles(f"c{i}", min(SHINGLE, len(w))) if w else "CAST(array() AS array<bigint>)" for i, w in enumerate(listed)]
+        hashes = hashed.selectExpr(*(f"{c} AS c{i}" for i, c in enumerate(cut))).first()
+        for name, own, found in zip(some, listed, hashes):
+            version = {w for w in own if _DIGIT.search(w)}
+            holds = [version <= set(own[p : p + SHINGLE]) for p in range(len(found))]
+            marks[name] = sorted({h for h, fit in zip(found, holds) if fit}) if version else []
+    return marks
+
+
 def _text(value: str) -> str:
     return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
@@ -122,13 +187,15 @@ def _least_jaccard(width: int, containment: float) -> float:
     return shared / (2 * width + shortest - shared)
 
 
-def _minhash(spark: SparkSession, templates: Mapping[str, list[int]], bands: int) -> DataFrame:
-    """``band, value, least, license, wanted``: value and shingle of the minimum of each band."""
-    rows = ", ".join(f"({_text(n)}, {_numbers(h)})" for n, h in templates.items())
-    base = spark.sql(f"SELECT * FROM VALUES {rows} AS t(license, wanted)")
+def _minhash(
+    spark: SparkSession, templates: Mapping[str, list[int]], bands: int, marks: Mapping[str, list[int]]
+) -> DataFrame:
+    """``band, value, least, license, wanted, marks``: value and shingle of the minimum of each band."""
+    rows = ", ".join(f"({_text(n)}, {_numbers(h)}, {_numbers(marks[n])})" for n, h in templates.items())
+    base = spark.sql(f"SELECT * FROM VALUES {rows} AS t(license, wanted, marks)")
     least = "array_min(transform(wanted, h -> named_struct('value', xxhash64(h, band), 'shingle', h)))"
-    return base.selectExpr("license", "wanted", f"explode(sequence(1, {bands})) AS band").selectExpr(
-        "band", f"{least}.value AS value", f"{least}.shingle AS least", "license", "wanted"
+    return base.selectExpr("license", "wanted", "marks", f"explode(sequence(1, {bands})) AS band").selectExpr(
+        "band", f"{least}.value AS value", f"{least}.shingle AS least", "license", "wanted", "marks"
     )
 
 
@@ -151,9 +218,10 @@ def _scan_class(
         F.broadcast(minima.drop("least")), ["band", "value"]
     )
     retrieved = met.groupBy("row", "begin", "license").agg(
-        F.first("id").alias("id"), F.first("win").alias("win"), F.first("wanted").alias("wanted")
+        F.first("id").alias("id"), F.first("win").alias("win"), F.first("wanted").alias("wanted"),
+        F.first("marks").alias("marks"),
     )
-    return retrieved.selectExpr(
+    return retrieved.where("size(marks) = 0 OR arrays_overlap(marks, win)").selectExpr(
         "row", "id", "license",
         "size(array_intersect(wanted, win)) / size(wanted) AS containment",
         "begin + array_position(transform(win, h -> array_contains(wanted, h)), true) - 1 AS first_word",
@@ -169,11 +237,12 @@ def find_licenses(
     ``first_word`` counts the words of the text from 0; ``n_windows`` overlapping windows matched.
     """
     spark = docs.sparkSession
-    classes = window_classes(template_hashes(spark, TEMPLATES if templates is None else templates))
+    templates = TEMPLATES if templates is None else templates
+    classes, marks = window_classes(template_hashes(spark, templates)), version_marks(spark, templates)
     plans, least = {}, defaultdict(set)
     for (size, width), own in classes.items():
         bands = bands_for(_least_jaccard(width, containment))
-        minima = _minhash(spark, own, bands)
+        minima = _minhash(spark, own, bands, marks)
         known = {r["least"] for r in minima.select("least").distinct().collect()}
         plans[size, width] = minima, bands, _numbers(sorted(known))
         least[size] |= known
@@ -202,20 +271,22 @@ def _oracle() -> str:
     """The same windows and containments, with every window compared."""
     words = "list_filter(string_split_regex(lower({}), '[^a-z0-9]+'), lambda w: w != '')"
     listed = ", ".join("('{}', '{}')".format(n, t.replace("'", "''")) for n, t in TEMPLATES.items())
-    return f"""WITH t0 AS (SELECT license, {words.format('body')} AS w FROM (VALUES {listed}) v(license, body)),
-t1 AS (SELECT license, w, least({SHINGLE}, len(w)) AS size FROM t0),
-t2 AS (SELECT DISTINCT license, size, list_slice(w, i + 1, i + size) AS shingle
+    return f"""WITH t0 AS MATERIALIZED (SELECT license, {words.format('body')} AS w FROM (VALUES {listed}) v(license, body)),
+t1 AS MATERIALIZED (SELECT license, w, least({SHINGLE}, len(w)) AS size, list_filter(w, lambda x: regexp_matches(x, '[0-9]')) AS version FROM t0),
+t2 AS MATERIALIZED (SELECT DISTINCT license, size, list_slice(w, i + 1, i + size) AS shingle,
+    len(version) > 0 AND list_has_all(list_slice(w, i + 1, i + size), version) AS mark
   FROM (SELECT *, unnest(range(0, len(w) - size + 1)) AS i FROM t1)),
-t3 AS (SELECT license, size, count(*) AS n, CAST(power(2, ceil(log2(count(*)))) AS BIGINT) AS width FROM t2 GROUP BY ALL),
-d0 AS (SELECT row_number() OVER () AS row, doc_id, {words.format('text')} AS w FROM documents WHERE text IS NOT NULL),
-d1 AS (SELECT row, doc_id, w, size, unnest(range(0, len(w) - size + 1)) AS i
+t3 AS MATERIALIZED (SELECT license, size, bool_or(mark) AS marked, count(*) AS n, CAST(power(2, ceil(log2(count(*)))) AS BIGINT) AS width FROM t2 GROUP BY ALL),
+d0 AS MATERIALIZED (SELECT row_number() OVER () AS row, doc_id, {words.format('text')} AS w FROM documents WHERE text IS NOT NULL),
+d1 AS MATERIALIZED (SELECT row, doc_id, w, size, unnest(range(0, len(w) - size + 1)) AS i
   FROM d0, (SELECT DISTINCT size FROM t1)),
-met AS (SELECT row, doc_id, t2.license, i, n, width, t2.shingle
+met AS (SELECT row, doc_id, t2.license, i, n, width, t2.shingle, mark, marked
   FROM d1 JOIN t2 ON t2.size = d1.size AND t2.shingle = list_slice(w, i + 1, i + d1.size) JOIN t3 ON t3.license = t2.license),
 placed AS (SELECT *, i // width * width AS begin FROM met
   UNION ALL SELECT *, (i // width - 1) * width FROM met WHERE i >= width),
 windows AS (SELECT row, doc_id, license, begin, count(DISTINCT shingle) / any_value(n) AS containment, min(i) AS first_word
-  FROM placed GROUP BY ALL HAVING count(DISTINCT shingle) / any_value(n) >= {CONTAINMENT} - 1e-9)
+  FROM placed GROUP BY ALL HAVING count(DISTINCT shingle) / any_value(n) >= {CONTAINMENT} - 1e-9
+    AND (NOT bool_or(marked) OR bool_or(mark)))
 SELECT doc_id, license, max(containment) AS containment, arg_min(first_word, (-containment, first_word)) AS first_word,
   count(*) AS n_windows FROM windows GROUP BY row, doc_id, license"""
 
