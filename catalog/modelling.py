@@ -308,8 +308,8 @@ def fixed_model(spark: SparkSession) -> PipelineModel:
     return PipelineModel([indexer, assembler, booster])
 
 
-def scores_of(found: DataFrame) -> DataFrame:
-    return found.select("CNO", "MNO", rounded("PREDICTION_SCORE", 9).alias("PREDICTION_SCORE"), "CATEGORY")
+def scores_of(found: DataFrame, *more: str) -> DataFrame:
+    return found.select("CNO", "MNO", rounded("PREDICTION_SCORE", 9).alias("PREDICTION_SCORE"), "CATEGORY", *more)
 
 
 @query("predict_proba", SCORES)

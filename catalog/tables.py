@@ -152,8 +152,15 @@ def sink_predictions(t: Tables) -> DataFrame:
     return modelling.scores_of(t.spark.read.parquet(path))
 
 
-@query("sink_model", modelling.SCORES)
+@query("sink_model", f"SELECT *, true AS same FROM ({modelling.SCORES})")
 def sink_model(t: Tables) -> DataFrame:
-    """Scores of the saved and reloaded model."""
-    saved = sinks.write_model(modelling.fixed_model(t.spark), fresh_dir(t.spark, "model"))
-    return modelling.scores_of(model_run.predict(PipelineModel.load(saved), modelling.table_of(t)))
+    """Scores of the saved and reloaded fixed model, and whether the model trained on the table scores as before its save."""
+    table, run = modelling.run_of(t)
+    trained = PipelineModel.load(sinks.write_model(run.full, fresh_dir(t.spark, "model")))
+    fixed = PipelineModel.load(sinks.write_model(modelling.fixed_model(t.spark), fresh_dir(t.spark, "model")))
+    # All models score the same row, so that rows without a key stay.
+    before = model_run.predict_all(run.full, table, run.features).withColumnRenamed("PREDICTION_SCORE", "before")
+    after = model_run.predict_all(trained, before.drop("CATEGORY", "prediction"), run.features)
+    marked = after.withColumn("same", F.col("before") == F.col("PREDICTION_SCORE"))
+    found = model_run.predict_all(fixed, marked.drop("CATEGORY", "prediction", "PREDICTION_SCORE"))
+    return modelling.scores_of(found, "same")
