@@ -246,3 +246,34 @@ def test_foreign_keys_go_before_the_first_shuffle(spark, tmp_path):
     assert rows.with_likely_keys(readings, None) is readings
     empty = rows.key_filter(master.limit(0), f"{tmp_path}/empty")
     assert rows.with_likely_keys(readings, empty).count() == 0
+
+
+def test_first_copies_are_the_distinct_rows(spark):
+    data = [
+        ("a", 1, 0.0, "x", 5), ("a", 1, -0.0, "x", 3), ("a", 1, 0.0, "x", None), ("a", None, float("nan"), None, 1),
+        ("a", None, float("nan"), None, 2), (None, None, None, None, None), (None, None, None, None, None), ("b", 1, 1.5, "y", 4),
+    ]
+    df = spark.createDataFrame(data, "k string, pos int, v double, `w.x` string, row_order long")
+    found, wanted = rows.first_copies(df, ["k", "pos"]), rows.distinct_rows(df.withColumnRenamed("w.x", "w"))
+    assert found.columns == ["k", "pos", "v", "w.x", "row_order"]
+    assert sorted(str(tuple(r)) for r in found.collect()) == sorted(str(tuple(r)) for r in wanted.collect())
+    assert rows.first_copies(df.drop("row_order"), ["k", "pos"]).count() == 4
+
+
+def test_readings_are_sorted_once_and_not_held_in_hash_tables(spark):
+    readings = spark.range(1000).selectExpr(
+        "string(id % 50) AS CONS_ID", "string(id % 2) AS CSQ", "string(id % 3) AS MNO", "string(202401 + id % 12) AS BC_CD",
+        "string(id % 4) AS BL_CD", "if(id % 9 = 0, 'NR', 'SP') AS ENT_CD", "double(id % 5) AS ADV_UT", "id AS row_order",
+    )
+    plan = raw.summarise_consumption(readings)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Sort [") == 1 and " HashAggregate(" not in plan
+
+
+def test_many_models_in_a_small_file_are_not_broadcast(spark, tmp_path):
+    table = spark.range(500).selectExpr("int(id) AS MCD", "'a' AS MFG", "'b' AS AMP", "'c' AS VLT", "'Y' AS SUP", "'N' AS SMT", "'Y' AS ELC")
+    stored = lookup.store_models(table, f"{tmp_path}/models")
+    meters = spark.range(2000).selectExpr("int(id % 600) AS MCD", "id")
+    for n, joined in ((stored.rows, "BroadcastHashJoin"), (lookup.BROADCAST_MODELS + 1, "SortMergeJoin")):
+        found = lookup.join_mcd_properties(meters, lookup.StoredModels(stored.table, n))
+        assert joined in found._jdf.queryExecution().executedPlan().toString()
+        assert found.count() == 2000 and found.where("MFG IS NULL").count() == 300

@@ -63,7 +63,8 @@ def join_mcd_properties(
     """
     if isinstance(models, StoredModels):
         table = models.table.select(on, *properties)
-        return df.join(F.broadcast(table) if models.rows <= BROADCAST_MODELS else table, on, "left")
+        # More are never broadcast: a small file may hold many models.
+        return df.join(F.broadcast(table) if models.rows <= BROADCAST_MODELS else table.hint("merge"), on, "left")
     return df.join(unique_models(models, on, properties), on, "left")
 
 

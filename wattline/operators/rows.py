@@ -102,6 +102,23 @@ def top1_per_group(df: DataFrame, keys: Sequence[str], order: Sequence[Column])
     return df.withColumn("_rank", rank).where(F.col("_rank") == 1).drop("_rank")
 
 
+def first_copies(df: DataFrame, grouped: Sequence[str], order: str = C.ROW_ORDER) -> DataFrame:
+    """Like ``distinct_rows``, by one sort of each task's rows that begins with ``grouped``.
+
+    A task holds the sorted rows and no hash table of them beside; whoever groups by those columns
+    next needs no further sort. The rows must be dealt by some of them already, or copies go only
+    after a shuffle of whole rows.
+    """
+    if order not in df.columns:
+        return df.distinct()
+    columns = [c for c in df.columns if c != order]
+    # As grouping would show them: no negative zero.
+    plain = {name: F.col(f"`{name}`") + F.lit(0).cast(kind) for name, kind in df.dtypes if kind in ("double", "float")}
+    keys = [*grouped, *(c for c in columns if c not in grouped)]
+    first = top1_per_group(df.withColumns(plain) if plain else df, [f"`{c}`" for c in keys], [F.asc_nulls_last(f"`{order}`")])
+    return first.select(*(f"`{c}`" for c in (*columns, order)))
+
+
 def _tie(df: DataFrame) -> list[Column]:
     # The last row read wins a tie.
     return [F.desc(C.ROW_ORDER)] if C.ROW_ORDER in df.columns else []

@@ -17,6 +17,7 @@ from wattline.operators.combine import join_history, relabel_on_report
 from wattline.operators.lookup import StoredModels, StoredRanges, join_mcd_properties, range_defect_lookup
 from wattline.operators.rows import (
     distinct_rows,
+    first_copies,
     is_different,
     latest_master,
     with_common_keys,
@@ -60,7 +61,7 @@ def placed_months(consumption: DataFrame, many_copies: bool = False) -> DataFram
     """Distinct readings with the position of their bill month, all of a consumer's month in one place.
 
     They cross the network once, dealt by consumer, month and place; whatever groups by ``PLACE_KEYS``
-    and the position needs no further shuffle. A reading with a month has place 0. A consumer that holds a third of all readings is spread over its months, and its
+    and the position needs no further shuffle, and no further sort. A reading with a month has place 0. A consumer that holds a third of all readings is spread over its months, and its
     readings without a month over ``NO_MONTH_PLACES``. With ``many_copies`` the readings are dealt as
     whole rows instead, copies dropped before: for a source in which one reading may be repeated so
     often that its copies don't fit one task.
@@ -73,7 +74,7 @@ def placed_months(consumption: DataFrame, many_copies: bool = False) -> DataFram
     placed = consumption.withColumn(series.POSITION, month).withColumn(
         PLACE, F.when(F.col(series.POSITION).isNull(), spread).otherwise(0)
     )
-    return distinct_rows(placed.repartition(*C.KEYS, series.POSITION, PLACE))
+    return first_copies(placed.repartition(*C.KEYS, series.POSITION, PLACE), [*PLACE_KEYS, series.POSITION])
 
 
 def summarise_consumption(consumption: DataFrame, many_copies: bool = False) -> DataFrame:
