@@ -6,6 +6,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 from samples import EDGES, SCHEMA, prose, rows_of
 
 import __spark_entry__ as entry
@@ -38,6 +39,39 @@ def test_components_match_union_find(spark):
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+def high(links):
+    """Links ``u, v`` whose hashes are all so large that their sum, cut by 8 bits, passes 64 bits."""
+    kept = stored(links.where(F.xxhash64("u", "v") > 1 << 62), "high")
+    assert kept.count() > 512  # each is over 2 ** 54 then
+    return kept
+
+
+def test_components_of_links_with_large_hashes(spark):
+    pairs = spark.range(10_000).select((F.col("id") * 2 + 1).alias("u"), (F.col("id") * 2).alias("v"))
+    links = high(pairs)
+    found = components(links, "u", "v").collect()
+    assert sorted(map(tuple, found)) == sorted((n, v) for u, v in links.collect() for n in (u, v))
+
+
+def near_texts(spark, setting):
+    """Pairs of near copies, the ids of a pair 2i and 2i + 1, whose links have large hashes."""
+    texts = [prose(i, 40) for i in range(3000)]
+    rows = [(2 * i + k, t + (" another" if k else "")) for i, t in enumerate(texts) for k in (0, 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    node = F.struct("lo", "c1", "c2")
+    reps = near_dedup.classes(near_dedup.sketches(docs, setting))
+    pairs = reps.groupBy(F.expr("lo div 2").alias("pair")).agg(F.max(node).alias("u"), F.min(node).alias("v"))
+    return docs.join(high(pairs), F.expr("doc_id div 2 = pair"), "left_semi")
+
+
+def test_near_duplicates_with_large_link_hashes(spark):
+    setting = near_dedup.Setting()
+    docs = near_texts(spark, setting)
+    found = near_dedup.near_duplicates(docs, setting).select("id", "component_id").collect()
+    assert len(found) == docs.count()
+    assert all(r["component_id"] == r["id"] // 2 * 2 for r in found)
+
+
 def test_vectors_match_brute_force(spark):
     rng = np.random.default_rng(0)
     base = rng.standard_normal((700, 16))
