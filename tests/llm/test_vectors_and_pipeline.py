@@ -72,6 +72,12 @@ def test_near_duplicates_with_large_link_hashes(spark):
     assert all(r["component_id"] == r["id"] // 2 * 2 for r in found)
 
 
+def test_the_pipeline_stage_with_large_link_hashes(spark):
+    docs = near_texts(spark, corpus_pipeline.NEAR)
+    left = corpus_pipeline.drop_near_duplicates(spark, docs, SF_DIR)
+    assert sorted(map(tuple, left.collect())) == sorted(map(tuple, docs.where("doc_id % 2 = 0").collect()))
+
+
 def test_vectors_match_brute_force(spark):
     rng = np.random.default_rng(0)
     base = rng.standard_normal((700, 16))
