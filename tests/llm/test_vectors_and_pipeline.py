@@ -78,6 +78,20 @@ def test_the_pipeline_stage_with_large_link_hashes(spark):
     assert sorted(map(tuple, left.collect())) == sorted(map(tuple, docs.where("doc_id % 2 = 0").collect()))
 
 
+def test_vectors_with_large_link_hashes(spark):
+    rng = np.random.default_rng(1)
+    base = rng.standard_normal((3000, 32))
+    near = base + rng.standard_normal(base.shape) * 0.05
+    rows = [(2 * i + k, v[i].astype(np.float32).tolist()) for i in range(len(base)) for k, v in enumerate((base, near))]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    node = F.struct(F.col("vec_id").alias("lo"), F.xxhash64("embedding").alias("h"))
+    pairs = table.groupBy(F.expr("vec_id div 2").alias("pair")).agg(F.max(node).alias("u"), F.min(node).alias("v"))
+    some = table.join(high(pairs), F.expr("vec_id div 2 = pair"), "left_semi")
+    found = embedding_dedup.near_duplicates(some).collect()
+    assert len(found) == some.count()
+    assert all((r["n_links"], r["component_id"]) == (1, r["id"] // 2 * 2) for r in found)
+
+
 def test_vectors_match_brute_force(spark):
     rng = np.random.default_rng(0)
     base = rng.standard_normal((700, 16))
